@@ -10,6 +10,17 @@ from wayside.llm.exact_dedup import exact_dedup
 from wayside.llm.langid import predict_language, train_langid
 from wayside.llm.mixing import mix_taken
 from wayside.llm.quality import score_quality, train_quality
+from wayside.llm.sentencepiece_scan import decode, encode, whole_documents
+from wayside.llm.warc import read_warc, with_revisits, write_warc
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, a hash of the ids, the decoded text's SHA-256 and whether it is the original's."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha256"))
+    coded = whole_documents(encode(docs, keep=("doc_id", "sha256")))
+    back = decode(coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("ids_hash", F.xxhash64("ids")))
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    return back.select("doc_id", "n_tokens", "ids_hash", digest.alias("text_sha256"), (digest == F.col("sha256")).alias("round_trip"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +43,18 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, train_langid(docs)).select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_warc(with_revisits(read_table(spark, sf_dir, "pages")))
+    return read_warc(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_language": op6_language,
+    "op8_warc": op8_warc,
 }
 
 ORACLE = {
