@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wayside.llm.common import crc_bucket, read_table
 from wayside.llm.exact_dedup import exact_dedup
 from wayside.llm.langid import predict_language, train_langid
+from wayside.llm.lm_score import score, train
 from wayside.llm.mixing import mix_taken
 from wayside.llm.quality import score_quality, train_quality
 from wayside.llm.sentencepiece_scan import decode, encode, whole_documents
@@ -48,6 +49,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    trie = train(docs)
+    return score(docs, trie).select("doc_id", (crc_bucket("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(trie.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_exact_dedup": op3_exact_dedup,
@@ -55,6 +62,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_language": op6_language,
     "op8_warc": op8_warc,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLE = {
