@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayside.llm.common import crc_bucket, read_table
+from wayside.llm.embed_dedup import embedding_dedup
 from wayside.llm.exact_dedup import exact_dedup
 from wayside.llm.langid import predict_language, train_langid
 from wayside.llm.lm_score import score, train
@@ -49,6 +50,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     trie = train(docs)
@@ -62,6 +67,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_language": op6_language,
     "op8_warc": op8_warc,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_lm_score": op10_lm_score,
 }
 
