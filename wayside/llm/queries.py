@@ -11,11 +11,16 @@ from wayside.llm.exact_dedup import exact_dedup
 from wayside.llm.langid import predict_language, train_langid
 from wayside.llm.lm_score import score, train
 from wayside.llm.mixing import mix_taken
+from wayside.llm.ngram_join import ngram_join
 from wayside.llm.quality import score_quality, train_quality
 from wayside.llm.sentencepiece_scan import decode, encode, whole_documents
 from wayside.llm.warc import read_warc, with_revisits, write_warc
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, a hash of the ids, the decoded text's SHA-256 and whether it is the original's."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha256"))
@@ -61,6 +66,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
