@@ -14,6 +14,7 @@ from wayside.llm.mixing import mix_taken
 from wayside.llm.ngram_join import ngram_join
 from wayside.llm.quality import score_quality, train_quality
 from wayside.llm.sentencepiece_scan import decode, encode, whole_documents
+from wayside.llm.suffix_dedup import suffix_dedup
 from wayside.llm.warc import read_warc, with_revisits, write_warc
 
 
@@ -50,6 +51,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, train_langid(docs)).select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_warc(with_revisits(read_table(spark, sf_dir, "pages")))
     return read_warc(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -72,6 +77,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_language": op6_language,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_warc": op8_warc,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_lm_score": op10_lm_score,
