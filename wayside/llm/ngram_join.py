@@ -8,8 +8,8 @@ not, all shared ones are frequent, and two of them lie in the extended prefixes
 (k = 2): so frequent shingles are indexed as 2-combinations. Sets of over LONG
 shingles, whose combinations would be too many, are indexed by single frequent
 shingles, and sets between 3/4 LONG and LONG in both ways, so a pair always has a
-way in common. Candidates are pruned by size and by a parity bitmap (a bound that
-loses nothing) and verified on the full sets.
+way in common. Candidates are pruned by size and by parity bitmaps in proportion to
+the sets (a bound that loses nothing) and verified on the full sets.
 
 Frequencies come from all documents: each task counts its shingles and sends those
 it holds twice; the sums decide the class. Any class table gives the same links; it
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import connected_components, materialise, mix64, split_rows, text_bytes, word_hashes
+from wayside.llm.common import connected_components, materialise, mix64, pack_sorted, split_rows, text_bytes, unpack_sorted, word_hashes
 
 WORDS = 5
 CLASS_FROM = 16
@@ -44,7 +44,7 @@ SMALL = 64
 LONG = 2000
 BATCH_BYTES = 4 << 20
 SHARD_BYTES = 24 << 20
-BITMAP_BITS = 1024
+BROADCAST_ROWS = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,7 +113,7 @@ def _scan(shards: int):
                     n[row] = len(s)
                     d1[row] = int(np.bitwise_xor.reduce(mix64(s + _STEP)).view(np.int64))
                     d2[row] = int(np.sum(mix64(s ^ _STEP)).view(np.int64))
-                    maps[row] = np.packbits(np.bincount((s & np.uint64(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS).astype(np.uint8) & 1).tobytes()
+                    maps[row] = parity_bitmap(s)
                     if (d1[row], d2[row]) not in seen:
                         seen.add((d1[row], d2[row]))
                         sets.append(s)
@@ -257,9 +257,27 @@ def _buckets(small: int):
     return run
 
 
+def parity_bitmap(tokens: np.ndarray) -> bytes:
+    """Bit i: whether an odd number of hashes are i modulo the bitmap's bits, a power of two of at least twice the set."""
+    bits = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    return np.packbits(np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def _folded(x: np.ndarray, words: int) -> np.ndarray:
+    """The parity bitmaps of the same sets at fewer bits."""
+    while x.shape[1] > words:
+        x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+    return x
+
+
 def _may_link(na, nb, xa: np.ndarray, xb: np.ndarray) -> np.ndarray:
     """Whether the parity bitmaps allow 3/4: the symmetric difference is at least their distance."""
-    return 7 * np.bitwise_count(xa ^ xb).sum(-1, dtype=np.int64) <= na + nb
+    words = min(xa.shape[1], xb.shape[1])
+    return 7 * np.bitwise_count(_folded(xa, words) ^ _folded(xb, words)).sum(-1, dtype=np.int64) <= na + nb
+
+
+def _matrix(maps: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(maps), np.uint64).reshape(len(maps), -1)
 
 
 def _between(lists: pa.Table, labels: pa.Table) -> pa.Table:
@@ -270,7 +288,14 @@ def _between(lists: pa.Table, labels: pa.Table) -> pa.Table:
     order = np.argsort(uid)
     uid = uid[order]
     size, label = (labels[c].to_numpy()[order] for c in ("n", "label"))
-    bitmap = np.frombuffer(b"".join(labels["bitmap"].to_pylist()), np.uint64).reshape(len(uid), -1)[order]
+    maps = labels["bitmap"].to_pylist()
+    maps = [maps[i] for i in order]
+    width = np.array([len(x) for x in maps])
+    rows_of = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
+    matrix = {w: _matrix([maps[i] for i in rows]) for w, rows in rows_of.items()}
+    slot = np.empty(len(uid), np.int64)
+    for rows in rows_of.values():
+        slot[rows] = np.arange(len(rows))
     at = np.searchsorted(uid, np.frombuffer(lists["uids"][0].as_py(), np.int64))
     length = np.frombuffer(lists["lengths"][0].as_py(), np.int32).astype(np.int64)
     members = at[np.frombuffer(lists["members"][0].as_py(), np.int32)]
@@ -290,51 +315,60 @@ def _between(lists: pa.Table, labels: pa.Table) -> pa.Table:
             mask[members[s:e]] = True
         c = np.flatnonzero(mask & (label != label[d]))
         c = c[_sizes_fit(size[c], size[d])]
-        c = c[_may_link(size[c], size[d], bitmap[c], bitmap[d])]
-        a.append(np.minimum(uid[c], uid[d]))
-        b.append(np.maximum(uid[c], uid[d]))
+        for w in np.unique(width[c]).tolist():
+            e = c[width[c] == w]
+            e = e[_may_link(size[e], size[d], matrix[w][slot[e]], _matrix([maps[d]]))]
+            a.append(np.minimum(uid[e], uid[d]))
+            b.append(np.maximum(uid[e], uid[d]))
     return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
 
 
 def _prune(batches):
     for batch in batches:
         na, nb = (batch.column(i).to_numpy() for i in (2, 3))
-        xa, xb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (4, 5))
-        mask = pa.array(_may_link(na, nb, xa, xb) if batch.num_rows else [], pa.bool_())
+        xa, xb = (batch.column(i).to_pylist() for i in (4, 5))
+        keep = _sizes_fit(na, nb)
+        shape = np.array([len(x) << 32 | len(y) for x, y in zip(xa, xb, strict=True)], np.int64)
+        for k in np.unique(shape):
+            at = np.flatnonzero(shape == k)
+            keep[at] &= _may_link(na[at], nb[at], _matrix([xa[i] for i in at]), _matrix([xb[i] for i in at]))
+        mask = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
 
 def _sets(batches):
+    """Sorted sets at 48 bits a hash, as deltas."""
     for batch in batches:
         column = batch.column(1)
         for lo, hi in split_rows(text_bytes(column)[1], BATCH_BYTES):
-            out = [b""] * (hi - lo)
+            out, n = [b""] * (hi - lo), [0] * (hi - lo)
             for row, s in shingle_sets(column.slice(lo, hi - lo)):
-                out[row] = s.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.binary())], ["uid", "tokens"])
+                out[row], n[row] = pack_sorted(s >> np.uint64(16)), len(s)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(out, pa.binary())], ["uid", "size", "tokens"])
 
 
 def _verify(batches):
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * common >= 75 * (len(x) + len(y) - common))
+        for n, m, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+            common = len(np.intersect1d(unpack_sorted(x), unpack_sorted(y), assume_unique=True))
+            keep.append(100 * common >= 75 * (n + m - common))
         mask = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold; stored."""
-    wanted = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
-    sets = materialise(texts.join(wanted, "uid", "left_semi").mapInArrow(_sets, "uid long, tokens binary"))
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    """The pairs whose full sets reach the threshold; stored. The second of a pair,
+    which is in few pairs, brings its set along to the first."""
+    wanted = materialise(pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct())
+    few = wanted.count() <= BROADCAST_ROWS
+    sets = materialise(texts.join(F.broadcast(wanted) if few else wanted, "uid", "left_semi").mapInArrow(_sets, "uid long, size long, tokens binary"))
+    both = pairs.join(sets.toDF("b", "m", "y"), "b").join(sets.toDF("a", "n", "x"), "a").select("a", "b", "n", "m", "x", "y")
     return materialise(both.mapInArrow(_verify, "a long, b long"))
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_from: int = CLASS_FROM, class_size: int = CLASS_TABLE, small: int = SMALL, long: int = LONG) -> DataFrame:
-    """uid, doc_id, n_shingles, component_id: one row per document."""
+    """uid, doc_id, n_shingles, component_id and stays (one row of each group: the smallest id, then the first row): one row per document."""
     spark = docs.sparkSession
     texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
@@ -365,5 +399,5 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = links.union(copies).union(_verified(materialise(more), plain))
     labels = connected_components(links).toDF("uid", "label")
     named = materialise(info.select("uid", "doc_id", F.col("n").alias("n_shingles")).join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid")))
-    lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return named.join(lowest, "label").select("uid", "doc_id", "n_shingles", "component_id")
+    lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))["uid"].alias("stay"))
+    return named.join(lowest, "label").select("uid", "doc_id", "n_shingles", "component_id", (F.col("uid") == F.col("stay")).alias("stays"))

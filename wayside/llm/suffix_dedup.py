@@ -28,11 +28,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import materialise, mix64, split_rows, text_bytes
-from wayside.llm.lm_score import pack_sorted, unpack_sorted
+from wayside.llm.common import materialise, mix64, pack_sorted, split_rows, text_bytes, unpack_sorted
 
 WIDTH = 50
 K = 16
