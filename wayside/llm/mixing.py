@@ -81,7 +81,7 @@ def _slots(targets: DataFrame, block_words: int) -> DataFrame:
     have = sums.groupBy("sid").agg(F.sum("n").alias("have"))
     missing = need.join(have, "sid", "left").withColumn("have", F.coalesce("have", F.lit(0))).filter("have < need")
     closing = missing.select("sid", F.explode(F.sequence(F.col("have"), F.col("need") - 1)).alias("r"), F.lit(None).cast("long").alias("slot"))
-    return ranked.join(need, "sid").filter("r < need").select("sid", "r", "slot").union(closing)
+    return materialise(ranked.join(need, "sid").filter("r < need").select("sid", "r", "slot").union(closing))
 
 
 def mix_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS, seed: str = SEED, weights: tuple[int, ...] = (1, 2, 3)) -> tuple[DataFrame, DataFrame]:
@@ -93,17 +93,19 @@ def mix_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = materialise(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("key")))
     targets = materialise(source_targets(sized, weights))
     sized = sized.join(targets.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    sized = materialise(sized.withColumn("part", F.substring("key", 1, 4)))
+    sized = materialise(sized.withColumn("part", F.substring("key", 1, 3)))
     sums = sized.groupBy("sid", "part").agg(F.sum("size").alias("n"))
     before = sums.withColumn("base", F.sum("n").over(Window.partitionBy("sid").orderBy("part")) - F.col("n")).drop("n")
     inside = F.sum("size").over(Window.partitionBy("sid", "part").orderBy("key", "doc_id", "size", "uid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     line = sized.filter("size > 0").withColumn("inside", inside).join(before, ["sid", "part"]).withColumn("start", F.col("base") + F.col("inside"))
+    line = materialise(line.select("sid", "uid", "size", "source_size", "target", "start"))
     turns = line.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MAX_REPEAT - 1))))
     turns = turns.withColumn("a", F.col("epoch") * F.col("source_size") + F.col("start"))
     turns = turns.withColumn("b", F.least(F.col("a") + F.col("size"), F.round("target").cast("long"))).filter("a < b")
     w = block_words
     pieces = turns.withColumn("r", F.explode(F.sequence(F.expr(f"a div {w}"), F.expr(f"(b - 1) div {w}"))))
     pieces = pieces.select("sid", "r", "uid", "epoch", (F.greatest("a", F.col("r") * w) - F.col("a")).alias("first_word"), (F.least(F.col("b"), (F.col("r") + 1) * w) - F.greatest("a", F.col("r") * w)).alias("words"))
+    pieces = materialise(pieces)
     stream = _slots(targets, w).join(pieces, ["sid", "r"]).select("slot", "sid", "r", "uid", "epoch", "first_word", "words")
     return sized.select("uid", "doc_id", "size", "source_size", "target"), stream
 
