@@ -16,7 +16,8 @@ Defined results: a null text counts as empty, and empty texts are equal; rows
 with the same text form a group whatever their other columns; of a group the
 largest doc_id stays (nulls lose; a group of null ids keeps none); rows that
 repeat both text and doc_id are all marked kept, as they are the same document;
-an empty table gives an empty result; other columns are ignored.
+an empty table gives an empty result; other columns are ignored. The input has to
+be a stored table (it is read twice, and rows are told apart by their place in it).
 """
 
 from __future__ import annotations
@@ -82,7 +83,8 @@ def _split_collisions(texts: DataFrame, level: DataFrame, first: DataFrame, bloc
     Their texts are read again; the negative names keep clear of the others."""
     shared = first.filter("contents > 1").select("h")
     again = (
-        texts.select(F.monotonically_increasing_id().alias("uid"), F.posexplode(_blocks(F.col("data"), block_bytes)).alias("pos", "block"))
+        texts.select(F.monotonically_increasing_id().alias("uid"), "data")
+        .select("uid", F.posexplode(_blocks(F.col("data"), block_bytes)).alias("pos", "block"))
         .withColumn("h", route("block"))
         .join(shared, "h", "left_semi")
     )
@@ -92,9 +94,10 @@ def _split_collisions(texts: DataFrame, level: DataFrame, first: DataFrame, bloc
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, route=F.xxhash64) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per document: uid, doc_id, keep_id, group_size, kept, text_sha256 and
+    stays: kept, but for one row only where ids are null or repeat with their text."""
     named = materialise(text_identity(docs, id_col, text_col, block_bytes, route))
-    groups = named.groupBy("n_bytes", "name").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    groups = named.groupBy("n_bytes", "name").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.max(F.struct("doc_id", -F.col("uid"))).getField("col2").alias("stay"))
     return named.join(groups, ["n_bytes", "name"]).select(
-        "doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"), "text_sha256"
+        "uid", "doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"), "text_sha256", (-F.col("uid") == F.col("stay")).alias("stays")
     )

@@ -27,6 +27,7 @@ import re
 from functools import lru_cache
 from itertools import accumulate, chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
@@ -37,7 +38,8 @@ from wayside.llm.common import materialise
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 1 << 16
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
+BATCH_CHARS = 1 << 21
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -60,7 +62,8 @@ class Pieces:
             self.bytes[i] = p.replace(MARK, " ").encode()
         for b, i in self.byte.items():
             self.bytes[i] = bytes([b])
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, int] = {}
+        self.flat, self.start, self.size, self.used = np.zeros(1024, np.int32), np.zeros(1024, np.int64), np.zeros(1024, np.int64), 0
         self.together = lru_cache(1 << 18)(self._together)
         self.alone = lru_cache(1 << 16)(self._alone)
 
@@ -86,19 +89,34 @@ class Pieces:
     def token_ids(self, token: str) -> list[int]:
         return [self.ids[token]] if token in self.ids else [self.byte[b] for b in token.encode()]
 
+    def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets and ids of marked texts that start at a word: each word is encoded
+        once, in lists, and remembered up to a bound; the texts are then gathered."""
+        found = [_WORDS.findall(t) for t in texts]
+        words = list(chain.from_iterable(found))
+        if len(self.words) > CACHE_WORDS:
+            self.words, self.used = {}, 0
+        new = list(set(words).difference(self.words))
+        coded = [ids if w != MARK else [self.ids[MARK]] for w, ids in zip(new, self.lib.encode([w[1:] for w in new], num_threads=1), strict=True)]
+        sizes = np.array(list(map(len, coded)), np.int64)
+        base, count = len(self.words), int(sizes.sum())
+        self.flat = _grown(self.flat, self.used + count)
+        self.flat[self.used : self.used + count] = np.fromiter(chain.from_iterable(coded), np.int32, count)
+        self.start, self.size = _grown(self.start, base + len(new)), _grown(self.size, base + len(new))
+        self.start[base : base + len(new)] = self.used + np.cumsum(sizes) - sizes
+        self.size[base : base + len(new)] = sizes
+        self.used += count
+        self.words.update(zip(new, range(base, base + len(new)), strict=True))
+        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        size = self.size[at]
+        ends = np.cumsum(size)
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[at] - ends + size, size)]
+        per_text = np.cumsum([0, *map(len, found)])
+        return np.concatenate([[0], ends])[per_text], ids
+
     def encode_words(self, text: str) -> list[int]:
         """Ids of marked text that starts at a word."""
-        memory = self.words
-        if len(memory) > CACHE_WORDS:
-            memory.clear()
-        out = []
-        for w in _WORDS.findall(text):
-            ids = memory.get(w)
-            if ids is None:
-                ids = self.lib.encode(w[1:]) if w != MARK else [self.ids[MARK]]
-                memory[w] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+        return self.encode_batch([text])[1].tolist()
 
     # -- the lattice over a torn word --
 
@@ -151,6 +169,10 @@ class Pieces:
         return list(chain.from_iterable(self.token_ids(t) for t in reversed(tokens)))
 
 
+def _grown(x: np.ndarray, n: int) -> np.ndarray:
+    return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
+
+
 def is_word_start(text: str, at: int) -> bool:
     return at == 0 or at < len(text) and text[at] == MARK and text[at - 1] != MARK
 
@@ -245,8 +267,18 @@ CHUNKS = pa.schema([("uid", pa.int64()), ("chunk", pa.int32()), ("lo", pa.int64(
 CHUNKS_DDL = "uid long, chunk int, lo long, hi long, base long, total long, body string"
 
 
+def _batches_of(texts: list[str], limit: int = BATCH_CHARS):
+    """Consecutive ranges of about limit characters."""
+    lo, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= limit or i == len(texts) - 1:
+            yield lo, i + 1
+            lo, size = i + 1, 0
+
+
 def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), model_path: str = MODEL_PATH, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """uid, kept columns, n_chunks, chunk and ids: one row for each chunk of each row's text."""
+    """uid, kept columns and ids: one row for each row of docs."""
     frame = docs.select(F.monotonically_increasing_id().alias("uid"), *[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     giant = F.length("__text") >= chunk_chars
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1]]
@@ -254,17 +286,23 @@ def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("do
     def whole(batches):
         pieces = load_pieces(model_path)
         for batch in batches:
-            n = batch.num_rows
-            for lo in range(0, n, 500):
-                part = batch.slice(lo, 500)
-                ids = pa.array([pieces.encode_words(marked(t.as_py())) for t in part.columns[-1]], pa.list_(pa.int32()))
-                ones = pa.array([1] * part.num_rows, pa.int32())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ones, pa.array([0] * part.num_rows, pa.int32()), ids], [*part.schema.names[:-1], "n_chunks", "chunk", "ids"])
-
-    small = frame.filter(~giant).mapInArrow(whole, ", ".join([*names, "n_chunks int, chunk int, ids array<int>"]))
+            texts = [marked(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            for lo, hi in _batches_of(texts):
+                offsets, ids = pieces.encode_batch(texts[lo:hi])
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), lists], [*batch.schema.names[:-1], "ids"])
+
+    small = frame.filter(~giant).mapInArrow(whole, ", ".join([*names, "ids array<int>"]))
+    chunks = _giant_chunks(frame.filter(giant).select("uid", F.col("__text").alias("text")), model_path, chunk_chars)
+    joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"]))
+    large = frame.filter(giant).drop("__text").join(chunks.groupBy("uid").agg(joined.alias("ids")), "uid")
+    return small.unionByName(large)
+
+
+def _giant_chunks(texts: DataFrame, model_path: str, chunk_chars: int) -> DataFrame:
+    """uid, chunk and ids of giant texts: split, matrices, scan, then each chunk by itself."""
     margin = load_pieces(model_path).longest + 1
-    chunks = materialise(frame.filter(giant).select("uid", F.col("__text").alias("text")).mapInArrow(_split(chunk_chars, margin), CHUNKS_DDL))
-    chunks = chunks.repartition("uid", "chunk")
+    chunks = materialise(texts.mapInArrow(_split(chunk_chars, margin), CHUNKS_DDL)).repartition("uid", "chunk")
 
     def matrices(batches):
         pieces = load_pieces(model_path)
@@ -278,53 +316,33 @@ def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("do
         found: dict[int, dict] = {}
         for k, a, an, b, bn in zip(*(rows[c].tolist() for c in ("chunk", "a", "an", "b", "bn")), strict=True):
             found.setdefault(k, {}).setdefault((a, an), []).append((b, bn))
-        chain_ = chunk_states([found[k] for k in sorted(found)], (0, 0), int(rows["total"].iloc[0]))
-        return pd.DataFrame([(rows["uid"].iloc[0], k, len(chain_), *s, *e) for k, (s, e) in enumerate(chain_)], columns=["uid", "chunk", "n_chunks", "a", "an", "b", "bn"])
+        states = chunk_states([found[k] for k in sorted(found)], (0, 0), int(rows["total"].iloc[0]))
+        return pd.DataFrame([(rows["uid"].iloc[0], k, *s, *e) for k, (s, e) in enumerate(states)], columns=["uid", "chunk", "a", "an", "b", "bn"])
 
-    states = chunks.mapInArrow(matrices, "uid long, chunk int, total long, a long, an long, b long, bn long").groupBy("uid").applyInPandas(resolve, "uid long, chunk int, n_chunks int, a long, an long, b long, bn long")
+    states = chunks.mapInArrow(matrices, "uid long, chunk int, total long, a long, an long, b long, bn long").groupBy("uid").applyInPandas(resolve, "uid long, chunk int, a long, an long, b long, bn long")
 
     def parts(batches):
         pieces = load_pieces(model_path)
         for batch in batches:
             rows = batch.to_pylist()
             ids = [encode_chunk(pieces, r["body"], r["lo"], r["hi"], (r["a"] - r["base"], r["an"]), (r["b"] - r["base"], r["bn"])) for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([r["uid"] for r in rows], pa.int64()), pa.array([r["n_chunks"] for r in rows], pa.int32()), pa.array([r["chunk"] for r in rows], pa.int32()), pa.array(ids, pa.list_(pa.int32()))], ["uid", "n_chunks", "chunk", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["uid", "chunk", "ids"])
 
-    coded = chunks.drop("total").join(states, ["uid", "chunk"]).mapInArrow(parts, "uid long, n_chunks int, chunk int, ids array<int>")
-    large = frame.filter(giant).drop("__text").join(coded, "uid")
-    return small.unionByName(large)
+    return chunks.drop("total").join(states, ["uid", "chunk"]).mapInArrow(parts, "uid long, chunk int, ids array<int>")
 
 
-def decode(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
-    """The columns of encode() with `text` in place of ids and chunks: one row for each document."""
-    keep = [c for c in encoded.columns if c not in ("ids", "chunk", "n_chunks")]
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != "ids")
+def decode(encoded: DataFrame, ids_col: str = "ids", model_path: str = MODEL_PATH) -> DataFrame:
+    """The input's columns with `text` in place of the ids."""
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != ids_col)
 
     def run(batches):
         table = load_pieces(model_path).bytes
         for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            firsts = batch.column(batch.schema.get_field_index("chunk")).to_pylist()
-            out = []
-            for ids, k in zip(batch.column(at), firsts, strict=True):
-                raw = b"".join([table[i] for i in ids.as_py()])
-                out.append(raw[1:] if k == 0 else raw)
+            at = batch.schema.get_field_index(ids_col)
+            lists = batch.column(at)
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            out = [b"".join(map(table.__getitem__, values[a:b].tolist()))[1:].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             rest = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(out, pa.binary())], [*(batch.schema.names[i] for i in rest), "raw"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(out, pa.string())], [*(batch.schema.names[i] for i in rest), "text"])
 
-    raw = encoded.mapInArrow(run, names + ", raw binary")
-    single = raw.filter("n_chunks = 1").select(*keep, F.col("raw").cast("string").alias("text"))
-    joined = F.aggregate(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "raw"))), lambda x: x["raw"]), F.lit(b""), lambda a, x: F.concat(a, x))
-    rest = [c for c in keep if c != "uid"]
-    many = raw.filter("n_chunks > 1").groupBy("uid").agg(*[F.first(c).alias(c) for c in rest], joined.cast("string").alias("text")).select(*keep, "text")
-    return single.union(many)
-
-
-def whole_documents(encoded: DataFrame) -> DataFrame:
-    """encode()'s rows with the chunks of a document put together: one row for each document."""
-    keep = [c for c in encoded.columns if c not in ("ids", "chunk", "n_chunks")]
-    one = [F.lit(1).alias("n_chunks"), F.lit(0).alias("chunk")]
-    joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"]))
-    single = encoded.filter("n_chunks = 1").select(*keep, *one, "ids")
-    many = encoded.filter("n_chunks > 1").groupBy("uid").agg(*[F.first(c).alias(c) for c in keep if c != "uid"], joined.alias("ids"))
-    return single.union(many.select(*keep, *one, "ids"))
+    return encoded.mapInArrow(run, names + ", text string")
