@@ -127,7 +127,7 @@ CONE = conic_constants()
 E2 = FLATTENING * (2 - FLATTENING)
 E1 = (1 - (1 - E2) ** 0.5) / (1 + (1 - E2) ** 0.5)
 M0 = 1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256
-EVENTS = "ev AS (SELECT *, epoch_ms(ts) AS modified FROM events)"
+EVENTS = "ev AS (SELECT *, epoch_us(ts) // 1000 AS modified FROM events)"
 PROFILE = [("ASSETGROUP", "assetgroup"), ("ASSETTYPE", "assettype"), ("ASSETTYPE_DECODED", "ASSETTYPE_DECODED"), ("PipeMaterialFamily", "PipeMaterialFamily"), ("GradeMaterial", "CAST(NULL AS VARCHAR)")]
 COLOR = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in COLORS.items())
 
@@ -192,7 +192,7 @@ SELECT *, (SELECT count(*) FROM v) AS total_rows FROM v ORDER BY c_custkey DESC
     + "SELECT event_type, count(*) AS n, CASE WHEN (SELECT count(*) FROM mg) = (SELECT count(*) FROM ev) THEN 'upsert' ELSE 'reload' END AS step FROM ev GROUP BY event_type",
     "watermark_literals": with_(EVENTS) + "SELECT event_id, (event_id % 7 - 3) * modified AS ms, CASE WHEN (event_id % 7 - 3) * modified BETWEEN 1 AND 32503680000000 THEN strftime(make_timestamp(((event_id % 7 - 3) * modified // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') ELSE '1970-01-01 00:00:00' END AS mark FROM ev",
     "date_export": """WITH o AS (SELECT o_orderkey AS OBJECTID, o_orderdate AS i, CASE WHEN o_custkey % 3 > 0 THEN o_orderdate - INTERVAL 400 DAY END AS c FROM orders)
-SELECT OBJECTID, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed, epoch_ms(c) AS CREATIONDATE FROM o WHERE i >= TIMESTAMP '1996-01-01' OR c >= TIMESTAMP '1996-01-01'""",
+SELECT OBJECTID, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed, epoch_us(c) // 1000 AS CREATIONDATE FROM o WHERE i >= TIMESTAMP '1996-01-01' OR c >= TIMESTAMP '1996-01-01'""",
     "feature_pages": with_(BASE) + "SELECT pipe_oid, layer, CAST(1 AS BIGINT) AS paths, x1 AS x, y1 + dy AS y FROM pipes WHERE assettype IS NOT NULL",
     "display_leaks": with_(BASE, f"k AS (SELECT *, {view_key('LeakNumber')} AS k FROM supp)", "o AS (SELECT * FROM k WHERE k <> '' QUALIFY row_number() OVER (PARTITION BY k ORDER BY ordinal, Diameter, LeakMaterialType, FacilityType, Pressure) = 1)")
     + f"SELECT leak_oid, {view_key('leak_key_raw')} AS JoinLeakKey, LeakMaterialType AS SuppLeakMaterialType, Diameter AS SuppDiameter, FacilityType AS SuppFacilityType FROM leaks LEFT JOIN o ON {view_key('leak_key_raw')} = o.k",

@@ -209,7 +209,7 @@ def wkt_export(spark, d):
 
 
 def _events(spark, d):
-    e = spark.read.parquet(f"{d}/events.parquet").withColumn("modified", F.unix_millis("ts"))
+    e = spark.read.parquet(f"{d}/events.parquet").withColumn("modified", F.unix_millis(F.col("ts").cast("timestamp")))
     cached = e.filter("event_id % 4 <> 0").withColumn("event_type", F.lit("old")).filter(f"event_id % {DELTA_FROM_ORDER_KEY} <> 1 or event_id < 200")
     return e, cached
 
@@ -240,7 +240,7 @@ def refresh_decision(spark, d):
 
 
 def date_export_query(spark, d):
-    o = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("OBJECTID"), F.unix_millis("o_orderdate").alias("installationdate"), F.when(F.col("o_custkey") % 3 > 0, F.unix_millis(F.col("o_orderdate") - F.expr("interval 400 days"))).alias("CREATIONDATE"))
+    o = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("OBJECTID"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("installationdate"), F.when(F.col("o_custkey") % 3 > 0, F.unix_millis(F.col("o_orderdate").cast("timestamp") - F.expr("interval 400 days"))).alias("CREATIONDATE"))
     return date_export(o, "1996-01-01", ["installationdate"]).select("OBJECTID", F.substring("installationdate", 1, 19).alias("installed"), "CREATIONDATE")
 
 
@@ -292,7 +292,7 @@ def supplemental_last(spark, d):
 
 def watermark_literals(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet")
-    ms = (F.col("event_id") % 7 - 3) * F.unix_millis("ts")
+    ms = (F.col("event_id") % 7 - 3) * F.unix_millis(F.col("ts").cast("timestamp"))
     return e.select("event_id", epoch_ms(ms).alias("ms"), F.date_format(safe_watermark(ms), "yyyy-MM-dd HH:mm:ss").alias("mark"))
 
 
