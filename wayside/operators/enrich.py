@@ -17,7 +17,7 @@ def decoder(metadata: DataFrame) -> DataFrame:
     """group_code, type_code and decoded columns, from layer metadata read with
     DOMAIN_SCHEMA; subtypes without an ASSETTYPE domain are left out."""
     t = metadata.select(F.explode("types").alias("t")).select("t.id", "t.name", F.filter(F.map_entries("t.domains"), lambda e: F.upper(e["key"]) == "ASSETTYPE").alias("d"))
-    t = t.filter("size(d) > 0").select("id", "name", F.col("d")[0]["value"].alias("d"))
+    t = t.filter("size(d) > 0").select("id", "name", F.get("d", F.lit(0))["value"].alias("d"))
     rows = t.select(norm_code("id").alias("group_code"), F.col("name").alias("ASSETGROUP_DECODED"), F.col("d.name").alias("ASSETTYPE_DOMAIN"), F.explode("d.codedValues").alias("v"))
     rows = rows.select("group_code", norm_code("v.code").alias("type_code"), "ASSETGROUP_DECODED", F.col("v.name").alias("ASSETTYPE_DECODED"), "ASSETTYPE_DOMAIN")
     return rows.withColumn("PipeMaterialFamily", row_family("ASSETTYPE_DECODED"))
