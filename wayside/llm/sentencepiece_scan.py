@@ -34,12 +34,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import materialise
+from wayside.llm.common import materialise, split_rows, text_bytes
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 1 << 16
-CACHE_WORDS = 400_000
-BATCH_CHARS = 1 << 21
+CACHE_WORDS = 120_000
+BATCH_BYTES = 1 << 20
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -267,16 +267,6 @@ CHUNKS = pa.schema([("uid", pa.int64()), ("chunk", pa.int32()), ("lo", pa.int64(
 CHUNKS_DDL = "uid long, chunk int, lo long, hi long, base long, total long, body string"
 
 
-def _batches_of(texts: list[str], limit: int = BATCH_CHARS):
-    """Consecutive ranges of about limit characters."""
-    lo, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= limit or i == len(texts) - 1:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-
-
 def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), model_path: str = MODEL_PATH, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """uid, kept columns and ids: one row for each row of docs."""
     frame = docs.select(F.monotonically_increasing_id().alias("uid"), *[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
@@ -286,11 +276,12 @@ def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("do
     def whole(batches):
         pieces = load_pieces(model_path)
         for batch in batches:
-            texts = [marked(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            for lo, hi in _batches_of(texts):
-                offsets, ids = pieces.encode_batch(texts[lo:hi])
+            column = batch.column(batch.num_columns - 1)
+            for lo, hi in split_rows(text_bytes(column)[1], BATCH_BYTES):
+                offsets, ids = pieces.encode_batch([marked(t) for t in column.slice(lo, hi - lo).to_pylist()])
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), lists], [*batch.schema.names[:-1], "ids"])
+            pa.default_memory_pool().release_unused()
 
     small = frame.filter(~giant).mapInArrow(whole, ", ".join([*names, "ids array<int>"]))
     chunks = _giant_chunks(frame.filter(giant).select("uid", F.col("__text").alias("text")), model_path, chunk_chars)
@@ -340,9 +331,12 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model_path: str = MODEL_PAT
         for batch in batches:
             at = batch.schema.get_field_index(ids_col)
             lists = batch.column(at)
-            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-            out = [b"".join(map(table.__getitem__, values[a:b].tolist()))[1:].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             rest = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(out, pa.string())], [*(batch.schema.names[i] for i in rest), "text"])
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for lo, hi in split_rows(offsets - offsets[0], BATCH_BYTES // 4):
+                ends = offsets[lo : hi + 1].tolist()
+                out = [b"".join(map(table.__getitem__, values[a:b].tolist()))[1:].decode() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in rest), pa.array(out, pa.string())], [*(batch.schema.names[i] for i in rest), "text"])
+            pa.default_memory_pool().release_unused()
 
     return encoded.mapInArrow(run, names + ", text string")
