@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayside.functions.text import clean, let, parse_number, upper
@@ -55,6 +55,8 @@ VIEWER_TERMS = {
 # Display colours.
 COLORS = {"PLASTIC": "#f7e708f0", "STEEL": "#061FFAF6", "IRON": "#8b4513", "COPPER": "#b87333", "UNKNOWN": "#D30FFAEB", "OTHER": "#7b68ee"}
 LAYER_COLORS = {"distribution": "#0066cc", "service": "#00a651", "": "#d40000"}
+#: Distinct texts up to which a rule is applied to them alone and joined back.
+FEW_TEXTS = 4096
 #: Terms of at least this many letters also match the start of a token.
 PREFIX_LETTERS = 4
 
@@ -134,3 +136,13 @@ def search_ring(distance: Column | str, first: int = 100, step: int = 100) -> Co
     """The ring (in steps) that would have found a match at this distance."""
     d = F.col(distance) if isinstance(distance, str) else distance
     return F.when(d <= first, F.lit(first).cast("long")).otherwise(first + step * F.ceil((d - first) / step))
+
+
+def with_rule(df: DataFrame, column: str, out: str, rule, few: int = FEW_TEXTS) -> DataFrame:
+    """df with out = rule(column). A table has few distinct materials: up to `few` the rule is
+    applied to these and broadcast back (their number is checked), beyond it to every row."""
+    texts = df.select(F.col(column).cast("string").alias("__text")).distinct().limit(few + 1).collect()
+    if len(texts) > few:
+        return df.withColumn(out, rule(column))
+    table = df.sparkSession.createDataFrame(texts, "__text string").select("__text", rule("__text").alias(out))
+    return df.join(F.broadcast(table), F.col(column).cast("string").eqNullSafe(F.col("__text")), "left").drop("__text")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayside.functions.material import material_family, material_label, route_layers
-from wayside.functions.text import clean, normalize_key, number_or_null, parse_number, upper
+from wayside.functions.material import material_label, route_layers, with_rule
+from wayside.functions.text import clean, normalize_key, number_or_null, parse_number
 
 
 def last_row(df: DataFrame, key: str, order: list) -> DataFrame:
@@ -22,10 +22,11 @@ def first_row(df: DataFrame, key: str, order: list) -> DataFrame:
 
 def supplemental(raw: DataFrame) -> DataFrame:
     """leak_key, diameter, material, pressure, facility; of rows with one key the last counts."""
-    rows = raw.select(
+    labelled = with_rule(with_rule(raw, "LeakMaterialType", "__label", lambda c: clean(material_label(c))), "Diameter", "__diameter", parse_number)
+    rows = labelled.select(
         normalize_key("LeakNumber").alias("leak_key"),
-        parse_number("Diameter").alias("leak_diameter"),
-        clean(material_label("LeakMaterialType")).alias("leak_material"),
+        F.col("__diameter").alias("leak_diameter"),
+        F.col("__label").alias("leak_material"),
         clean("Pressure").alias("leak_pressure"),
         clean("FacilityType").alias("facility"),
         "ordinal",
@@ -44,13 +45,13 @@ def gated_leaks(leaks: DataFrame, supp: DataFrame) -> DataFrame:
 
 def leak_tasks(gated: DataFrame) -> DataFrame:
     ready = gated.filter("gate = 'ready'").drop("gate")
-    return ready.withColumn("allowed_layers", route_layers("facility")).withColumn("family", material_family("leak_material")).withColumn("label", upper("leak_material"))
+    return ready.withColumn("allowed_layers", route_layers("facility"))
 
 
 def prepared_pipes(pipes: DataFrame, material: str = "material") -> DataFrame:
     """Canonical pipe columns; missing material ('') and diameter (null) are kept."""
-    return pipes.select(
-        "layer", "pipe_oid", material_label(material).alias("material"), number_or_null("nominaldiameter").alias("diameter"), clean("operatingpressure").alias("pressure"),
+    return with_rule(pipes, material, "__label", material_label).select(
+        "layer", "pipe_oid", F.col("__label").alias("material"), number_or_null("nominaldiameter").alias("diameter"), clean("operatingpressure").alias("pressure"),
         *[c for c in ("x1", "y1", "dx", "dy", "paths") if c in pipes.columns],
     )
 
