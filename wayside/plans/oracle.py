@@ -200,5 +200,7 @@ SELECT OBJECTID, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed, epoch_us(c) // 1
     "filtered_count": with_(BASE) + "SELECT count(*) AS n FROM leaks WHERE jurisdiction = 'MA'",
     "distinct_ids": with_(BASE) + "SELECT DISTINCT pipe_oid FROM pipes",
     "stacked_layers": with_(BASE) + "SELECT pipe_oid, layer, CASE WHEN layer = 'distribution' THEN nominaldiameter END AS nominaldiameter FROM pipes",
+    "snapshot_roundtrip": with_(BASE) + "SELECT pipe_oid, nominaldiameter, x1, dy FROM pipes WHERE layer = 'service'",
+    "csv_roundtrip": with_(BASE) + "SELECT nullif(Diameter, '') AS Diameter, nullif(FacilityType, '') AS FacilityType, nullif(Pressure, '') AS Pressure, CAST(ordinal AS VARCHAR) AS row_no, count(*) AS n FROM supp GROUP BY ALL",
     "duplicate_ids_last": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1",
 }

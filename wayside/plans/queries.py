@@ -15,7 +15,7 @@ from wayside.operators import viewport as V
 from wayside.operators.export import date_export
 from wayside.operators.prepare import last_row, pipe_gaps, prepared_pipes, supplemental
 from wayside.plans import workload as W
-from wayside.sources.pages import features, layer_schema
+from wayside.sources.pages import features, layer_schema, read_snapshot, read_supplemental, scratch_folder, write_csv, write_snapshot
 
 BOX = (40000.0, 40000.0, 70000.0, 60000.0)
 DELTA_FROM_ORDER_KEY = 3
@@ -296,6 +296,19 @@ def watermark_literals(spark, d):
     return e.select("event_id", epoch_ms(ms).alias("ms"), F.date_format(safe_watermark(ms), "yyyy-MM-dd HH:mm:ss").alias("mark"))
 
 
+def snapshot_roundtrip(spark, d):
+    folder = scratch_folder(spark)
+    write_snapshot(W.pipes(spark, d).filter("layer = 'service'"), folder, "pipes", "service", None, None)
+    return read_snapshot(spark, folder, "pipes", "service").select("pipe_oid", "nominaldiameter", "x1", "dy")
+
+
+def csv_roundtrip(spark, d):
+    """The supplemental table through a CSV file, where every column is text and blanks are null."""
+    folder = scratch_folder(spark)
+    write_csv(W.raw_supplemental(spark, d).withColumnRenamed("ordinal", "row_no"), folder)
+    return read_supplemental(spark, folder).groupBy("Diameter", "FacilityType", "Pressure", "row_no").agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     "clean_keys": clean_keys,
     "parse_numbers": parse_numbers,
@@ -347,4 +360,6 @@ QUERIES = {
     "distinct_ids": distinct_ids,
     "stacked_layers": stacked_layers,
     "duplicate_ids_last": duplicate_ids_last,
+    "snapshot_roundtrip": snapshot_roundtrip,
+    "csv_roundtrip": csv_roundtrip,
 }

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +62,16 @@ def read_supplemental(spark: SparkSession, path: str, key: str = "LeakNumber") -
     return raw.withColumn("ordinal", F.monotonically_increasing_id())
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share: under spark.checkpoint.dir, or a temporary one where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+def write_csv(df: DataFrame, folder: str) -> None:
+    df.write.option("header", True).csv(folder)
+
+
 # -- snapshots: a new version is written, then the one-row metadata table names it --
 
 
@@ -82,8 +94,6 @@ def read_snapshot(spark: SparkSession, folder: str, url: str, where: str) -> Dat
 
 
 def snapshot_meta(spark: SparkSession, folder: str) -> dict | None:
-    from pyspark.errors import AnalysisException
-
     try:
         row = spark.read.parquet(f"{folder}/meta").withColumn("age_seconds", F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("cached_utc")).first()
     except AnalysisException:
