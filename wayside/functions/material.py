@@ -138,11 +138,16 @@ def search_ring(distance: Column | str, first: int = 100, step: int = 100) -> Co
     return F.when(d <= first, F.lit(first).cast("long")).otherwise(first + step * F.ceil((d - first) / step))
 
 
-def with_rule(df: DataFrame, column: str, out: str, rule, few: int = FEW_TEXTS) -> DataFrame:
-    """df with out = rule(column). A table has few distinct materials: up to `few` the rule is
-    applied to these and broadcast back (their number is checked), beyond it to every row."""
+def with_rules(df: DataFrame, column: str, rules: dict, few: int = FEW_TEXTS) -> DataFrame:
+    """df with a column for each rule of one text column. A table has few distinct materials:
+    up to `few` the rules are applied to these and broadcast back (their number is checked),
+    beyond it to every row."""
     texts = df.select(F.col(column).cast("string").alias("__text")).distinct().limit(few + 1).collect()
     if len(texts) > few:
-        return df.withColumn(out, rule(column))
-    table = df.sparkSession.createDataFrame(texts, "__text string").select("__text", rule("__text").alias(out))
+        return df.withColumns({out: rule(column) for out, rule in rules.items()})
+    table = df.sparkSession.createDataFrame(texts, "__text string").select("__text", *[rule("__text").alias(out) for out, rule in rules.items()])
     return df.join(F.broadcast(table), F.col(column).cast("string").eqNullSafe(F.col("__text")), "left").drop("__text")
+
+
+#: Cleaned label, its upper-case form and its compatibility family, of a raw material text.
+MATERIAL_RULES = {"material": lambda c: clean(material_label(c)), "label": lambda c: upper(material_label(c)), "family": material_family}

@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.functions.material import material_family, search_ring, with_rule
+from wayside.functions.material import search_ring
 from wayside.functions.text import upper
 from wayside.operators.nearest import nearest_within
 from wayside.operators.prepare import last_row
 
 MAX_RADIUS_FT = 3000.0
-FIRST_RING_FT = 600.0
 
 
-def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = True, require_pressure: bool = False, radius: float = MAX_RADIUS_FT, rings: tuple[float, ...] = (FIRST_RING_FT,)) -> DataFrame:
+def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = True, require_pressure: bool = False, radius: float = MAX_RADIUS_FT, rings: tuple[float, ...] = ()) -> DataFrame:
     """Nearest agreeing pipe of every leak. segments: one row per segment with the
-    prepared pipe columns. Blank materials and null diameters never agree."""
-    agree = material_family if family_fallback else upper
+    prepared pipe columns. Blank materials and null diameters never agree. Both sides
+    bring their label and family; equal labels have equal families."""
+    agree = "family" if family_fallback else "label"
     keys = ["layer", "diameter", "agree", *(["press"] if require_pressure else [])]
-    leaks = with_rule(tasks, "leak_material", "agree", agree).select("leak_oid", "x", "y", F.explode("allowed_layers").alias("layer"), F.col("leak_diameter").alias("diameter"), "agree", upper("leak_pressure").alias("press"))
-    lines = with_rule(segments.filter("material <> '' and diameter is not null"), "material", "agree", agree).withColumn("press", upper("pressure"))
+    leaks = tasks.select("leak_oid", "x", "y", F.explode("allowed_layers").alias("layer"), F.col("leak_diameter").alias("diameter"), F.col(agree).alias("agree"), upper("leak_pressure").alias("press"))
+    lines = segments.filter("material <> '' and diameter is not null").withColumn("agree", F.col(agree)).withColumn("press", upper("pressure"))
     lines = lines.withColumn("layer_rank", F.when(F.col("layer") == "distribution", 0).otherwise(1))
     if require_pressure:
         leaks, lines = leaks.filter("press <> ''"), lines.filter("press <> ''")

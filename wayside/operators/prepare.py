@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayside.functions.material import material_label, route_layers, with_rule
+from wayside.functions.material import MATERIAL_RULES, material_label, route_layers, with_rules
 from wayside.functions.text import clean, normalize_key, number_or_null, parse_number
 
 
@@ -22,11 +22,12 @@ def first_row(df: DataFrame, key: str, order: list) -> DataFrame:
 
 def supplemental(raw: DataFrame) -> DataFrame:
     """leak_key, diameter, material, pressure, facility; of rows with one key the last counts."""
-    labelled = with_rule(with_rule(raw, "LeakMaterialType", "__label", lambda c: clean(material_label(c))), "Diameter", "__diameter", parse_number)
-    rows = labelled.select(
+    rows = with_rules(raw, "LeakMaterialType", MATERIAL_RULES).select(
         normalize_key("LeakNumber").alias("leak_key"),
-        F.col("__diameter").alias("leak_diameter"),
-        F.col("__label").alias("leak_material"),
+        parse_number("Diameter").alias("leak_diameter"),
+        F.col("material").alias("leak_material"),
+        "label",
+        "family",
         clean("Pressure").alias("leak_pressure"),
         clean("FacilityType").alias("facility"),
         "ordinal",
@@ -40,7 +41,7 @@ def gated_leaks(leaks: DataFrame, supp: DataFrame) -> DataFrame:
     keyed = leaks.select("leak_oid", normalize_key("leak_key_raw").alias("leak_key"), "x", "y")
     joined = keyed.join(supp.withColumn("has_supp", F.lit(True)), "leak_key", "left")
     gate = F.when(F.col("has_supp").isNull(), "missing_supplemental").when(F.col("leak_diameter").isNull() | (F.col("leak_material") == ""), "missing_match_attributes").otherwise("ready")
-    return joined.select("leak_oid", "leak_key", "x", "y", "leak_diameter", "leak_material", "leak_pressure", "facility", gate.alias("gate"))
+    return joined.select("leak_oid", "leak_key", "x", "y", "leak_diameter", "leak_material", "leak_pressure", "facility", "label", "family", gate.alias("gate"))
 
 
 def leak_tasks(gated: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def leak_tasks(gated: DataFrame) -> DataFrame:
 
 def prepared_pipes(pipes: DataFrame, material: str = "material") -> DataFrame:
     """Canonical pipe columns; missing material ('') and diameter (null) are kept."""
-    return with_rule(pipes, material, "__label", material_label).select(
+    return with_rules(pipes, material, {"__label": material_label}).select(
         "layer", "pipe_oid", F.col("__label").alias("material"), number_or_null("nominaldiameter").alias("diameter"), clean("operatingpressure").alias("pressure"),
         *[c for c in ("x1", "y1", "dx", "dy", "paths") if c in pipes.columns],
     )

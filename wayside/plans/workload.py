@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayside.functions.material import LABELS, material_label, with_rule
+from wayside.functions.material import LABELS, MATERIAL_RULES, with_rules
 from wayside.operators.enrich import DOMAIN_SCHEMA, decoder, enrich_pipes
 from wayside.operators.prepare import gated_leaks, leak_tasks, supplemental
 
@@ -71,8 +71,8 @@ def pipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments with the prepared pipe columns that matching needs."""
     pipes(spark, sf_dir).createOrReplaceTempView("pipes")
-    s = with_rule(spark.sql(SEGMENTS), "assettype", "material", material_label)
-    return s.select("pipe_oid", "layer", "material", s.nominaldiameter.alias("diameter"), s.operatingpressure.alias("pressure"), "path_idx", "seg_idx", "ax", "ay", "bx", "b_y")
+    s = with_rules(spark.sql(SEGMENTS), "assettype", MATERIAL_RULES)
+    return s.select("pipe_oid", "layer", "material", "label", "family", s.nominaldiameter.alias("diameter"), s.operatingpressure.alias("pressure"), "path_idx", "seg_idx", "ax", "ay", "bx", "b_y")
 
 
 def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
