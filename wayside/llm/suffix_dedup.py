@@ -37,7 +37,7 @@ WIDTH = 50
 K = 16
 SHALLOW = 16
 BATCH_BYTES = 2 << 20
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 6 << 20
 GROUP_BITS = 8
 HASH_MASK = np.uint64((1 << 48) - 1)
 NULL_RANK = (1 << 63) - 1
@@ -63,7 +63,8 @@ def window_hashes(data: np.ndarray, k: int = K) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, width: int = WIDTH, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor positions of one text, their 48-bit hashes, and each window's smallest hash."""
+    """Anchor positions of one text, their 48-bit keys, and each window's key. Keys are
+    mixed again: anchors have small hashes, which would all fall into the first shards."""
     if len(data) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     h = window_hashes(data, k) & HASH_MASK
@@ -71,7 +72,7 @@ def anchors(data: np.ndarray, width: int = WIDTH, k: int = K) -> tuple[np.ndarra
     least = _slide(h, w, np.minimum)
     padded = np.concatenate([np.zeros(w - 1, np.uint64), least, np.zeros(w - 1, np.uint64)])
     at = np.flatnonzero(_slide(padded, w, np.maximum) == h)
-    return at, h[at], least
+    return at, mix64(h[at]) & HASH_MASK, mix64(least) & HASH_MASK
 
 
 def load8(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -148,6 +149,11 @@ def _leading_bytes(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _set_bits(masks: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and bit of every set bit of 64-bit masks, in order."""
+    return np.nonzero(np.unpackbits(np.ascontiguousarray(masks, "<u8").view(np.uint8).reshape(-1, 8), axis=1, count=width, bitorder="little"))
+
+
 def repeated_windows(contexts: np.ndarray, masks: np.ndarray, ranks: np.ndarray, width: int = WIDTH, k: int = K, shallow: int = SHALLOW) -> np.ndarray:
     """Of each context's windows (bit o: the window at byte o), those that a smaller rank has too."""
     size = contexts.shape[1]
@@ -160,7 +166,7 @@ def repeated_windows(contexts: np.ndarray, masks: np.ndarray, ranks: np.ndarray,
     lowest = np.full(len(first), NULL_RANK, np.int64)
     np.minimum.at(lowest, which, ranks)
     flat = np.concatenate([contexts[first].ravel(), np.zeros(8, np.uint8)])
-    owner, offset = np.nonzero(masks[first][:, None] >> np.arange(width - k + 1, dtype=np.uint64) & np.uint64(1))
+    owner, offset = _set_bits(masks[first], width - k + 1)
     places, cls = deep_shallow(flat, owner * size + offset, width, shallow)
     best = np.full(len(places), NULL_RANK, np.int64)
     np.minimum.at(best, cls, lowest[owner[places]])
@@ -300,7 +306,7 @@ def _repeats(width: int = WIDTH, k: int = K, shallow: int = SHALLOW):
         uid, places, mask = np.concatenate([uid, settled[:, 0]]), np.concatenate([places, settled[:, 1]]), np.concatenate([mask, settled[:, 2].view(np.uint64)])
         some = mask > 0
         uid, places, mask = uid[some], places[some], mask[some]
-        i, o = np.nonzero(mask[:, None] >> np.arange(w, dtype=np.uint64) & np.uint64(1))
+        i, o = _set_bits(mask, w)
         # runs of windows whose starts follow each other: start of the first and end of the last
         brk = np.concatenate([[True], (i[1:] != i[:-1]) | (o[1:] != o[:-1] + 1)]) if len(i) else np.zeros(0, bool)
         first = np.flatnonzero(brk)
