@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+import wayside.llm.suffix_dedup as operator
 from wayside.llm.suffix_dedup import deep_shallow, suffix_dedup
 
 
@@ -46,8 +47,9 @@ def corpus(seed):
     return [*rows, (7, texts[20]), (None, texts[21]), (None, texts[22]), (20, texts[20])]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, seed, tmp_path):
+@pytest.mark.parametrize("seed, few", [(1, 1 << 20), (2, 0)])
+def test_against_brute_force(spark, seed, few, tmp_path, monkeypatch):
+    monkeypatch.setattr(operator, "BROADCAST_ROWS", few)
     rows = corpus(seed)
     spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, uid string").repartition(3).write.parquet(f"{tmp_path}/d")
     got = suffix_dedup(spark.read.parquet(f"{tmp_path}/d"), shard_bytes=1500).collect()

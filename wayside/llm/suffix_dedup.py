@@ -39,6 +39,7 @@ SHALLOW = 16
 BATCH_BYTES = 2 << 20
 SHARD_BYTES = 6 << 20
 GROUP_BITS = 8
+BROADCAST_ROWS = 1 << 20
 HASH_MASK = np.uint64((1 << 48) - 1)
 NULL_RANK = (1 << 63) - 1
 
@@ -365,7 +366,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = materialise(marked.select("uid", "doc_id", "n_bytes", "sha", "copy"))
     size = marked.filter("not copy").agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(12, -(-size // shard_bytes))
-    rest = texts.join(marked.filter("copy").select("uid"), "uid", "left_anti")
+    copies = materialise(marked.filter("copy").select("uid"))
+    if copies.count() <= BROADCAST_ROWS:  # the texts then stay in their order, and documents of a group together
+        rest = texts.join(F.broadcast(copies), "uid", "left_anti")
+    else:
+        group = F.shiftright("uid", GROUP_BITS)
+        rest = texts.join(copies, "uid", "left_anti").repartition(group).sortWithinPartitions("uid")
     entries = rest.select("uid", "text").mapInArrow(_anchor_entries(shards), ENTRIES)
     shared = entries.groupBy("shard").applyInArrow(_shared_anchors, "grp long, keys binary, rows binary")
     flags = materialise(shared.groupBy("grp").applyInArrow(_by_document("keys", np.uint64), "uid long, keys binary"))
