@@ -87,7 +87,7 @@ def prefix_keys(tokens: np.ndarray, classes: np.ndarray, long: int = LONG) -> np
     ordered = tokens[order]
     rare = int((classes == 0).sum())
     prefix = n - required(n) + 1
-    keys = [ordered[: min(prefix, rare)]]
+    keys = [mix64(ordered[: min(prefix, rare)])]  # mixed again: the first in hash order are all small
     if rare < prefix:
         if n <= long:
             part = ordered[rare : prefix + 1]
@@ -281,9 +281,9 @@ def _matrix(maps: list[bytes]) -> np.ndarray:
 
 
 def _between(lists: pa.Table, labels: pa.Table) -> pa.Table:
-    """Candidates of a shard's large buckets between different components."""
+    """Candidates of a shard's large buckets between different components, packed by document."""
     if not lists.num_rows:
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        return pa.table({"d": pa.array([], pa.int64()), "others": pa.array([], pa.binary())})
     uid = labels["uid"].to_numpy()
     order = np.argsort(uid)
     uid = uid[order]
@@ -308,19 +308,29 @@ def _between(lists: pa.Table, labels: pa.Table) -> pa.Table:
         values, counts = np.unique(own[s:e], return_counts=True)
         for d in members[s:e][own[s:e] != values[counts.argmax()]].tolist():
             partners.setdefault(d, []).append((s, e))
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    out = []
     for d, ranges in partners.items():
         mask = np.zeros(len(uid), bool)
         for s, e in ranges:
             mask[members[s:e]] = True
         c = np.flatnonzero(mask & (label != label[d]))
         c = c[_sizes_fit(size[c], size[d])]
+        found = [np.zeros(0, np.int64)]
         for w in np.unique(width[c]).tolist():
             e = c[width[c] == w]
-            e = e[_may_link(size[e], size[d], matrix[w][slot[e]], _matrix([maps[d]]))]
-            a.append(np.minimum(uid[e], uid[d]))
-            b.append(np.maximum(uid[e], uid[d]))
-    return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+            found.append(e[_may_link(size[e], size[d], matrix[w][slot[e]], _matrix([maps[d]]))])
+        others = uid[np.concatenate(found)]
+        if len(others):
+            out.append((int(uid[d]), others.tobytes()))
+    return pa.table({"d": pa.array([x[0] for x in out], pa.int64()), "others": pa.array([x[1] for x in out], pa.binary())})
+
+
+def _distinct_pairs(table: pa.Table) -> pa.Table:
+    """The pairs of some documents' packed candidates, each once."""
+    d = np.repeat(table["d"].to_numpy(), [len(x.as_py()) // 8 for x in table["others"]])
+    other = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table["others"]])
+    pairs = np.unique(np.stack([np.minimum(d, other), np.maximum(d, other)], axis=1), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
 
 
 def _prune(batches):
@@ -395,7 +405,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.RecordBatch.from_arrays([pa.array([shard] * len(u), pa.int32()), pa.array(u)], ["shard", "uid"])
 
     where = lists.select("shard", "uids").mapInArrow(present, "shard int, uid long").join(signs, "uid").join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-    more = lists.groupBy("shard").cogroup(where.groupBy("shard")).applyInArrow(_between, "a long, b long").distinct()
+    more = lists.groupBy("shard").cogroup(where.groupBy("shard")).applyInArrow(_between, "d long, others binary")
+    more = more.groupBy("d").applyInArrow(_distinct_pairs, "a long, b long").distinct()
     links = links.union(copies).union(_verified(materialise(more), plain))
     labels = connected_components(links).toDF("uid", "label")
     named = materialise(info.select("uid", "doc_id", F.col("n").alias("n_shingles")).join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid")))
