@@ -69,3 +69,37 @@ def test_against_brute_force(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert score(docs, train(docs)).count() == 0
+
+
+def test_three_levels_with_all_that_was_seen(spark):
+    texts = ["the cat sat on the mat", "the cat sat down", "The dog sat on the cat", None, "a cat ran", "zebra sat on the mat", "on the mat sat a dog", "x y x y x"] * 3
+    texts += ["seen once only here", "the cat seen once", "q r s t"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in score(docs, train(docs, batch_bytes=300, shard_bytes=200, min_count=1, order=3), batch_bytes=500).collect()}
+    grams, starts, n = [Counter(), Counter(), Counter()], 0, 0
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            w = [1, *words(t), 0]
+            starts, n = starts + 1, n + len(w) - 1
+            for k in (1, 2, 3):
+                grams[k - 1].update(zip(*(w[j:] for j in range(k)), strict=False))
+    grams[0].pop((1,))
+    v = len(grams[0])
+    code = lambda x: min(255, max(0, round(-x * 255 / 12))) * -12 / 255
+    total = lambda c: starts if c == (1,) else grams[len(c) - 1][c]
+
+    def log(g):
+        if len(g) == 1:
+            return math.log10((grams[0][g] + 0.5) / (n + 0.5 * (v + 1)))
+        c, low = g[:-1], log(g[1:])
+        follow = [m for h, m in grams[len(g) - 1].items() if h[:-1] == c]
+        if not follow:
+            return low
+        rest = code(math.log10(min(1, max(1e-9, 1 - sum((m - 0.75) / total(c) for m in follow)))))
+        m = grams[len(g) - 1][g]
+        return code(math.log10((m - 0.75) / total(c) + 10 ** (rest + low))) if m else rest + low
+
+    assert sum(m == 1 for m in grams[1].values()) > 3
+    for i, t in enumerate(texts):
+        w = [1, *words(t), 0]
+        assert abs(out[i].score - sum(log(tuple(w[max(0, j - 2) : j + 1])) for j in range(1, len(w)))) < 1e-6

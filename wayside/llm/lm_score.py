@@ -1,22 +1,25 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
 Level 1 holds the training vocabulary: sorted 64-bit word hashes as an Elias-Fano
-sequence, a word's rank is its id. Level 2 holds, for each context id, the ids of
-the words that follow it at least min_count times: monotone pointers give a
-context's range, and the ids, made monotone by adding context times vocabulary
-size, are searched for the successor inside this range. Probabilities of level 2
-are absolutely discounted, interpolated with level 1, and quantised to 8 bits in
-log space, as are the weights left to level 1 in each context; level 1 refers to
-its few distinct counts. Levels are cut into shards by hash and context range.
-
-Two counting passes build the levels and one map-only pass scores. Counts are
-taken over all training texts: each task sends sorted distinct words, and then
-delta-coded distinct word pairs, with local counts; pairs are dealt by a hash of
-both words, so a frequent word does not gather in a task, and only pairs that
-reach min_count are sent on to their context's shard. The levels are files in a
-folder under spark.checkpoint.dir (a mounted path), mapped by the scoring tasks
-and kept out of their heaps; they grow with the vocabulary and the frequent pairs,
-so beyond a node's storage min_count has to rise.
+sequence, a word's rank is its id. Level n holds, for each context (a node of level
+n - 1, at level 2 also the start of a text), the nodes of level n - 1 that end in the
+words that follow it at least min_count times: the word at level 2, the pair of the
+context's last word and the next one at level 3. Monotone pointers give a context's
+range, and the nodes, made monotone by adding context times their number, are searched
+for the successor inside this range; a node's place is its id for the next level.
+Probabilities from level 2 on are absolutely discounted, interpolated with the level
+below, and quantised to 8 bits in log space, as are the weights left to the level below
+in each context; level 1, and levels with one above them, refer to their few distinct
+counts. Levels are cut into shards by hash and context range.
+
+A counting pass for each level builds the levels and one map-only pass scores. Counts
+are taken over all training texts: each task sends sorted distinct words, and then
+delta-coded distinct pairs of nodes, with local counts; pairs are dealt by a hash of
+both, so a frequent word does not gather in a task, and those that reach min_count are
+sent on to their context's shard. With min_count 1 nothing that was seen is left out.
+The levels are files in a folder under spark.checkpoint.dir (a mounted path), mapped by
+the scoring tasks and kept out of their heaps; they grow with the distinct n-grams, and
+their shards with the input.
 
 Words that share a 64-bit hash are one word to the model. Defined results: null
 and empty texts are the end token alone; ids may be null (they hash as empty
@@ -41,6 +44,8 @@ from wayside.llm.elias_fano import Sequence, _save, write_sequence
 BATCH_BYTES = 12 << 20
 SHARD_BYTES = 24 << 20
 MIN_COUNT = 2
+ORDER = 2
+MOST_NODES = (1 << 32) - 2
 DISCOUNT = 0.75
 END = np.uint64(0x5AFE0E0D0C0B0A09)
 LEVELS = 255
@@ -115,24 +120,40 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 class Trie:
     """The levels of a folder, mapped when first used."""
 
-    def __init__(self, path: str, shards: int, bases: list[int], total: int):
-        self.path, self.shards, self.bases, self.total = path, shards, np.array(bases, np.int64), total
-        self.words = int(self.bases[-1])
-        self.per_context = -(-(self.words + 1) // shards)
+    def __init__(self, path: str, shards: int, bases: list[list[int]], total: int):
+        self.path, self.shards, self.bases, self.total = path, shards, [np.array(b, np.int64) for b in bases], total
+        self.words = self.nodes(1)
         self.open: dict[str, tuple] = {}
 
+    def nodes(self, n: int) -> int:
+        return int(self.bases[n - 1][-1])
+
+    def per_context(self, n: int) -> int:
+        """Contexts in a shard of level n: the nodes of the level below and the start of a text."""
+        return -(-(self.nodes(n - 1) + 1) // self.shards)
+
+    def parts(self) -> tuple[str, int, list[list[int]], int]:
+        return self.path, self.shards, [b.tolist() for b in self.bases], self.total
+
     def _level1(self, k: int):
         if (key := f"1-{k}") not in self.open:
             p = f"{self.path}/{key}"
             self.open[key] = (Sequence(p), np.load(p + ".codes.npy", mmap_mode="r"), np.load(p + ".table.npy")) if os.path.exists(p + ".table.npy") else None
         return self.open[key]
 
-    def _level2(self, k: int):
-        if (key := f"2-{k}") not in self.open:
+    def _level(self, n: int, k: int):
+        if (key := f"{n}-{k}") not in self.open:
             p = f"{self.path}/{key}"
             self.open[key] = (Sequence(p + ".contexts"), np.load(p + ".pointers.npy", mmap_mode="r"), np.load(p + ".rest.npy", mmap_mode="r"), Sequence(p + ".words"), np.load(p + ".codes.npy", mmap_mode="r")) if os.path.exists(p + ".codes.npy") else None
         return self.open[key]
 
+    def _counts(self, n: int, k: int):
+        if n == 1:
+            return self._level1(k)[1:]
+        if (key := f"{n}-{k}.counts") not in self.open:
+            self.open[key] = (np.load(f"{self.path}/{key}.npy", mmap_mode="r"), np.load(f"{self.path}/{n}-{k}.table.npy"))
+        return self.open[key]
+
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts of distinct sorted hashes."""
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
@@ -142,56 +163,77 @@ class Trie:
                 continue
             at, found = level[0].successor(hashes[a:b])
             hit = np.flatnonzero(found)
-            ids[a + hit] = self.bases[k] + at[hit]
+            ids[a + hit] = self.bases[0][k] + at[hit]
             counts[a + hit] = level[2][level[1][at[hit]]]
         return ids, counts
 
-    def counts_of(self, ids: np.ndarray) -> np.ndarray:
-        """Counts of distinct sorted ids."""
-        out = np.zeros(len(ids), np.int64)
-        cuts = np.searchsorted(ids, self.bases)
+    def _slices(self, n: int, ids: np.ndarray):
+        cuts = np.searchsorted(ids, self.bases[n - 1])
         for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if a < b:
-                _, codes, table = self._level1(k)
-                out[a:b] = table[codes[ids[a:b] - self.bases[k]]]
+                yield k, slice(a, b), ids[a:b] - self.bases[n - 1][k]
+
+    def counts_of(self, n: int, ids: np.ndarray) -> np.ndarray:
+        """Counts of distinct sorted nodes of level n."""
+        out = np.zeros(len(ids), np.int64)
+        for k, part, local in self._slices(n, ids):
+            codes, table = self._counts(n, k)
+            out[part] = table[codes[local]]
+        return out
+
+    def log_of(self, n: int, ids: np.ndarray) -> np.ndarray:
+        """log10 probability of distinct sorted nodes of level n."""
+        if n == 1:
+            return self.log_base(self.counts_of(1, ids))
+        out = np.zeros(len(ids))
+        for k, part, local in self._slices(n, ids):
+            out[part] = restore(self._level(n, k)[4][local])
         return out
 
     def log_base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.total + 0.5 * (self.words + 1)))
 
-    def log_pairs(self, context: np.ndarray, word: np.ndarray, log_base: np.ndarray) -> np.ndarray:
-        """log10 probability of words after contexts (sorted by context); unknown ids are -1."""
-        out = log_base.copy()
-        cuts = np.searchsorted(context, np.arange(self.shards + 1) * self.per_context)
+    def find(self, n: int, context: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For contexts (sorted) and nodes of the level below (-1: unknown): the ids at level n (-1:
+        not held), the contexts' log10 weight left to the level below, and what is held's log10 probability."""
+        ids, left, value = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.zeros(len(context))
+        per, most = self.per_context(n), np.uint64(max(1, self.nodes(n - 1)))
+        cuts = np.searchsorted(context, np.arange(self.shards + 1) * per)
         for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if a == b or (level := self._level2(k)) is None:
+            if a == b or (level := self._level(n, k)) is None:
                 continue
             contexts, pointers, rest, words, codes = level
-            local = context[a:b] - k * self.per_context
-            place, known = contexts.successor(local)
+            place, known = contexts.successor(context[a:b] - k * per)
             hit = np.flatnonzero(known)
             place = place[hit]
-            out[a + hit] += restore(rest[place])
-            hit, place = hit[word[a + hit] >= 0], place[word[a + hit] >= 0]
-            value = place.astype(np.uint64) * np.uint64(max(1, self.words)) + word[a + hit].astype(np.uint64)
-            at, found = words.successor(value, pointers[place].astype(np.int64), pointers[place + 1].astype(np.int64))
-            out[a + hit[found]] = restore(codes[at[found]])
-        return out
-
-
-def _pairs(trie: Trie, stream: np.ndarray, firsts: np.ndarray):
-    """Distinct words with their place in the stream, their ids and counts; the context's id of each token."""
-    words, inverse = np.unique(stream, return_inverse=True)
-    ids, counts = trie.lookup(words)
-    token = ids[inverse]
-    context = np.empty_like(token)
-    context[1:] = token[:-1]
-    context[firsts[:-1]] = trie.words  # the start of a text
-    return inverse, ids, counts, token, context
-
-
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: tuple[int, int] = (5, 1), min_count: int = MIN_COUNT, discount: float = DISCOUNT, shard_bytes: int = SHARD_BYTES, batch_bytes: int = BATCH_BYTES) -> Trie:
-    """Build the levels of all documents outside the held-out fold."""
+            left[a + hit] = restore(rest[place])
+            hit, place = hit[low[a + hit] >= 0], place[low[a + hit] >= 0]
+            at, found = words.successor(place.astype(np.uint64) * most + low[a + hit].astype(np.uint64), pointers[place].astype(np.int64), pointers[place + 1].astype(np.int64))
+            hit, at = a + hit[found], at[found]
+            ids[hit] = self.bases[n - 1][k] + at
+            value[hit] = restore(codes[at])
+        return ids, left, value
+
+
+def _contexts(trie: Trie, n: int, below: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Each token's context at level n: the node of the level below that ends before it."""
+    context = np.empty_like(below)
+    context[1:] = below[:-1]
+    context[firsts[:-1]] = trie.words if n == 2 else -1  # the start of a text
+    return context
+
+
+def _climb(trie: Trie, n: int, below: np.ndarray, firsts: np.ndarray, log: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Each token's node at level n, and its log probability from that of the level below."""
+    key = (_contexts(trie, n, below, firsts) + 1).astype(np.uint64) << PAIR_SHIFT | (below + 1).astype(np.uint64)
+    key, inverse = np.unique(key, return_inverse=True)
+    ids, left, value = trie.find(n, (key >> PAIR_SHIFT).astype(np.int64) - 1, (key & np.uint64(0xFFFFFFFF)).astype(np.int64) - 1)
+    node = ids[inverse]
+    return node, None if log is None else np.where(node >= 0, value[inverse], log + left[inverse])
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: tuple[int, int] = (5, 1), min_count: int = MIN_COUNT, discount: float = DISCOUNT, shard_bytes: int = SHARD_BYTES, batch_bytes: int = BATCH_BYTES, order: int = ORDER) -> Trie:
+    """Build the levels 1 to order of all documents outside the held-out fold."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/trie-{uuid.uuid4().hex}"
     path = re.sub(r"^file:/*", "/", folder)
@@ -222,17 +264,32 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
 
     found = {r["shard"]: r for r in texts.mapInArrow(words, PACKED).groupBy("shard").applyInArrow(level1, "shard int, words long, tokens long").collect()}
     bases = np.concatenate([[0], np.cumsum([found[k]["words"] if k in found else 0 for k in range(shards)])]).tolist()
-    trie = Trie(path, shards, bases, sum(r["tokens"] for r in found.values()))
-    size_of = (trie.path, shards, bases, trie.total)
+    trie = Trie(path, shards, [bases], sum(r["tokens"] for r in found.values()))
+    for n in range(2, order + 1):
+        if trie.nodes(n - 1) > MOST_NODES:
+            raise ValueError(f"level {n - 1} has {trie.nodes(n - 1)} nodes; an id has 32 bits")
+        sizes = _level_n(texts, trie, n, starts, n < order, min_count, discount, batch_bytes)
+        trie.bases.append(np.concatenate([[0], np.cumsum([sizes.get(k, 0) for k in range(shards)])]).astype(np.int64))
+    return trie
+
+
+def _level_n(texts: DataFrame, trie: Trie, n: int, starts: int, inner: bool, min_count: int, discount: float, batch_bytes: int) -> dict[int, int]:
+    """Write level n (its counts too where another follows) over the levels below; the nodes of each shard."""
+    size_of, per, shards, path = trie.parts(), trie.per_context(n), trie.shards, trie.path
 
-    def pairs(batches):
+    def grams(batches):
         trie = Trie(*size_of)
         for batch in batches:
             column = batch.column(0)
             for lo, hi in split_rows(text_bytes(column)[1], batch_bytes):
                 stream, firsts = token_stream(column.slice(lo, hi - lo))
-                _, _, _, token, context = _pairs(trie, stream, firsts)
-                keys, counts = np.unique(context.astype(np.uint64) << PAIR_SHIFT | token.astype(np.uint64), return_counts=True)
+                words, inverse = np.unique(stream, return_inverse=True)
+                node = trie.lookup(words)[0][inverse]
+                for m in range(2, n):
+                    node, _ = _climb(trie, m, node, firsts)
+                context = _contexts(trie, n, node, firsts)
+                seen = (context >= 0) & (node >= 0)
+                keys, counts = np.unique(context[seen].astype(np.uint64) << PAIR_SHIFT | node[seen].astype(np.uint64), return_counts=True)
                 mixed = (keys * np.uint64(0x9E3779B97F4A7C15)) ^ (keys >> np.uint64(29))
                 yield _cut(keys, counts, shard_of(mixed * np.uint64(0xBF58476D1CE4E5B9), shards))
 
@@ -240,38 +297,41 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
         keys, counts = _unpacked(table)
         often = counts >= min_count
         keys, counts = keys[often], counts[often]
-        return pa.Table.from_batches([_cut(keys, counts, (keys >> PAIR_SHIFT).astype(np.int64) // trie.per_context)])
+        return pa.Table.from_batches([_cut(keys, counts, (keys >> PAIR_SHIFT).astype(np.int64) // per)])
 
-    def level2(table: pa.Table) -> pa.Table:
+    def level(table: pa.Table) -> pa.Table:
         mine = Trie(*size_of)
-        k = table["shard"][0].as_py()
+        k, below = table["shard"][0].as_py(), mine.nodes(n - 1)
         keys, counts = _unpacked(table)
-        context, word = (keys >> PAIR_SHIFT).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        context, low = (keys >> PAIR_SHIFT).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         owners, first, place = np.unique(context, return_index=True, return_inverse=True)
-        total = np.where(owners == mine.words, starts, mine.counts_of(np.minimum(owners, mine.words - 1))).astype(np.float64)
+        total = np.where(owners == below, starts, mine.counts_of(n - 1, np.minimum(owners, below - 1))).astype(np.float64)
         direct = (counts - discount) / total[place]
         rest = np.clip(1 - np.bincount(place, direct, len(owners)), 1e-9, 1)
         rest_code = quantise(np.log10(rest))
-        distinct, back = np.unique(word, return_inverse=True)
-        p = direct + 10.0 ** (restore(rest_code)[place] + mine.log_base(mine.counts_of(distinct))[back])
-        prefix = f"{path}/2-{k}"
-        write_sequence(prefix + ".contexts", (owners - k * mine.per_context).astype(np.uint64), mine.per_context)
+        distinct, back = np.unique(low, return_inverse=True)
+        p = direct + 10.0 ** (restore(rest_code)[place] + mine.log_of(n - 1, distinct)[back])  # what is held here is held below
+        prefix = f"{path}/{n}-{k}"
+        write_sequence(prefix + ".contexts", (owners - k * per).astype(np.uint64), per)
         _save(prefix + ".pointers.npy", np.append(first, len(keys)).astype(np.uint32))
         _save(prefix + ".rest.npy", rest_code)
-        write_sequence(prefix + ".words", place.astype(np.uint64) * np.uint64(mine.words) + word.astype(np.uint64), len(owners) * mine.words)
+        write_sequence(prefix + ".words", place.astype(np.uint64) * np.uint64(below) + low.astype(np.uint64), len(owners) * below)
+        if inner:
+            distinct, codes = np.unique(counts, return_inverse=True)
+            _save(prefix + ".counts.npy", codes.astype(np.uint16 if len(distinct) < 1 << 16 else np.uint32))
+            _save(prefix + ".table.npy", distinct)
         _save(prefix + ".codes.npy", quantise(np.log10(p)))
-        return pa.table({"pairs": pa.array([len(keys)], pa.int64())})
+        return pa.table({"shard": pa.array([k], pa.int32()), "nodes": pa.array([len(keys)], pa.int64())})
 
-    counted = texts.mapInArrow(pairs, PACKED).groupBy("shard").applyInArrow(frequent, PACKED)
-    counted.groupBy("shard").applyInArrow(level2, "pairs long").agg(F.sum("pairs")).first()
-    return trie
+    counted = texts.mapInArrow(grams, PACKED).groupBy("shard").applyInArrow(frequent, PACKED)
+    return {r["shard"]: r["nodes"] for r in counted.groupBy("shard").applyInArrow(level, "shard int, nodes long").collect()}
 
 
 def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row, in one map pass."""
     frame = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = f"doc_id {frame.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_known long, base_score double, score double"
-    size_of = (trie.path, trie.shards, trie.bases.tolist(), trie.total)
+    size_of = trie.parts()
 
     def run(batches):
         trie = Trie(*size_of)
@@ -279,13 +339,12 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
             column = batch.column(1)
             for lo, hi in split_rows(text_bytes(column)[1], batch_bytes):
                 stream, firsts = token_stream(column.slice(lo, hi - lo))
-                inverse, _, counts, token, context = _pairs(trie, stream, firsts)
-                base = trie.log_base(counts)[inverse] if trie.words else np.full(len(token), 0.0)
-                order = np.argsort(context.astype(np.uint64) << PAIR_SHIFT | (token & 0xFFFFFFFF).astype(np.uint64), kind="stable")
-                c, t = context[order], token[order]
-                first = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (t[1:] != t[:-1])]))
-                full = np.empty(len(token))
-                full[order] = np.repeat(trie.log_pairs(c[first], t[first], base[order[first]]), np.diff(np.append(first, len(c))))
+                words, inverse = np.unique(stream, return_inverse=True)
+                ids, counts = trie.lookup(words)
+                base = trie.log_base(counts)[inverse] if trie.words else np.full(len(stream), 0.0)
+                node, full = ids[inverse], base
+                for n in range(2, len(trie.bases) + 1):
+                    node, full = _climb(trie, n, node, firsts, full)
                 sums = [np.add.reduceat(x, firsts[:-1]) for x in ((counts > 0).astype(np.int64)[inverse], base, full)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(firsts)), *map(pa.array, sums)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 

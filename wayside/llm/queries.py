@@ -66,7 +66,7 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    trie = train(docs)
+    trie = train(docs, min_count=1, order=3)
     return score(docs, trie).select("doc_id", (crc_bucket("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(trie.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
