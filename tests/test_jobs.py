@@ -10,7 +10,7 @@ from wayside.operators import refresh as R
 from wayside.operators import resolve as S
 from wayside.operators.export import date_export, date_fields
 from wayside.sources.feature_source import FeatureSource, fetch
-from wayside.sources.pages import features, layer_schema, read_snapshot, read_supplemental, snapshot_meta, write_snapshot
+from wayside.sources.pages import features, layer_schema, page_texts, read_snapshot, read_supplemental, snapshot_meta, write_snapshot
 from wayside.streaming.refresh_stream import refresh_stream
 
 
@@ -119,3 +119,10 @@ def test_date_export(spark):
         date_fields(["some_other_date"])
     df = spark.createDataFrame([(1, 1640995200000, None), (2, 1000, 1640995200000), (3, 1000, 1000)], "OBJECTID long, installationdate long, CREATIONDATE long")
     assert sorted(r.OBJECTID for r in date_export(df, "2022-01-01", ["installationdate"]).collect()) == [1, 2]
+
+
+def test_pages_are_bounded(spark):
+    for n in (0, 50, 5000, 20000):
+        pages = page_texts(spark.range(n), "id", F.struct("id"), 100).select(F.size(F.from_json("value", "features array<struct<id long>>")["features"]).alias("n")).collect()
+        assert sum(r.n for r in pages) == n and len(pages) == -(-n // 100)
+        assert max((r.n for r in pages), default=0) <= 160

@@ -15,7 +15,7 @@ from wayside.operators import viewport as V
 from wayside.operators.export import date_export
 from wayside.operators.prepare import last_row, pipe_gaps, prepared_pipes, supplemental
 from wayside.plans import workload as W
-from wayside.sources.pages import features, layer_schema, read_snapshot, read_supplemental, scratch_folder, write_csv, write_snapshot
+from wayside.sources.pages import features, layer_schema, page_texts, read_snapshot, read_supplemental, scratch_folder, write_csv, write_snapshot
 
 BOX = (40000.0, 40000.0, 70000.0, 60000.0)
 DELTA_FROM_ORDER_KEY = 3
@@ -255,8 +255,7 @@ def feature_pages(spark, d):
     stub = F.array(F.array(c("x1"), c("y1")))
     geometry = F.when(c("assettype").isNotNull(), F.struct(F.array(path, stub).alias("paths")))
     feature = F.struct(F.struct("pipe_oid", "layer").alias("attributes"), geometry.alias("geometry"))
-    pages = p.groupBy((c("pipe_oid") % 97).alias("page")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
-    rows = features(pages, layer_schema(FIELDS)[0])
+    rows = features(page_texts(p, "pipe_oid", feature), layer_schema(FIELDS)[0])
     return rows.select("pipe_oid", "layer", F.size("paths").cast("long").alias("paths"), c("paths")[0][0]["x"].alias("x"), c("paths")[0][1]["y"].alias("y"))
 
 

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,13 @@ def features(pages: DataFrame, attributes: T.StructType, text: str = "value") ->
     return rows.filter("(x is not null and y is not null) or size(paths) > 0")
 
 
+def page_texts(rows: DataFrame, key: str, feature: Column, size: int = DEFAULT_PAGE) -> DataFrame:
+    """Features as page texts of about `size` each, dealt by a hash of the key; the number of pages grows with the rows."""
+    pages = rows.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / size)).alias("__pages"))
+    dealt = rows.crossJoin(F.broadcast(pages)).withColumn("page", F.pmod(F.xxhash64(key), "__pages"))
+    return dealt.groupBy("page").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+
+
 def read_pages(spark: SparkSession, path: str, attributes: T.StructType) -> DataFrame:
     """Page files, one JSON document a file."""
     return features(spark.read.text(path, wholetext=True), attributes)
