@@ -48,3 +48,11 @@ def test_imports_without_the_training_data_operators(monkeypatch):
     monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
     entry = importlib.import_module("__spark_entry__")
     assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLE)
+
+
+def test_watermark_of_all_events(spark, tables):
+    """The latest event has an odd id."""
+    d, con = tables
+    rows = QUERIES["refresh_watermark_all"](spark, d).collect()
+    assert [tuple(r) for r in rows] == con.execute(ORACLE["refresh_watermark_all"]).fetchall()
+    assert rows[0].ms == con.execute("select epoch_us(max(ts)) // 1000 from events").fetchone()[0] > QUERIES["refresh_watermark"](spark, d).first().ms

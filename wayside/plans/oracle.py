@@ -188,6 +188,7 @@ SELECT *, (SELECT count(*) FROM v) AS total_rows FROM v ORDER BY c_custkey DESC
     "upsert_layer": "SELECT event_id, 'old' AS event_type, CAST(NULL AS BIGINT) AS user_id FROM events WHERE event_id % 4 <> 0 AND (event_id % 3 <> 1 OR event_id < 200) AND event_id % 5 <> 0 UNION ALL SELECT event_id, event_type, user_id FROM events WHERE event_id % 5 = 0",
     "delta_rows": with_(EVENTS) + "SELECT event_id, event_type FROM ev WHERE event_type <> 'error' AND modified > (SELECT (max(modified) // 1000) * 1000 FROM ev WHERE event_id < 500)",
     "refresh_watermark": with_(EVENTS) + "SELECT max(modified) AS ms, strftime(make_timestamp((max(modified) // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS watermark FROM ev WHERE event_id % 2 = 0",
+    "refresh_watermark_all": with_(EVENTS) + "SELECT max(modified) AS ms, strftime(make_timestamp((max(modified) // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS watermark FROM ev",
     "refresh_decision": with_(EVENTS, "c AS (SELECT * FROM ev WHERE event_id < 500)", "dl AS (SELECT * FROM ev WHERE modified > (SELECT (max(modified) // 1000) * 1000 FROM c))", "mg AS (SELECT * FROM c WHERE event_id NOT IN (SELECT event_id FROM dl) UNION ALL SELECT * FROM dl)")
     + "SELECT event_type, count(*) AS n, CASE WHEN (SELECT count(*) FROM mg) = (SELECT count(*) FROM ev) THEN 'upsert' ELSE 'reload' END AS step FROM ev GROUP BY event_type",
     "watermark_literals": with_(EVENTS) + "SELECT event_id, (event_id % 7 - 3) * modified AS ms, CASE WHEN (event_id % 7 - 3) * modified BETWEEN 1 AND 32503680000000 THEN strftime(make_timestamp(((event_id % 7 - 3) * modified // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') ELSE '1970-01-01 00:00:00' END AS mark FROM ev",

@@ -231,6 +231,13 @@ def refresh_watermark(spark, d):
     return w.select("ms", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
 
 
+def refresh_watermark_all(spark, d):
+    """The watermark of the whole table; refresh_watermark is tied to its SQL, which reads even ids only."""
+    e, _ = _events(spark, d)
+    w = R.watermark(e, "modified")
+    return w.select("ms", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
+
+
 def refresh_decision(spark, d):
     """What refreshing an outdated copy of the events comes to, and the rows it leaves."""
     e, _ = _events(spark, d)
@@ -349,6 +356,7 @@ QUERIES = {
     "upsert_layer": upsert_layer,
     "delta_rows": delta_rows,
     "refresh_watermark": refresh_watermark,
+    "refresh_watermark_all": refresh_watermark_all,
     "refresh_decision": refresh_decision,
     "watermark_literals": watermark_literals,
     "date_export": date_export_query,
