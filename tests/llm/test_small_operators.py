@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +118,17 @@ def test_language(spark):
     assert predict_language(docs, train_langid(none)).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_keeps_every_counted_word(spark):
+    ids = [i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1]
+    letters = "abcdefghij"
+    many = ["".join(letters[int(x)] for x in f"{k:05d}") for k in range(41000)]
+    rows = [(ids[0], " ".join([*many, *many, "zulu"]), "en"), (ids[1], "zulu casa", "es")]
+    model = train_langid(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    at, table = model["tables"][0]
+    assert len(at) == 41002 and model["langs"] == ["en", "es"]
+    assert np.allclose(table[at["zulu"]], np.log([1.1 / (82001 + 0.1 * 41003), 1.1 / (2 + 0.1 * 41003)]), atol=1e-5)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], EMPTY)
     assert exact_dedup(none).count() == 0 and mix_taken(none).count() == 0

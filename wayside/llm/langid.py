@@ -6,8 +6,8 @@ known, from max_n letters down to 1, at the mean of their log frequencies. The
 sum over all words of the whole text and the log prior give the posterior.
 
 The fit uses at most sample_rows labelled rows (the smallest by a seeded hash of
-doc_id), and keeps the words_per_lang most frequent words and grams_per_lang
-n-grams of each language; these bounds also bound what is sent to the tasks.
+doc_id) and keeps every word and n-gram of them with its count in each language;
+the bound on rows also bounds what is sent to the tasks.
 
 Defined results: `und` with score 0 where the text is null or has no letter, or
 nothing was learned; rows with null lang are predicted but not learned from; ids
@@ -22,14 +22,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayside.llm.common import crc_bucket
 
 SAMPLE_ROWS = 12000
-WORDS_PER_LANG = 40000
-GRAMS_PER_LANG = 20000
 MAX_N = 4
 CACHE_WORDS = 400_000
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -61,17 +59,14 @@ def _count(max_n: int):
     return run
 
 
-def train_langid(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_n: int = MAX_N, words: int = WORDS_PER_LANG, grams: int = GRAMS_PER_LANG, held_out: tuple[int, int] = (3, 1)) -> dict:
-    """Tables of log frequencies; counting runs in Spark, the pruned tables are collected."""
+def train_langid(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_n: int = MAX_N, held_out: tuple[int, int] = (3, 1)) -> dict:
+    """Tables of log frequencies; counting runs in Spark, the tables are collected."""
     known = docs.filter(F.col(lang_col).isNotNull() & (crc_bucket(id_col, held_out[0]) != held_out[1])).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
     known = known.orderBy(F.xxhash64("id"), "id", "lang").limit(sample_rows).select("id").distinct()
     rows = docs.filter(F.col(lang_col).isNotNull()).join(F.broadcast(known), F.col(id_col) == F.col("id"), "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counts = rows.mapInArrow(_count(max_n), "lang string, n int, item string, c long").groupBy("lang", "n", "item").agg(F.sum("c").alias("c"))
-    rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("c"), "item"))
-    total = F.sum("c").over(Window.partitionBy("lang", "n"))
-    kept = counts.withColumn("rank", rank).withColumn("total", total).filter(F.col("rank") <= F.when(F.col("n") == 0, words).otherwise(grams)).drop("rank")
     prior = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    table = kept.toPandas()
+    table = counts.toPandas()
     langs = sorted(prior)
     model = {"langs": langs, "prior": np.log([prior[x] for x in langs]) if langs else np.zeros(0), "tables": []}
     for n in range(max_n + 1):
@@ -79,7 +74,7 @@ def train_langid(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str =
         items = sorted(set(part["item"]))
         at, which = {x: i for i, x in enumerate(items)}, {x: i for i, x in enumerate(langs)}
         totals = np.ones(len(langs))
-        for lang, t in part.groupby("lang")["total"].first().items():
+        for lang, t in part.groupby("lang")["c"].sum().items():
             totals[which[lang]] = t
         c = np.full((len(items), len(langs)), 0.1)
         if len(part):
