@@ -20,6 +20,8 @@ its pairs. A larger one gives a star from its first document; after these links
 are verified and joined, only documents outside the bucket's main component are
 compared with the bucket's other components. So a group of copies costs about one
 verification a document, not one a pair, and no link between components is lost.
+The operator yields components, not links: direct links inside a component are not
+all looked for, so it gives neither the joined pairs nor a document's link count.
 
 Equality of shingles is equality of 64-bit hashes. Defined results: null or empty
 texts have no shingles and link with nothing; texts of under 5 words have one
