@@ -43,5 +43,25 @@ def test_against_brute_force(spark):
         assert got == brute(rows)
 
 
+def test_recall_near_the_threshold(spark):
+    """Pairs at cosine 0.95 to 0.97, against the cosines of all pairs."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    c = rng.uniform(0.95, 0.97, (len(x), 1))
+    vectors = np.concatenate([x, c * x + np.sqrt(1 - c * c) * z])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    cosine = unit @ unit.T
+    np.fill_diagonal(cosine, 0)
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    found = sum(r[1] for r in embedding_dedup(frame).collect())
+    true = int((cosine >= 0.95).sum())
+    print(f"links found: {found} of {true}")
+    assert true >= 2900 and 0.9 * true <= found <= true
+
+
 def test_empty(spark):
     assert embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
