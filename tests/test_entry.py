@@ -56,3 +56,10 @@ def test_watermark_of_all_events(spark, tables):
     rows = QUERIES["refresh_watermark_all"](spark, d).collect()
     assert [tuple(r) for r in rows] == con.execute(ORACLE["refresh_watermark_all"]).fetchall()
     assert rows[0].ms == con.execute("select epoch_us(max(ts)) // 1000 from events").fetchone()[0] > QUERIES["refresh_watermark"](spark, d).first().ms
+
+
+def test_refresh_of_a_copy_that_grows(spark, tables):
+    d, con = tables
+    got = sorted(tuple(r) for r in QUERIES["refresh_merged"](spark, d).collect())
+    assert got == sorted(con.execute(ORACLE["refresh_merged"]).fetchall())
+    assert len(got) == 900 and sum(r[1] == "old" for r in got) == 810

@@ -191,6 +191,8 @@ SELECT *, (SELECT count(*) FROM v) AS total_rows FROM v ORDER BY c_custkey DESC
     "refresh_watermark_all": with_(EVENTS) + "SELECT max(modified) AS ms, strftime(make_timestamp((max(modified) // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS watermark FROM ev",
     "refresh_decision": with_(EVENTS, "c AS (SELECT * FROM ev WHERE event_id < 500)", "dl AS (SELECT * FROM ev WHERE modified > (SELECT (max(modified) // 1000) * 1000 FROM c))", "mg AS (SELECT * FROM c WHERE event_id NOT IN (SELECT event_id FROM dl) UNION ALL SELECT * FROM dl)")
     + "SELECT event_type, count(*) AS n, CASE WHEN (SELECT count(*) FROM mg) = (SELECT count(*) FROM ev) THEN 'upsert' ELSE 'reload' END AS step FROM ev GROUP BY event_type",
+    "refresh_merged": with_(EVENTS, "c AS (SELECT * FROM ev WHERE modified <= (SELECT min(modified) + (max(modified) - min(modified)) * 9 // 10 FROM ev))", "mk AS (SELECT (max(modified) // 1000) * 1000 AS mark FROM c)")
+    + "SELECT event_id, CASE WHEN modified > (SELECT mark FROM mk) THEN event_type ELSE 'old' END AS event_type, user_id, 'upsert' AS step FROM ev",
     "watermark_literals": with_(EVENTS) + "SELECT event_id, (event_id % 7 - 3) * modified AS ms, CASE WHEN (event_id % 7 - 3) * modified BETWEEN 1 AND 32503680000000 THEN strftime(make_timestamp(((event_id % 7 - 3) * modified // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') ELSE '1970-01-01 00:00:00' END AS mark FROM ev",
     "date_export": """WITH o AS (SELECT o_orderkey AS OBJECTID, o_orderdate AS i, CASE WHEN o_custkey % 3 > 0 THEN o_orderdate - INTERVAL 400 DAY END AS c FROM orders)
 SELECT OBJECTID, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed, epoch_us(c) // 1000 AS CREATIONDATE FROM o WHERE i >= TIMESTAMP '1996-01-01' OR c >= TIMESTAMP '1996-01-01'""",

@@ -246,6 +246,15 @@ def refresh_decision(spark, d):
     return rows.groupBy("event_type").agg(F.count("*").alias("n")).withColumn("step", F.lit(step))
 
 
+def refresh_merged(spark, d):
+    """Delta, upsert and decision over a copy that grows with the table: the first nine tenths of its time, all types old."""
+    e, _ = _events(spark, d)
+    bound = e.agg(F.expr("min(modified) + (max(modified) - min(modified)) * 9 div 10").alias("bound"))
+    cached = e.crossJoin(F.broadcast(bound)).filter("modified <= bound").drop("bound").withColumn("event_type", F.lit("old"))
+    step, rows = R.refresh(cached, e, "event_id", "modified")
+    return rows.select("event_id", "event_type", "user_id", F.lit(step).alias("step"))
+
+
 def date_export_query(spark, d):
     o = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("OBJECTID"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("installationdate"), F.when(F.col("o_custkey") % 3 > 0, F.unix_millis(F.col("o_orderdate").cast("timestamp") - F.expr("interval 400 days"))).alias("CREATIONDATE"))
     return date_export(o, "1996-01-01", ["installationdate"]).select("OBJECTID", F.substring("installationdate", 1, 19).alias("installed"), "CREATIONDATE")
@@ -358,6 +367,7 @@ QUERIES = {
     "refresh_watermark": refresh_watermark,
     "refresh_watermark_all": refresh_watermark_all,
     "refresh_decision": refresh_decision,
+    "refresh_merged": refresh_merged,
     "watermark_literals": watermark_literals,
     "date_export": date_export_query,
     "feature_pages": feature_pages,
