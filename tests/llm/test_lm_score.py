@@ -103,3 +103,16 @@ def test_three_levels_with_all_that_was_seen(spark):
     for i, t in enumerate(texts):
         w = [1, *words(t), 0]
         assert abs(out[i].score - sum(log(tuple(w[max(0, j - 2) : j + 1])) for j in range(1, len(w)))) < 1e-6
+
+
+def test_scores_do_not_depend_on_neighbours(spark):
+    seen = [f"w{i % 40} w{i % 7} w{i % 11} the w{i % 3}" for i in range(120)]
+    fresh = [" ".join(f"new{i}x{k}" for k in range(30)) + " the w1" for i in range(60)]
+    texts = [t for pair in zip(seen, fresh * 2, strict=True) for t in pair]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    trie = train(docs.filter("length(text) < 40"), batch_bytes=300, shard_bytes=200, min_count=1, order=3)
+    ask = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = {r.doc_id: r.score for r in score(ask.repartition(1), trie, batch_bytes=1 << 20).collect()}
+    for parts, size in ((1, 1), (7, 1), (3, 400), (40, 1 << 20)):
+        got = {r.doc_id: r.score for r in score(ask.repartition(parts), trie, batch_bytes=size).collect()}
+        assert max(abs(got[i] - want[i]) for i in want) < 1e-9

@@ -1,8 +1,11 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+import wayside.llm.ngram_join as m
 from wayside.llm.ngram_join import ngram_join
 
 
@@ -52,7 +55,7 @@ def corpus(seed=3):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"class_from": 2, "small": 4}, {"class_from": 2, "small": 3, "long": 40}])
+@pytest.mark.parametrize("options", [{}, {"frequent": 4, "small": 4}, {"frequent": 2, "small": 3, "long": 40}, {"frequent": 8, "small": 16, "head_size": 0}])
 def test_against_brute_force(spark, options):
     rows = corpus()
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, uid string, n int").repartition(3).coalesce(2)
@@ -62,5 +65,21 @@ def test_against_brute_force(spark, options):
     assert sorted(repr(tuple(r)) for r in got) == brute(rows)
 
 
+def test_words_decide(monkeypatch, spark, tmp_path):
+    """Long words of two letters whose polynomial sums agree, equal words in other cases, and a hash that collides."""
+    parity = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    swapped = parity.translate(str.maketrans("ab", "ba"))
+    one = " ".join(f"t{i}" for i in range(40))
+    rows = [(0, parity), (1, swapped), (2, f"{parity} {one}"), (3, f"{swapped} {one}"), (4, "a a a a a"), (5, "A a a a a a a"), (6, "a a a a"), *((k, one.upper() + f" k{k}") for k in range(7, 200))]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/d")
+    got = ngram_join(spark.read.parquet(f"{tmp_path}/d"), small=8, frequent=8).drop("uid", "stays").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(rows)
+    left, right = pa.array(["a b c d e f", "x y", "p q r s t u", ""]), pa.array(["A b c d e f", "x z", "p q r s t v", ""])
+    monkeypatch.setattr(m, "hash_runs", lambda data, starts, lengths: np.ones(len(starts), np.uint64))
+    assert m.linked(left, right).tolist() == [True, False, True, False]  # one hash: the first shingles are compared, and are equal in rows 0 and 2
+    monkeypatch.undo()
+    assert m.linked(left, right).tolist() == [True, False, False, False]
+
+
 def test_empty(spark):
     assert ngram_join(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -3,6 +3,7 @@ vectorised word hashing and connected components."""
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -22,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (spark.checkpoint.dir); a temporary one
     is set only where the session names none, as in local tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     if not path:
         path = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -86,17 +89,29 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS = np.ones(1, np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ALL = np.uint64((1 << 64) - 1)
+LONG_RUN = 64
 
 
-def powers(n: int) -> np.ndarray:
-    """1, b, b^2 ... modulo 2^64."""
-    global _POWERS
-    while len(_POWERS) < n:
-        step = np.uint64(pow(_BASE, len(_POWERS), 1 << 64))
-        _POWERS = np.concatenate([_POWERS, _POWERS * step])
-    return _POWERS[:n]
+def hash_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte runs. Eight bytes at a time are mixed into what came
+    before, so runs of up to eight bytes that differ never share a hash with others
+    of their length; runs of over LONG_RUN bytes are hashed by BLAKE2b."""
+    lengths = lengths.astype(np.int64, copy=False)
+    h = mix64((lengths.astype(np.uint64) + np.uint64(1)) * _ODD)
+    words = np.ndarray(len(data) + 1, np.uint64, np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    long = lengths > LONG_RUN
+    todo = np.flatnonzero(~long & (lengths > 0))
+    for d in range(0, LONG_RUN, 8):
+        todo = todo[lengths[todo] > d]
+        if not len(todo):
+            break
+        spare = np.maximum(8 - (lengths[todo] - d), 0).astype(np.uint64)
+        h[todo] = mix64(h[todo] ^ (words[starts[todo] + d] & (_ALL >> (spare * np.uint64(8)))))
+    for i in np.flatnonzero(long).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : starts[i] + lengths[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 _IS_SPACE = np.zeros(256, bool)
@@ -105,10 +120,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (A-Z lower-cased) in order, and for each text
-    the index of its first word (n + 1 values). Works in slices cut between words."""
-    hashes = []
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words in order, and for each text the index of its first word (n + 1 values)."""
     space = _IS_SPACE[data]
     before = np.empty(len(data), bool)
     if len(data):
@@ -120,24 +133,27 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     after = np.ones(len(data), bool)
     if len(data):
         after[:-1] = space[1:] | before[1:] & ~space[1:]
-    ends = np.flatnonzero(~space & after) + 1
-    firsts = np.searchsorted(starts, offsets)
-    lo = 0
+    return starts, np.flatnonzero(~space & after) + 1, np.searchsorted(starts, offsets)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (A-Z lower-cased) in order, and for each text
+    the index of its first word (n + 1 values). Works in slices cut between words."""
+    starts, ends, firsts = word_bounds(data, offsets)
+    hashes, lo = [], 0
     while lo < len(starts):
         hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + SEGMENT_BYTES)))
         s, e = starts[lo:hi], ends[lo:hi]
-        base, top = s[0], e[-1]
-        length = e - s
-        longest = int(length.max())
-        pos = np.arange(top - base) - np.repeat(s - base, np.diff(np.append(s, top)))
-        value = (_LOWER[data[base:top]].astype(np.uint64) + np.uint64(1)) * powers(longest)[np.minimum(pos, longest - 1)]
-        value[space[base:top]] = 0
-        h = np.add.reduceat(value, s - base)
-        hashes.append(mix64(h ^ (length.astype(np.uint64) << np.uint64(56))))
+        hashes.append(hash_runs(_LOWER[data[s[0] : e[-1]]], s - s[0], e - s))
         lo = hi
     return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), firsts
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return _LOWER[data]
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     """Increasing 64-bit values as deltas in the fewest whole bytes, one byte plane after another."""
     delta = np.diff(values, prepend=np.uint64(0))

@@ -14,7 +14,7 @@ counts. Levels are cut into shards by hash and context range.
 
 A counting pass for each level builds the levels and one map-only pass scores. Counts
 are taken over all training texts: each task sends sorted distinct words, and then
-delta-coded distinct pairs of nodes, with local counts; pairs are dealt by a hash of
+delta-coded and squeezed distinct pairs of nodes, with local counts; pairs are dealt by a hash of
 both, so a frequent word does not gather in a task, and those that reach min_count are
 sent on to their context's shard. With min_count 1 nothing that was seen is left out.
 The levels are files in a folder under spark.checkpoint.dir (a mounted path), mapped by
@@ -35,6 +35,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,13 +75,19 @@ def token_stream(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, firsts + np.arange(n + 1)
 
 
+def _squeezed(data: bytes) -> bytes:
+    """Byte planes are far from uniform, so an entropy coder takes a good part of what is sent."""
+    return zstandard.compress(data, 1)
+
+
 def pack_counts(counts: np.ndarray) -> bytes:
     """Counts as bytes, and those of 255 and more at full width behind them."""
     small = np.minimum(counts, 255).astype(np.uint8)
-    return small.tobytes() + counts[counts >= 255].astype(np.uint64).tobytes()
+    return _squeezed(small.tobytes() + counts[counts >= 255].astype(np.uint64).tobytes())
 
 
 def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    data = zstandard.decompress(data)
     out = np.frombuffer(data, np.uint8, n).astype(np.int64)
     out[out == 255] = np.frombuffer(data[n:], np.uint64)
     return out
@@ -100,7 +107,7 @@ PACKED = "shard int, keys binary, counts binary"
 
 def _rows(parts: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([x[0] for x in parts], pa.int32()), pa.array([pack_sorted(x[1]) for x in parts], pa.binary()), pa.array([pack_counts(x[2]) for x in parts], pa.binary())], ["shard", "keys", "counts"]
+        [pa.array([x[0] for x in parts], pa.int32()), pa.array([_squeezed(pack_sorted(x[1])) for x in parts], pa.binary()), pa.array([pack_counts(x[2]) for x in parts], pa.binary())], ["shard", "keys", "counts"]
     )
 
 
@@ -113,7 +120,7 @@ def _cut(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> pa.RecordBa
 
 
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = [unpack_sorted(x.as_py()) for x in table["keys"]]
+    keys = [unpack_sorted(zstandard.decompress(x.as_py())) for x in table["keys"]]
     return merge(keys, [unpack_counts(x.as_py(), len(k)) for x, k in zip(table["counts"], keys, strict=True)])
 
 
