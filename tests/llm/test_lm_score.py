@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from wayside.llm.elias_fano import Sequence, write_sequence
 from wayside.llm.lm_score import score, train
@@ -71,11 +72,12 @@ def test_empty(spark):
     assert score(docs, train(docs)).count() == 0
 
 
-def test_three_levels_with_all_that_was_seen(spark):
+@pytest.mark.parametrize("hot_share", [1 << 16, 12, 1])
+def test_three_levels_with_all_that_was_seen(spark, hot_share):
     texts = ["the cat sat on the mat", "the cat sat down", "The dog sat on the cat", None, "a cat ran", "zebra sat on the mat", "on the mat sat a dog", "x y x y x"] * 3
     texts += ["seen once only here", "the cat seen once", "q r s t"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    out = {r.doc_id: r for r in score(docs, train(docs, batch_bytes=300, shard_bytes=200, min_count=1, order=3), batch_bytes=500).collect()}
+    out = {r.doc_id: r for r in score(docs, train(docs, batch_bytes=300, shard_bytes=200, min_count=1, order=3, hot_share=hot_share), batch_bytes=500).collect()}
     grams, starts, n = [Counter(), Counter(), Counter()], 0, 0
     for i, t in enumerate(texts):
         if zlib.crc32(str(i).encode()) % 5 != 1:

@@ -6,7 +6,9 @@ import os
 
 import numpy as np
 
-STEP = 1 << 17
+STEP = 1 << 16
+#: Place of the r-th zero bit (r from 0) of each byte.
+_ZERO_AT = np.array([[next((i for i in range(8) if not b >> i & 1 and bin(~b & ((1 << i) - 1)).count("1") == r), 0) for r in range(8)] for b in range(256)], np.uint8)
 
 
 def _save(path: str, array: np.ndarray) -> None:
@@ -44,6 +46,7 @@ class Sequence:
     def __init__(self, prefix: str):
         self.n, self.low_bits = np.load(prefix + ".meta.npy").tolist()
         self.low, self.high, self.zeros = (np.load(f"{prefix}.{x}.npy", mmap_mode="r") for x in ("low", "high", "zeros"))
+        self.high_bytes = self.high.view(np.uint8)
 
     def low_part(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -61,12 +64,28 @@ class Sequence:
         out[want >= int(self.zeros[-1])] = self.n
         k = want[inside]
         block = np.searchsorted(self.zeros, k.astype(np.uint64), "right") - 1
-        rest = k - self.zeros[block].astype(np.int64)
-        bits = np.unpackbits(np.ascontiguousarray(self.high[block]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        place = (np.cumsum(1 - bits, axis=1, dtype=np.uint8) == (rest + 1)[:, None]).argmax(1)
+        rest = (k - self.zeros[block].astype(np.int64)).astype(np.uint8)
+        octets = np.ascontiguousarray(self.high[block]).view(np.uint8).reshape(-1, 8)
+        upto = np.cumsum(np.bitwise_count(~octets), axis=1, dtype=np.uint8)
+        which = (upto <= rest[:, None]).sum(1)
+        row = np.arange(len(k))
+        inner = rest - np.where(which > 0, upto[row, which - 1], 0)
+        place = which * 8 + _ZERO_AT[octets[row, which], inner]
         out[inside] = block * 64 + place - k
         return np.minimum(out, self.n)
 
+    def run_end(self, start: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Where the run of values with this high part, which starts here, ends."""
+        bit = start + high
+        at = (bit >> 3)[:, None] + np.arange(8)
+        octets = self.high_bytes
+        word = np.ascontiguousarray(octets[np.minimum(at, len(octets) - 1)]).view(np.uint64)[:, 0] >> (bit & 7).astype(np.uint64)
+        ones = np.bitwise_count(word & ~(word + np.uint64(1))).astype(np.int64)
+        end = np.minimum(start + ones, self.n)
+        long = np.flatnonzero(ones >= 56)
+        end[long] = self.below(high[long] + 1)
+        return end
+
     def successor(self, values: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Position of the first value at or above each, within [lo, hi) where given, and whether it is equal."""
         position, equal = np.zeros(len(values), np.int64), np.zeros(len(values), bool)
@@ -75,7 +94,8 @@ class Sequence:
             v = values[s].astype(np.uint64)
             high = (v >> np.uint64(self.low_bits)).astype(np.int64)
             want = v & np.uint64((1 << self.low_bits) - 1)
-            a, b = self.below(high), self.below(high + 1)
+            a = self.below(high)
+            b = self.run_end(a, high)
             if lo is not None:
                 a, b = np.maximum(a, lo[s]), np.maximum(np.maximum(a, lo[s]), np.minimum(b, hi[s]))
             end = b.copy()

@@ -14,9 +14,11 @@ counts. Levels are cut into shards by hash and context range.
 
 A counting pass for each level builds the levels and one map-only pass scores. Counts
 are taken over all training texts: each task sends sorted distinct words, and then
-delta-coded and squeezed distinct pairs of nodes, with local counts; pairs are dealt by a hash of
-both, so a frequent word does not gather in a task, and those that reach min_count are
-sent on to their context's shard. With min_count 1 nothing that was seen is left out.
+delta-coded and squeezed distinct pairs of nodes, with local counts, to their context's
+shard, which writes its part of the level. A hot context, one that at least one in 2^16
+tokens follows, has its pairs dealt by a hash of both nodes instead; their sums are sent
+on to shards of hot contexts, so a frequent word does not gather in a task. With
+min_count 1 nothing that was seen is left out.
 The levels are files in a folder under spark.checkpoint.dir (a mounted path), mapped by
 the scoring tasks and kept out of their heaps; they grow with the distinct n-grams, and
 their shards with the input.
@@ -39,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import crc_bucket, pack_sorted, shared_dir, split_rows, text_bytes, unpack_sorted, word_hashes
+from wayside.llm.common import crc_bucket, materialise, pack_sorted, shared_dir, split_rows, text_bytes, unpack_sorted, word_hashes
 from wayside.llm.elias_fano import Sequence, _save, write_sequence
 
 BATCH_BYTES = 12 << 20
@@ -48,6 +50,7 @@ MIN_COUNT = 2
 ORDER = 2
 MOST_NODES = (1 << 32) - 2
 DISCOUNT = 0.75
+HOT_SHARE = 1 << 16  # so there are at most as many hot contexts
 END = np.uint64(0x5AFE0E0D0C0B0A09)
 LEVELS = 255
 LOG_SPAN = 12.0
@@ -124,11 +127,16 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return merge(keys, [unpack_counts(x.as_py(), len(k)) for x, k in zip(table["counts"], keys, strict=True)])
 
 
+def _narrow(codes: np.ndarray, distinct: int) -> np.ndarray:
+    return codes.astype(np.uint8 if distinct <= 1 << 8 else np.uint16 if distinct <= 1 << 16 else np.uint32)
+
+
 class Trie:
     """The levels of a folder, mapped when first used."""
 
-    def __init__(self, path: str, shards: int, bases: list[list[int]], total: int):
+    def __init__(self, path: str, shards: int, bases: list[list[int]], total: int, hot: dict[int, list[int]] | None = None):
         self.path, self.shards, self.bases, self.total = path, shards, [np.array(b, np.int64) for b in bases], total
+        self.hot = {n: np.array(h, np.int64) for n, h in (hot or {}).items()}
         self.words = self.nodes(1)
         self.open: dict[str, tuple] = {}
 
@@ -139,8 +147,12 @@ class Trie:
         """Contexts in a shard of level n: the nodes of the level below and the start of a text."""
         return -(-(self.nodes(n - 1) + 1) // self.shards)
 
-    def parts(self) -> tuple[str, int, list[list[int]], int]:
-        return self.path, self.shards, [b.tolist() for b in self.bases], self.total
+    def parts(self) -> tuple[str, int, list[list[int]], int, dict[int, list[int]]]:
+        return self.path, self.shards, [b.tolist() for b in self.bases], self.total, {n: h.tolist() for n, h in self.hot.items()}
+
+    def is_hot(self, n: int, context: np.ndarray) -> np.ndarray:
+        hot = self.hot[n]
+        return hot[np.minimum(np.searchsorted(hot, context), len(hot) - 1)] == context if len(hot) else np.zeros(len(context), bool)
 
     def _level1(self, k: int):
         if (key := f"1-{k}") not in self.open:
@@ -205,20 +217,27 @@ class Trie:
         not held), the contexts' log10 weight left to the level below, and what is held's log10 probability."""
         ids, left, value = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.zeros(len(context))
         per, most = self.per_context(n), np.uint64(max(1, self.nodes(n - 1)))
-        cuts = np.searchsorted(context, np.arange(self.shards + 1) * per)
-        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if a == b or (level := self._level(n, k)) is None:
-                continue
-            contexts, pointers, rest, words, codes = level
-            place, known = contexts.successor(context[a:b] - k * per)
-            hit = np.flatnonzero(known)
-            place = place[hit]
-            left[a + hit] = restore(rest[place])
-            hit, place = hit[low[a + hit] >= 0], place[low[a + hit] >= 0]
-            at, found = words.successor(place.astype(np.uint64) * most + low[a + hit].astype(np.uint64), pointers[place].astype(np.int64), pointers[place + 1].astype(np.int64))
-            hit, at = a + hit[found], at[found]
-            ids[hit] = self.bases[n - 1][k] + at
-            value[hit] = restore(codes[at])
+        hot = self.is_hot(n, context)
+        for base, rows in ((0, np.flatnonzero(~hot)), (self.shards, np.flatnonzero(hot))):
+            own = context[rows]
+            rows, own = rows[own >= 0], own[own >= 0]
+            shard = own // per
+            edge = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(own) else [0]
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                k = int(shard[a])
+                if (level := self._level(n, base + k)) is None:
+                    continue
+                contexts, pointers, rest, words, codes = level
+                at = rows[a:b]
+                place, known = contexts.successor((own[a:b] - k * per).astype(np.uint64))
+                at, place = at[known], place[known]
+                left[at] = restore(rest[place])
+                held = low[at] >= 0
+                at, place = at[held], place[held]
+                where, found = words.successor(place.astype(np.uint64) * most + low[at].astype(np.uint64), pointers[place].astype(np.int64), pointers[place + 1].astype(np.int64))
+                at, where = at[found], where[found]
+                ids[at] = self.bases[n - 1][base + k] + where
+                value[at] = restore(codes[where])
         return ids, left, value
 
 
@@ -239,7 +258,7 @@ def _climb(trie: Trie, n: int, below: np.ndarray, firsts: np.ndarray, log: np.nd
     return node, None if log is None else np.where(node >= 0, value[inverse], log + left[inverse])
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: tuple[int, int] = (5, 1), min_count: int = MIN_COUNT, discount: float = DISCOUNT, shard_bytes: int = SHARD_BYTES, batch_bytes: int = BATCH_BYTES, order: int = ORDER) -> Trie:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: tuple[int, int] = (5, 1), min_count: int = MIN_COUNT, discount: float = DISCOUNT, shard_bytes: int = SHARD_BYTES, batch_bytes: int = BATCH_BYTES, order: int = ORDER, hot_share: int = HOT_SHARE) -> Trie:
     """Build the levels 1 to order of all documents outside the held-out fold."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/trie-{uuid.uuid4().hex}"
@@ -265,7 +284,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
         distinct, codes = np.unique(counts, return_inverse=True)
         span = -(-(1 << 64) // shards)
         write_sequence(f"{path}/1-{k}", keys, min(1 << 64, (k + 2) * span) - 1 if k else 2 * span)
-        _save(f"{path}/1-{k}.codes.npy", codes.astype(np.uint16 if len(distinct) < 1 << 16 else np.uint32))
+        _save(f"{path}/1-{k}.codes.npy", _narrow(codes, len(distinct)))
         _save(f"{path}/1-{k}.table.npy", distinct)
         return pa.table({"shard": pa.array([k], pa.int32()), "words": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64())})
 
@@ -275,11 +294,29 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     for n in range(2, order + 1):
         if trie.nodes(n - 1) > MOST_NODES:
             raise ValueError(f"level {n - 1} has {trie.nodes(n - 1)} nodes; an id has 32 bits")
+        trie.hot[n] = _hot_contexts(spark, trie, n, starts, hot_share)
         sizes = _level_n(texts, trie, n, starts, n < order, min_count, discount, batch_bytes)
-        trie.bases.append(np.concatenate([[0], np.cumsum([sizes.get(k, 0) for k in range(shards)])]).astype(np.int64))
+        trie.bases.append(np.concatenate([[0], np.cumsum([sizes.get(k, 0) for k in range(2 * shards)])]).astype(np.int64))
     return trie
 
 
+def _hot_contexts(spark, trie: Trie, n: int, starts: int, hot_share: int) -> np.ndarray:
+    """Contexts of level n that at least one token in hot_share follows."""
+    size_of, least = trie.parts(), max(1, -(-trie.total // hot_share))
+
+    def frequent(batches):
+        trie = Trie(*size_of)
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                if trie.bases[n - 2][k] < trie.bases[n - 2][k + 1]:
+                    codes, table = trie._counts(n - 1, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(trie.bases[n - 2][k] + np.flatnonzero((table >= least)[codes]))], ["id"])
+
+    parts = len(trie.bases[n - 2]) - 1
+    found = [r["id"] for r in spark.range(0, parts, 1, min(parts, trie.shards)).mapInArrow(frequent, "id long").collect()]
+    return np.array(sorted(found + [trie.words] * (n == 2 and starts >= least)), np.int64)
+
+
 def _level_n(texts: DataFrame, trie: Trie, n: int, starts: int, inner: bool, min_count: int, discount: float, batch_bytes: int) -> dict[int, int]:
     """Write level n (its counts too where another follows) over the levels below; the nodes of each shard."""
     size_of, per, shards, path = trie.parts(), trie.per_context(n), trie.shards, trie.path
@@ -297,19 +334,15 @@ def _level_n(texts: DataFrame, trie: Trie, n: int, starts: int, inner: bool, min
                 context = _contexts(trie, n, node, firsts)
                 seen = (context >= 0) & (node >= 0)
                 keys, counts = np.unique(context[seen].astype(np.uint64) << PAIR_SHIFT | node[seen].astype(np.uint64), return_counts=True)
+                owner = (keys >> PAIR_SHIFT).astype(np.int64)
+                hot = trie.is_hot(n, owner)
                 mixed = (keys * np.uint64(0x9E3779B97F4A7C15)) ^ (keys >> np.uint64(29))
-                yield _cut(keys, counts, shard_of(mixed * np.uint64(0xBF58476D1CE4E5B9), shards))
-
-    def frequent(table: pa.Table) -> pa.Table:
-        keys, counts = _unpacked(table)
-        often = counts >= min_count
-        keys, counts = keys[often], counts[often]
-        return pa.Table.from_batches([_cut(keys, counts, (keys >> PAIR_SHIFT).astype(np.int64) // per)])
+                yield _cut(keys, counts, np.where(hot, shards + shard_of(mixed * np.uint64(0xBF58476D1CE4E5B9), shards), owner // per))
 
-    def level(table: pa.Table) -> pa.Table:
+    def build(k: int, keys: np.ndarray, counts: np.ndarray) -> int:
+        """Write part k of the level: the contexts of a shard, and from `shards` on the hot ones."""
         mine = Trie(*size_of)
-        k, below = table["shard"][0].as_py(), mine.nodes(n - 1)
-        keys, counts = _unpacked(table)
+        below, from_ = mine.nodes(n - 1), k % shards * per
         context, low = (keys >> PAIR_SHIFT).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         owners, first, place = np.unique(context, return_index=True, return_inverse=True)
         total = np.where(owners == below, starts, mine.counts_of(n - 1, np.minimum(owners, below - 1))).astype(np.float64)
@@ -319,19 +352,38 @@ def _level_n(texts: DataFrame, trie: Trie, n: int, starts: int, inner: bool, min
         distinct, back = np.unique(low, return_inverse=True)
         p = direct + 10.0 ** (restore(rest_code)[place] + mine.log_of(n - 1, distinct)[back])  # what is held here is held below
         prefix = f"{path}/{n}-{k}"
-        write_sequence(prefix + ".contexts", (owners - k * per).astype(np.uint64), per)
+        write_sequence(prefix + ".contexts", (owners - from_).astype(np.uint64), per)
         _save(prefix + ".pointers.npy", np.append(first, len(keys)).astype(np.uint32))
         _save(prefix + ".rest.npy", rest_code)
         write_sequence(prefix + ".words", place.astype(np.uint64) * np.uint64(below) + low.astype(np.uint64), len(owners) * below)
         if inner:
             distinct, codes = np.unique(counts, return_inverse=True)
-            _save(prefix + ".counts.npy", codes.astype(np.uint16 if len(distinct) < 1 << 16 else np.uint32))
+            _save(prefix + ".counts.npy", _narrow(codes, len(distinct)))
             _save(prefix + ".table.npy", distinct)
         _save(prefix + ".codes.npy", quantise(np.log10(p)))
-        return pa.table({"shard": pa.array([k], pa.int32()), "nodes": pa.array([len(keys)], pa.int64())})
+        return len(keys)
 
-    counted = texts.mapInArrow(grams, PACKED).groupBy("shard").applyInArrow(frequent, PACKED)
-    return {r["shard"]: r["nodes"] for r in counted.groupBy("shard").applyInArrow(level, "shard int, nodes long").collect()}
+    def gather(table: pa.Table) -> pa.Table:
+        """A shard's part of the level, written; or the sums of some pairs of hot contexts, to be sent on."""
+        k = table["shard"][0].as_py()
+        keys, counts = _unpacked(table)
+        often = counts >= min_count
+        keys, counts = keys[often], counts[often]
+        if k < shards:
+            parts = [(k, build(k, keys, counts) if len(keys) else 0, None, None)]
+        else:
+            cut = _cut(keys, counts, (keys >> PAIR_SHIFT).astype(np.int64) // per)
+            parts = list(zip(cut.column(0).to_pylist(), [None] * cut.num_rows, cut.column(1).to_pylist(), cut.column(2).to_pylist(), strict=True))
+        return pa.table([pa.array([x[i] for x in parts], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["shard", "nodes", "keys", "counts"])
+
+    def hot_part(table: pa.Table) -> pa.Table:
+        k = shards + table["shard"][0].as_py()
+        return pa.table({"shard": pa.array([k], pa.int32()), "nodes": pa.array([build(k, *_unpacked(table))], pa.int64())})
+
+    sent = materialise(texts.mapInArrow(grams, PACKED).groupBy("shard").applyInArrow(gather, "shard int, nodes long, keys binary, counts binary"))
+    sizes = {r["shard"]: r["nodes"] for r in sent.filter("nodes is not null").select("shard", "nodes").collect()}
+    hot = sent.filter("nodes is null").select("shard", "keys", "counts").groupBy("shard").applyInArrow(hot_part, "shard int, nodes long")
+    return sizes | {r["shard"]: r["nodes"] for r in hot.collect()}
 
 
 def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
