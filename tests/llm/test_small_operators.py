@@ -1,16 +1,19 @@
 """Exact dedup, quality, mixing and language identification on small tables with awkward rows."""
 
 import hashlib
+import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
+from wayside.llm.common import sampled
 from wayside.llm.exact_dedup import exact_dedup
-from wayside.llm.langid import predict_language, train_langid
+from wayside.llm.langid import Scorer, Words, predict_language, train_langid
 from wayside.llm.mixing import mix_stream, mix_taken
 from wayside.llm.quality import score_quality, train_quality
 
@@ -118,15 +121,128 @@ def test_language(spark):
     assert predict_language(docs, train_langid(none)).filter("lang_pred <> 'und'").count() == 0
 
 
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+
+
+def plain_language(rows, ask, max_n=4):
+    """The operator's rule word by word, on strings."""
+    learn = [(lang, t) for i, t, lang in rows if lang is not None and zlib.crc32(b"" if i is None else str(i).encode()) % 3 != 1]
+    langs = sorted({x for x, _ in learn})
+    grams = lambda w, n: [g for k in range(len(w) + 3 - n) if (g := f"<{w}>"[k : k + n]) not in ("<", ">")]
+    count = [{x: Counter() for x in langs} for _ in range(max_n + 1)]
+    for lang, t in learn:
+        for w in WORD.findall((t or "").lower()):
+            count[0][lang][w] += 1
+            for n in range(1, max_n + 1):
+                count[n][lang].update(grams(w, n))
+    items = [set().union(*c.values()) for c in count]
+    log = lambda n, x: np.array([math.log((count[n][g][x] + 0.1) / ((sum(count[n][g].values()) or 1) + 0.1 * (len(items[n]) + 1))) for g in langs])
+    prior = np.log([sum(x == lang for x, _ in learn) for lang in langs])
+
+    def word(w):
+        if w in items[0]:
+            return log(0, w)
+        for n in range(max_n, 0, -1):
+            if found := [g for g in grams(w, n) if g in items[n]]:
+                return np.mean([log(n, g) for g in found], axis=0)
+        return np.zeros(len(langs))
+
+    out = {}
+    for i, t, _ in ask:
+        seen = WORD.findall((t or "").lower())
+        total = prior + sum(map(word, seen), np.zeros(len(langs)))
+        p = np.exp(total - total.max())
+        out[i] = (langs[int(total.argmax())], float(p.max() / p.sum())) if seen else ("und", 0.0)
+    return out
+
+
+def test_language_against_brute_force(spark, tmp_path):
+    rng = random.Random(8)
+    letters = {"en": "abcdeth", "de": "abcdeßüh", "ru": "абвгд", "hi": "क ि ख ा".split()}
+    words = {x: ["".join(rng.choice(c) for _ in range(rng.choice([1, 2, 3, 5, 30]))) for _ in range(40)] for x, c in letters.items()}
+    rows = []
+    for i in range(150):
+        lang = rng.choice(list(letters))
+        text = " ".join(rng.choice(words[lang if rng.random() < 0.8 else "en"]) + rng.choice(["", "", "1", "-x", "Q"]) for _ in range(rng.choice([1, 2, 5, 60])))
+        rows.append((i, text, lang if rng.random() < 0.9 else None))
+    rows += [(500, None, "en"), (501, "", None), (502, "12 -- ̈", "de"), (503, "̈́a ́b", None), (504, "the " * 30000, None), (505, "İSTANBUL ΣΑΣ", None)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, uid string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    want = plain_language(rows, rows)
+    for size in (1 << 20, 7):
+        got = {r.doc_id: (r.lang_pred, r.score) for r in predict_language(docs, train_langid(docs, part_items=size)).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[i][0] == want[i][0] and abs(got[i][1] - want[i][1]) < 1e-4 for i in want)
+    held = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    other = docs.withColumn("lang", F.when(F.col("doc_id").isin(held), F.lit("zz")).otherwise(F.col("lang")))
+    assert {r.doc_id: r.lang_pred for r in predict_language(docs, train_langid(other)).collect()} == {i: x[0] for i, x in want.items()}
+
+
 def test_language_keeps_every_counted_word(spark):
     ids = [i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1]
     letters = "abcdefghij"
     many = ["".join(letters[int(x)] for x in f"{k:05d}") for k in range(41000)]
     rows = [(ids[0], " ".join([*many, *many, "zulu"]), "en"), (ids[1], "zulu casa", "es")]
     model = train_langid(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    at, table = model["tables"][0]
-    assert len(at) == 41002 and model["langs"] == ["en", "es"]
-    assert np.allclose(table[at["zulu"]], np.log([1.1 / (82001 + 0.1 * 41003), 1.1 / (2 + 0.1 * 41003)]), atol=1e-5)
+    words = Words(["zulu"])
+    known, logs = Scorer(model).rows(0, words.hashes())
+    assert model["kept"][0] == 41002 and model["langs"] == ["en", "es"] and known.all()
+    assert np.allclose(logs[0], np.log([1.1 / (82001 + 0.1 * 41003), 1.1 / (2 + 0.1 * 41003)]), atol=1e-5)
+
+
+def plain_features(text):
+    raw = (text or "").encode()
+    if not raw:
+        return [0.0] * 137
+    words, lines = raw.split(), raw.split(b"\n")
+    m, upper, high = max(1, len(words)), sum(65 <= b <= 90 for b in raw), sum(b > 127 for b in raw)
+    letters = upper + high + sum(97 <= b <= 122 for b in raw)
+    shares = [raw.count(bytes([b])) / len(raw) for b in range(128)] + [high / len(raw)]
+    return [*shares, math.log1p(len(raw)) / 10, upper / max(1, letters), len(set(words)) / m, max(Counter(words).values(), default=0) / m, sum(map(len, words)) / m / 10, len(set(lines)) / len(lines), sum(u == v for u, v in zip(words, words[1:], strict=False)) / m, letters / len(raw)]
+
+
+def plain_quality(rows, labels):
+    """Features one by one, and Bradley-Terry by plain gradient steps on the same pairs."""
+    x = np.array([plain_features(rows[i]) for i, _ in labels])
+    y = np.array([q for _, q in labels])
+    mean, spread = x.mean(0), x.std(0) + 1e-6
+    z = np.clip((x - mean) / spread, -8, 8)
+    rng = np.random.default_rng(7)
+    d = z[rng.choice(np.flatnonzero(y == 1), 40000)] - z[rng.choice(np.flatnonzero(y == 0), 40000)]
+    w = np.zeros(z.shape[1])
+    rate = 1.0 / np.linalg.eigvalsh(d.T @ d / len(d) / 4 + 1e-3 * np.eye(len(w))).max()
+    velocity = np.zeros_like(w)
+    for _ in range(1000):
+        ahead = w + 0.97 * velocity
+        velocity = 0.97 * velocity + rate * ((d / (1 + np.exp(d @ ahead))[:, None]).mean(0) - 1e-3 * ahead)
+        w = w + velocity
+    threshold = np.quantile(z @ w, (y == 0).mean(), method="midpoint")
+    return {i: 1 / (1 + math.exp(-float(np.clip((np.array(plain_features(t)) - mean) / spread, -8, 8) @ w - threshold))) for i, t in rows.items()}
+
+
+def test_quality_against_brute_force(spark, tmp_path):
+    rng = random.Random(3)
+    word = lambda good: rng.choice(["river", "Stone", "the", "light"] if good else ["CLICK", "now!!", "the", "$$$"])
+    rows = {i: "\n".join(" ".join(word(i % 2 == 0 or rng.random() < 0.3) for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(1, 6))) for i in range(90)}
+    rows |= {900: None, 901: "", 902: "é" * 40, 903: "word " * 50000}
+    labels = [(i, int(i % 2 == 0)) for i in range(80)]
+    learned = [(i, q) for i, q in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    spark.createDataFrame([(i, t, 0) for i, t in rows.items()], "doc_id long, text string, quality int").repartition(1).sortWithinPartitions("doc_id").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    frame = lambda x: spark.createDataFrame(x, "doc_id long, quality int")
+    score = lambda x: {r.doc_id: r.quality_score for r in score_quality(docs, train_quality(docs, x), keep=["doc_id"]).collect()}
+    got, want = score(frame(labels)), plain_quality(rows, learned)
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 0.02
+    assert score(frame([(i, q if zlib.crc32(str(i).encode()) % 3 != 1 else 1 - q) for i, q in labels] + labels[:9])) == got  # held-out and repeated labels change nothing
+    assert score(frame([(i, 1 - q) for i, q in labels])) != got
+
+
+def test_samples_are_bounded_and_repeat(spark):
+    ids = spark.range(5000).select(F.col("id").alias("uid"), (F.col("id") % 700).alias("id")).repartition(7)
+    once, again = (sorted(r.uid for r in sampled(x, 300).collect()) for x in (ids, ids.coalesce(2)))
+    assert once == again and 200 <= len(once) <= 300
+    assert sampled(ids.limit(10), 300).count() == 10
 
 
 def test_empty(spark):

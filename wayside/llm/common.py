@@ -4,6 +4,8 @@ vectorised word hashing and connected components."""
 from __future__ import annotations
 
 import hashlib
+import os
+import re
 import tempfile
 import uuid
 
@@ -40,6 +42,31 @@ def materialise(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mounted(folder: str) -> str:
+    """The local name of a folder that tasks open by themselves; it has to be a mounted path."""
+    path = re.sub(r"^file:/*", "/", folder)
+    if ":" in path.split("/")[0]:
+        raise ValueError(f"{folder}: the folder has to be a mounted path (file:)")
+    return path
+
+
+def save_array(path: str, array: np.ndarray) -> None:
+    """Written under another name first, so a reader or a second attempt never meets half a file."""
+    part = f"{path}.{os.getpid()}.part"
+    with open(part, "wb") as f:
+        np.save(f, array)
+    os.replace(part, path)
+
+
+def sampled(rows: DataFrame, most: int) -> DataFrame:
+    """(uid) of at most `most` of these (uid, id): the smallest by a hash of the id, then by place.
+    Where there are many more, most are left out before they are ordered."""
+    scale = 1 << 30
+    share = min(1.0, 2 * most / max(1, rows.count()))
+    near = rows.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(scale)) < int(share * scale)) if share < 1 else rows
+    return near.orderBy(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(scale)), "id", "uid").limit(most).select("uid")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

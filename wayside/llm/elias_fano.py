@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 
+from wayside.llm.common import save_array
+
 STEP = 1 << 16
 #: Place of the r-th zero bit (r from 0) of each byte.
 _ZERO_AT = np.array([[next((i for i in range(8) if not b >> i & 1 and bin(~b & ((1 << i) - 1)).count("1") == r), 0) for r in range(8)] for b in range(256)], np.uint8)
 
 
-def _save(path: str, array: np.ndarray) -> None:
-    part = f"{path}.{os.getpid()}.part"
-    with open(part, "wb") as f:
-        np.save(f, array)
-    os.replace(part, path)
-
-
 def write_sequence(prefix: str, values: np.ndarray, universe: int) -> None:
     """Strictly or weakly increasing values below universe: low bits packed, high bits in unary."""
     n = len(values)
@@ -34,10 +27,10 @@ def write_sequence(prefix: str, values: np.ndarray, universe: int) -> None:
         matrix = (part[:, None] >> np.arange(low_bits, dtype=np.uint64) & np.uint64(1)).astype(np.uint8)
         piece = np.packbits(matrix.ravel(), bitorder="little")
         packed[lo * low_bits // 8 : lo * low_bits // 8 + len(piece)] = piece
-    _save(prefix + ".meta.npy", np.array([n, low_bits], np.int64))
-    _save(prefix + ".low.npy", packed)
-    _save(prefix + ".high.npy", words)
-    _save(prefix + ".zeros.npy", zeros)
+    save_array(prefix + ".meta.npy", np.array([n, low_bits], np.int64))
+    save_array(prefix + ".low.npy", packed)
+    save_array(prefix + ".high.npy", words)
+    save_array(prefix + ".zeros.npy", zeros)
 
 
 class Sequence:

@@ -32,7 +32,6 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 
 import numpy as np
@@ -41,8 +40,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import crc_bucket, materialise, pack_sorted, shared_dir, split_rows, text_bytes, unpack_sorted, word_hashes
-from wayside.llm.elias_fano import Sequence, _save, write_sequence
+from wayside.llm.common import crc_bucket, materialise, mounted, pack_sorted, save_array, shared_dir, split_rows, text_bytes, unpack_sorted, word_hashes
+from wayside.llm.elias_fano import Sequence, write_sequence
 
 BATCH_BYTES = 12 << 20
 SHARD_BYTES = 24 << 20
@@ -262,9 +261,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     """Build the levels 1 to order of all documents outside the held-out fold."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/trie-{uuid.uuid4().hex}"
-    path = re.sub(r"^file:/*", "/", folder)
-    if ":" in path.split("/")[0]:
-        raise ValueError(f"{folder}: the model folder has to be a mounted path")
+    path = mounted(folder)
     texts = docs.filter(crc_bucket(id_col, held_out[0]) != held_out[1]).select(F.col(text_col).cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     shards, starts = max(12, -(-(size["b"] or 0) // shard_bytes)), size["n"]
@@ -284,8 +281,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
         distinct, codes = np.unique(counts, return_inverse=True)
         span = -(-(1 << 64) // shards)
         write_sequence(f"{path}/1-{k}", keys, min(1 << 64, (k + 2) * span) - 1 if k else 2 * span)
-        _save(f"{path}/1-{k}.codes.npy", _narrow(codes, len(distinct)))
-        _save(f"{path}/1-{k}.table.npy", distinct)
+        save_array(f"{path}/1-{k}.codes.npy", _narrow(codes, len(distinct)))
+        save_array(f"{path}/1-{k}.table.npy", distinct)
         return pa.table({"shard": pa.array([k], pa.int32()), "words": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64())})
 
     found = {r["shard"]: r for r in texts.mapInArrow(words, PACKED).groupBy("shard").applyInArrow(level1, "shard int, words long, tokens long").collect()}
@@ -353,14 +350,14 @@ def _level_n(texts: DataFrame, trie: Trie, n: int, starts: int, inner: bool, min
         p = direct + 10.0 ** (restore(rest_code)[place] + mine.log_of(n - 1, distinct)[back])  # what is held here is held below
         prefix = f"{path}/{n}-{k}"
         write_sequence(prefix + ".contexts", (owners - from_).astype(np.uint64), per)
-        _save(prefix + ".pointers.npy", np.append(first, len(keys)).astype(np.uint32))
-        _save(prefix + ".rest.npy", rest_code)
+        save_array(prefix + ".pointers.npy", np.append(first, len(keys)).astype(np.uint32))
+        save_array(prefix + ".rest.npy", rest_code)
         write_sequence(prefix + ".words", place.astype(np.uint64) * np.uint64(below) + low.astype(np.uint64), len(owners) * below)
         if inner:
             distinct, codes = np.unique(counts, return_inverse=True)
-            _save(prefix + ".counts.npy", _narrow(codes, len(distinct)))
-            _save(prefix + ".table.npy", distinct)
-        _save(prefix + ".codes.npy", quantise(np.log10(p)))
+            save_array(prefix + ".counts.npy", _narrow(codes, len(distinct)))
+            save_array(prefix + ".table.npy", distinct)
+        save_array(prefix + ".codes.npy", quantise(np.log10(p)))
         return len(keys)
 
     def gather(table: pa.Table) -> pa.Table:

@@ -6,8 +6,9 @@ train a score by logistic loss on feature differences; the threshold is the
 quantile of the training scores at the share of label 0, and the published score
 is the probability that the document beats the threshold document.
 
-The fit uses at most sample_rows labelled rows (the smallest by a seeded hash of
-doc_id) and pairs_per_fit pairs; scoring is one map pass over all whole texts.
+The fit uses at most sample_rows labels and as many labelled rows (the smallest by a
+hash of doc_id, then by place) and pairs_per_fit pairs; scoring is one map pass over
+all whole texts.
 
 Defined results: null and empty texts have zero features and get the model's
 score for them; labels that are null or not 0 or 1 are not learned from; without
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import crc_bucket, split_rows, text_bytes
+from wayside.llm.common import crc_bucket, sampled, split_rows, text_bytes
 
 SAMPLE_ROWS = 8000
 PAIRS_PER_FIT = 40000
@@ -63,12 +64,12 @@ def features(column: pa.Array) -> np.ndarray:
 
 def _features_of(batches):
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index("text"))
+        column = batch.column(2)
         data, offsets = text_bytes(column)
         for lo, hi in split_rows(offsets):
             x = features(column.slice(lo, hi - lo))
             values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("quality")).slice(lo, hi - lo), values], ["quality", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), values], ["uid", "quality", "x"])
 
 
 def fit_bradley_terry(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS_PER_FIT, ridge: float = 1e-3, seed: int = 7) -> dict:
@@ -95,13 +96,14 @@ def fit_bradley_terry(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS_PER_FIT,
 
 def train_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", held_out: tuple[int, int] = (3, 1)) -> dict:
     """Model from at most sample_rows labelled rows outside the held-out fold."""
-    known = labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull() & (crc_bucket(id_col, held_out[0]) != held_out[1])).select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality"))
-    known = known.orderBy(F.xxhash64("id"), "id", "quality").limit(sample_rows)
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id").select("text", "quality")
-    rows = found.mapInArrow(_features_of, "quality int, x array<double>").limit(2 * sample_rows).toPandas()
+    known = labels.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), "quality").filter(F.col("quality").isin(0, 1) & F.col("id").isNotNull() & (crc_bucket("id", held_out[0]) != held_out[1]))
+    known = known.join(F.broadcast(sampled(known.select("uid", "id"), sample_rows)), "uid", "left_semi").select("id", F.col("quality").cast("int").alias("quality")).distinct()
+    found = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
+    first = found.select("uid", "id", "quality").orderBy(F.xxhash64("id"), "id", "uid", "quality").limit(sample_rows).select("uid", "quality")
+    found = found.join(F.broadcast(first), ["uid", "quality"]).select("uid", "quality", "text")
+    rows = found.mapInArrow(_features_of, "uid long, quality int, x array<double>").toPandas().sort_values(["uid", "quality"])
     x = np.stack(rows["x"].to_numpy()) if len(rows) else np.zeros((0, N_FEATURES))
-    order = np.lexsort(x.T) if len(x) else []
-    return fit_bradley_terry(x[order], rows["quality"].to_numpy()[order])
+    return fit_bradley_terry(x, rows["quality"].to_numpy())
 
 
 def score_quality(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import materialise, shared_dir
+from wayside.llm.common import materialise, mounted, shared_dir
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 26
@@ -168,9 +168,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def write_warc(records: DataFrame, folder: str | None = None, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write the records' bundles to a new folder and return their index, already stored."""
     folder = folder or f"{shared_dir(records.sparkSession)}/warc-{uuid.uuid4().hex}"
-    path = re.sub(r"^file:/*", "/", folder)
-    if ":" in path.split("/")[0]:
-        raise ValueError(f"{folder}: the archive folder has to be a mounted path")
+    path = mounted(folder)
 
     def run(batches):
         context = TaskContext.get()
