@@ -1,8 +1,9 @@
+import hashlib
 import random
 
 import pytest
 
-from wayside.llm.sentencepiece_scan import MODEL_PATH, chunk_states, decode, encode, encode_chunk, load_pieces, marked, product, transfer
+from wayside.llm.sentencepiece_scan import MODEL_PATH, combined, decode, encode, encode_chunk, load_pieces, marked, product, states_between, transfer
 
 
 def texts():
@@ -24,7 +25,11 @@ def test_scan_equals_library(size):
             continue
         cuts = [(lo, min(len(whole), lo + size)) for lo in range(0, len(whole), size)]
         matrices = [transfer(pieces, whole[: hi + 17], lo, hi) for lo, hi in cuts]
-        states = chunk_states(matrices, (0, 0), len(whole))
+        (end,) = {e for e in combined(matrices)[0, 0] if e[0] == len(whole)}
+        states = []  # in blocks of three, as the Spark job does
+        blocks = [matrices[i : i + 3] for i in range(0, len(matrices), 3)]
+        for block, (a, b) in zip(blocks, states_between([combined(x) for x in blocks], (0, 0), end), strict=True):
+            states += states_between(block, a, b)
         ids = [i for (lo, hi), (a, b) in zip(cuts, states, strict=True) for i in encode_chunk(pieces, whole[: hi + 17], lo, hi, a, b)]
         assert ids == pieces.lib.encode(text), text[:60]
 
@@ -36,7 +41,8 @@ def test_product_is_associative():
     assert product(product(a, b), c) == product(a, product(b, c))
 
 
-def test_encode_decode_table(spark, tmp_path):
+def test_encode_decode_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("wayside.llm.sentencepiece_scan.BLOCK_CHUNKS", 3)
     rows = [(i if i % 5 else None, t, "x") for i, t in enumerate([*texts(), None])]
     spark.createDataFrame(rows, "doc_id long, text string, chunk string").write.parquet(f"{tmp_path}/d")
     docs = spark.read.parquet(f"{tmp_path}/d")
@@ -44,6 +50,8 @@ def test_encode_decode_table(spark, tmp_path):
     for size in (48, 1 << 16):
         got = encode(docs, keep=("doc_id", "text"), chunk_chars=size).collect()
         assert len(got) == len(rows) and all(r.ids == lib.encode(r.text or "") for r in got)
+        got = encode(docs, keep=("text",), chunk_chars=size, decoded=True).collect()
+        assert len(got) == len(rows) and all(r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() and r.ids == lib.encode(r.text or "") for r in got)
         coded = encode(docs.withColumnRenamed("text", "original"), text_col="original", keep=("doc_id", "original"), chunk_chars=size)
         back = decode(coded).collect()
         assert len(back) == len(rows) and all(r.text == (r.original or "") for r in back)

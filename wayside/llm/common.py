@@ -3,6 +3,8 @@ vectorised word hashing and connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 import os
 import re
@@ -58,6 +60,13 @@ def save_array(path: str, array: np.ndarray) -> None:
     os.replace(part, path)
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system, as reused workers would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def sampled(rows: DataFrame, most: int) -> DataFrame:
     """(uid) of at most `most` of these (uid, id): the smallest by a hash of the id, then by place.
     Where there are many more, most are left out before they are ordered."""

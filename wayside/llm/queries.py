@@ -13,7 +13,7 @@ from wayside.llm.lm_score import score, train
 from wayside.llm.mixing import mix_taken
 from wayside.llm.ngram_join import ngram_join
 from wayside.llm.quality import score_quality, train_quality
-from wayside.llm.sentencepiece_scan import decode, encode
+from wayside.llm.sentencepiece_scan import encode
 from wayside.llm.suffix_dedup import suffix_dedup
 from wayside.llm.warc import read_warc, with_revisits, write_warc
 
@@ -25,10 +25,9 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, a hash of the ids, the decoded text's SHA-256 and whether it is the original's."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha256"))
-    coded = encode(docs, keep=("doc_id", "sha256"))
-    back = decode(coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("ids_hash", F.xxhash64("ids")))
-    digest = F.sha2(F.col("text").cast("binary"), 256)
-    return back.select("doc_id", "n_tokens", "ids_hash", digest.alias("text_sha256"), (digest == F.col("sha256")).alias("round_trip"))
+    coded = encode(docs, keep=("doc_id", "sha256"), decoded=True)
+    digest = F.col("decoded_sha256")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), digest.alias("text_sha256"), (digest == F.col("sha256")).alias("round_trip"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,10 @@ a lattice whose arcs have weight 0 where two adjacent tokens can stand together
 a path of weight 0 over the whole text is unique, and is the text's encoding. A
 boundary state is the token that ends first at or after a cut, with its overhang.
 Each chunk yields its max-plus transfer matrix between boundary states (kept
-sparse: the entries of weight 0), a prefix scan with the associative product
-combines them, and each chunk is then backtraced on its own between its two states.
+sparse: the entries of weight 0). The associative product combines them in parallel:
+blocks of BLOCK_CHUNKS chunks are multiplied pairwise, a document's blocks are scanned,
+and then each block finds its chunks' states on its own. Last, each chunk is backtraced
+by itself between its two states.
 
 Words (runs from one word mark up to the next) do not influence each other, as no
 piece holds a mark after another character, which is checked when the file is
@@ -18,14 +20,16 @@ between are looked up in a bounded memory of encoded words.
 
 Defined results: null and empty texts have no ids; a word mark (U+2581) in a text
 is read as a space and decodes to one; every other text decodes to itself; ids of
-rows may be null or repeat; an empty table gives an empty result.
+rows may be null or repeat; an empty table gives an empty result. The input has to be
+a stored table (rows are told apart by their place in it).
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,11 +38,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import materialise, split_rows, text_bytes
+from wayside.llm.common import give_back, materialise, split_rows, text_bytes
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 1 << 16
-CACHE_WORDS = 120_000
+BLOCK_CHUNKS = 64
+CACHE_WORDS = 60_000
 BATCH_BYTES = 1 << 20
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -64,8 +69,20 @@ class Pieces:
             self.bytes[i] = bytes([b])
         self.words: dict[str, int] = {}
         self.flat, self.start, self.size, self.used = np.zeros(1024, np.int32), np.zeros(1024, np.int64), np.zeros(1024, np.int64), 0
-        self.together = lru_cache(1 << 18)(self._together)
-        self.alone = lru_cache(1 << 16)(self._alone)
+        self.together = lru_cache(1 << 15)(self._together)
+        self.alone = lru_cache(1 << 15)(self._alone)
+
+    def forget(self) -> None:
+        """Give back what was remembered of the texts, at the end of a task."""
+        self.words, self.used = {}, 0
+        self.flat, self.start, self.size = np.zeros(1024, np.int32), np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.together.cache_clear()
+        self.alone.cache_clear()
+        give_back()
+
+    def text_of(self, ids: list[int]) -> bytes:
+        """The text that ids stand for, without the mark before its first word."""
+        return b"".join(map(self.bytes.__getitem__, ids))[1:]
 
     def merge(self, text: str) -> list[str]:
         """Byte-pair merging by score, leftmost first."""
@@ -231,16 +248,23 @@ def encode_chunk(pieces: Pieces, text: str, lo: int, hi: int, entry: tuple[int,
     return head + pieces.encode_words(text[first:last]) + pieces.backtrace(text, (last, 0), exit_, hi)
 
 
-def chunk_states(matrices: list[dict], begin: tuple[int, int], final_end: int) -> list[tuple[tuple[int, int], tuple[int, int]]]:
-    """Entry and exit state of every chunk: prefix products forward, then the one chain back from the text's end."""
-    prefix = list(accumulate(matrices, product))
-    (end,) = {s for s in prefix[-1][begin] if s[0] == final_end}
+def combined(matrices: list[dict]) -> dict:
+    """The product of matrices in order, taken pairwise."""
+    while len(matrices) > 1:
+        matrices = [product(*matrices[i : i + 2]) if i + 1 < len(matrices) else matrices[i] for i in range(0, len(matrices), 2)]
+    return matrices[0]
+
+
+def states_between(matrices: list[dict], entry: tuple[int, int], exit_: tuple[int, int]) -> list[tuple[tuple[int, int], tuple[int, int]]]:
+    """Entry and exit state of each of these chunks or blocks: what the entry reaches, and the one chain back from the exit."""
+    reach = [{entry}]
+    for m in matrices:
+        reach.append({e for s in reach[-1] for e in m.get(s, ())})
     out = []
     for k in range(len(matrices) - 1, -1, -1):
-        reach = [begin] if k == 0 else prefix[k - 1][begin]
-        (entry,) = [s for s in reach if end in matrices[k].get(s, ())]
-        out.append((entry, end))
-        end = entry
+        (before,) = [s for s in reach[k] if exit_ in matrices[k].get(s, ())]
+        out.append((before, exit_))
+        exit_ = before
     return out[::-1]
 
 
@@ -267,8 +291,9 @@ CHUNKS = pa.schema([("uid", pa.int64()), ("chunk", pa.int32()), ("lo", pa.int64(
 CHUNKS_DDL = "uid long, chunk int, lo long, hi long, base long, total long, body string"
 
 
-def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), model_path: str = MODEL_PATH, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """uid, kept columns and ids: one row for each row of docs."""
+def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), model_path: str = MODEL_PATH, chunk_chars: int = CHUNK_CHARS, decoded: bool = False) -> DataFrame:
+    """uid, kept columns and ids: one row for each row of docs. With `decoded`, also
+    decoded_sha256, the SHA-256 of the text that the ids are decoded to in the same task."""
     frame = docs.select(F.monotonically_increasing_id().alias("uid"), *[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     giant = F.length("__text") >= chunk_chars
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1]]
@@ -279,14 +304,24 @@ def encode(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("do
             column = batch.column(batch.num_columns - 1)
             for lo, hi in split_rows(text_bytes(column)[1], BATCH_BYTES):
                 offsets, ids = pieces.encode_batch([marked(t) for t in column.slice(lo, hi - lo).to_pylist()])
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), lists], [*batch.schema.names[:-1], "ids"])
-            pa.default_memory_pool().release_unused()
+                out = [*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+                if decoded:
+                    out.append(pa.array([hashlib.sha256(pieces.text_of(ids[a:b].tolist())).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, [*batch.schema.names[:-1], "ids", "decoded_sha256"][: len(out)])
+        pieces.forget()
 
-    small = frame.filter(~giant).mapInArrow(whole, ", ".join([*names, "ids array<int>"]))
+    def digests(batches):
+        pieces = load_pieces(model_path)
+        for batch in batches:
+            found = [hashlib.sha256(pieces.text_of(ids.values.to_pylist())).hexdigest() for ids in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "decoded_sha256"])
+
+    small = frame.filter(~giant).mapInArrow(whole, ", ".join([*names, "ids array<int>"] + ["decoded_sha256 string"] * decoded))
     chunks = _giant_chunks(frame.filter(giant).select("uid", F.col("__text").alias("text")), model_path, chunk_chars)
     joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"]))
     large = frame.filter(giant).drop("__text").join(chunks.groupBy("uid").agg(joined.alias("ids")), "uid")
+    if decoded:
+        large = large.mapInArrow(digests, ", ".join([*names, "ids array<int>", "decoded_sha256 string"]))
     return small.unionByName(large)
 
 
@@ -303,14 +338,32 @@ def _giant_chunks(texts: DataFrame, model_path: str, chunk_chars: int) -> DataFr
                 at = [(s[0] + r["base"], s[1], e[0] + r["base"], e[1]) for s, out in m.items() for e in out]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c]] * len(at), t) for c, t in (("uid", pa.int64()), ("chunk", pa.int32()), ("total", pa.int64()))] + [pa.array([x[i] for x in at], pa.int64()) for i in range(4)], ["uid", "chunk", "total", "a", "an", "b", "bn"])
 
-    def resolve(rows: pd.DataFrame) -> pd.DataFrame:
+    def matrix_list(rows: pd.DataFrame, of: str) -> tuple[list[int], list[dict]]:
         found: dict[int, dict] = {}
-        for k, a, an, b, bn in zip(*(rows[c].tolist() for c in ("chunk", "a", "an", "b", "bn")), strict=True):
+        for k, a, an, b, bn in zip(*(rows[c].tolist() for c in (of, "a", "an", "b", "bn")), strict=True):
             found.setdefault(k, {}).setdefault((a, an), []).append((b, bn))
-        states = chunk_states([found[k] for k in sorted(found)], (0, 0), int(rows["total"].iloc[0]))
-        return pd.DataFrame([(rows["uid"].iloc[0], k, *s, *e) for k, (s, e) in enumerate(states)], columns=["uid", "chunk", "a", "an", "b", "bn"])
+        places = sorted(found)
+        return places, [found[k] for k in places]
+
+    def multiply(rows: pd.DataFrame) -> pd.DataFrame:
+        m = combined(matrix_list(rows, "chunk")[1])
+        return pd.DataFrame([(rows["uid"].iloc[0], rows["block"].iloc[0], rows["total"].iloc[0], *s, *e) for s, out in m.items() for e in out], columns=["uid", "block", "total", "a", "an", "b", "bn"])
+
+    def scan_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+        places, blocks = matrix_list(rows, "block")
+        (end,) = {e for e in combined(blocks)[0, 0] if e[0] == rows["total"].iloc[0]}
+        return pd.DataFrame([(rows["uid"].iloc[0], k, *s, *e) for k, (s, e) in zip(places, states_between(blocks, (0, 0), end), strict=True)], columns=["uid", "block", "a", "an", "b", "bn"])
 
-    states = chunks.mapInArrow(matrices, "uid long, chunk int, total long, a long, an long, b long, bn long").groupBy("uid").applyInPandas(resolve, "uid long, chunk int, a long, an long, b long, bn long")
+    def inside(rows: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
+        places, chunks = matrix_list(rows, "chunk")
+        a, an, b, bn = ends[["a", "an", "b", "bn"]].iloc[0].tolist()
+        return pd.DataFrame([(rows["uid"].iloc[0], k, *s, *e) for k, (s, e) in zip(places, states_between(chunks, (a, an), (b, bn)), strict=True)], columns=["uid", "chunk", "a", "an", "b", "bn"])
+
+    state = "a long, an long, b long, bn long"
+    entries = materialise(chunks.mapInArrow(matrices, f"uid long, chunk int, total long, {state}").withColumn("block", F.expr(f"chunk div {BLOCK_CHUNKS}").cast("int")))
+    blocks = entries.groupBy("uid", "block").applyInPandas(multiply, f"uid long, block int, total long, {state}")
+    ends = blocks.groupBy("uid").applyInPandas(scan_blocks, f"uid long, block int, {state}")
+    states = entries.groupBy("uid", "block").cogroup(ends.groupBy("uid", "block")).applyInPandas(inside, f"uid long, chunk int, {state}")
 
     def parts(batches):
         pieces = load_pieces(model_path)
@@ -318,6 +371,7 @@ def _giant_chunks(texts: DataFrame, model_path: str, chunk_chars: int) -> DataFr
             rows = batch.to_pylist()
             ids = [encode_chunk(pieces, r["body"], r["lo"], r["hi"], (r["a"] - r["base"], r["an"]), (r["b"] - r["base"], r["bn"])) for r in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["uid", "chunk", "ids"])
+        pieces.forget()
 
     return chunks.drop("total").join(states, ["uid", "chunk"]).mapInArrow(parts, "uid long, chunk int, ids array<int>")
 
@@ -327,7 +381,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model_path: str = MODEL_PAT
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != ids_col)
 
     def run(batches):
-        table = load_pieces(model_path).bytes
+        pieces = load_pieces(model_path)
         for batch in batches:
             at = batch.schema.get_field_index(ids_col)
             lists = batch.column(at)
@@ -335,8 +389,8 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model_path: str = MODEL_PAT
             offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
             for lo, hi in split_rows(offsets - offsets[0], BATCH_BYTES // 4):
                 ends = offsets[lo : hi + 1].tolist()
-                out = [b"".join(map(table.__getitem__, values[a:b].tolist()))[1:].decode() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                out = [pieces.text_of(values[a:b].tolist()).decode() for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in rest), pa.array(out, pa.string())], [*(batch.schema.names[i] for i in rest), "text"])
-            pa.default_memory_pool().release_unused()
+        give_back()
 
     return encoded.mapInArrow(run, names + ", text string")
