@@ -15,7 +15,7 @@ from wayside.llm.exact_dedup import exact_dedup
 from wayside.llm.mixing import mix_taken
 from wayside.llm.ngram_join import ngram_join
 from wayside.llm.quality import score_quality, train_quality
-from wayside.llm.sentencepiece_scan import decode, encode
+from wayside.llm.sentencepiece_scan import encode
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -52,9 +52,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document, and whether they decode to its text."""
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    coded = encode(docs.withColumn("sha256", digest), keep=("doc_id", "lang", "source", "sha256"))
-    back = decode(coded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("token_ids", F.col("ids")))
-    return back.select("doc_id", "lang", "source", "n_tokens", "token_ids", (F.sha2(F.col("text").cast("binary"), 256) == F.col("sha256")).alias("round_trip"))
+    coded = encode(docs.withColumn("sha256", digest), keep=("doc_id", "lang", "source", "sha256"), decoded=True)
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), F.col("ids").alias("token_ids"), (F.col("decoded_sha256") == F.col("sha256")).alias("round_trip"))
 
 
 STAGES = [
