@@ -80,12 +80,29 @@ def test_mixing(spark):
         s = source_of[r.doc_id, r.size]
         assert r.target == target[s] and r.source_size == sizes[s] and 0 <= r.taken <= 3 * r.size
         by_source[s] += r.taken
-    assert all(abs(by_source[s] - target[s]) <= 1 for s in order)
-    _, stream = mix_stream(docs, block_words=16)
-    first = [r.sid for r in stream.filter("slot is not null").groupBy("slot").agg(F.first("sid").alias("sid")).orderBy("slot").limit(60).collect()]
-    shares = [target[s] / sum(target.values()) for s in order]
-    for k, share in enumerate(shares):
-        assert abs(first.count(k) - 60 * share) < 4
+    total, w = sum(target.values()), 16
+    upto, slots = np.cumsum([round(target[s]) for s in order]), defaultdict(list)
+    for i in range(-(-int(upto[-1]) // w)):
+        point = i * 2654435769 % (1 << 32)
+        k = next(k for k, u in enumerate(upto) if point < math.floor(float(u) / float(upto[-1]) * (1 << 32)))
+        slots[order[k]].append(i)
+    assert all(by_source[s] == min(w * len(slots[s]), 3 * sizes[s]) and abs(by_source[s] - target[s]) <= 4 * w for s in order)
+    _, stream = mix_stream(docs, block_words=w)
+    rows = stream.collect()
+    assert all(slots[order[r.sid]][r.r] == r.slot for r in rows)
+    assert {r.slot: r.sid for r in rows}.keys() <= set(range(sum(map(len, slots.values()))))
+    words = defaultdict(int)
+    for r in rows:
+        words[r.slot] += r.words
+    assert max(words.values()) <= w
+    for s in order:  # every prefix of the mix has its share of each source
+        have = np.searchsorted(slots[s], np.arange(0, 2 * len(rows), 37))
+        upper = np.minimum(np.arange(0, 2 * len(rows), 37), -(-int(upto[-1]) // w))
+        assert np.abs(have - upper * target[s] / total).max() < 4
+    first = {}
+    for r in rows:
+        first[r.uid] = min(first.get(r.uid, r.slot), r.slot)
+    assert sorted(first.values()) == sorted(r.first_slot for r in got if r.taken)
 
 
 def test_quality(spark):

@@ -42,7 +42,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_taken(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_taken(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,12 +108,25 @@ pick AS (
   ORDER BY c.j LIMIT 1),
 tgt AS (
   SELECT s.source, s.source_size, CASE WHEN s.j <= p.j THEN s.most::DOUBLE ELSE s.weight * p.rate END AS target FROM steps s, pick p),
+share AS (
+  SELECT source, CAST(round(target) AS BIGINT) AS goal, CAST(sum(round(target)) OVER (ORDER BY encode(source) NULLS LAST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
+         CAST(sum(round(target)) OVER () AS BIGINT) AS total FROM tgt),
+grid AS (
+  SELECT source, CAST(floor((upto - goal)::DOUBLE / total::DOUBLE * 4294967296::DOUBLE) AS BIGINT) AS lo,
+         CAST(floor(upto::DOUBLE / total::DOUBLE * 4294967296::DOUBLE) AS BIGINT) AS hi FROM share WHERE total > 0),
+points AS (
+  SELECT i, ((i % 2147483648) * 2654435769) % 4294967296 AS point
+  FROM (SELECT unnest(generate_series(0, CAST((max(total) + 127) // 128 AS BIGINT) - 1)) AS i FROM share)),
+slots AS (
+  SELECT source, i AS slot, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS r FROM points JOIN grid ON point >= lo AND point < hi),
+held AS (SELECT source, 128 * count(*) AS most FROM slots GROUP BY source),
 line AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY k, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS start
-  FROM sized d JOIN tgt t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, round(target) - start)) + greatest(0, least(size, round(target) - start - source_size))
-     + greatest(0, least(size, round(target) - start - 2 * source_size)) AS BIGINT) AS taken
-FROM line""",
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, coalesce(h.most, 0) AS most,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY k, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS start
+  FROM sized d JOIN tgt t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN held h ON d.source IS NOT DISTINCT FROM h.source)
+SELECT l.doc_id, l.size, l.source_size, l.target,
+  CAST(greatest(0, least(l.size, l.most - start)) + greatest(0, least(l.size, l.most - start - l.source_size))
+     + greatest(0, least(l.size, l.most - start - 2 * l.source_size)) AS BIGINT) AS taken,
+  CASE WHEN l.size > 0 THEN s.slot END AS first_slot
+FROM line l LEFT JOIN slots s ON l.source IS NOT DISTINCT FROM s.source AND s.r = l.start // 128""",
 }
