@@ -12,11 +12,14 @@ def rows():
     return out + [(100, None, None, "j"), (101, "u", "", None), (102, "u", big, ""), (103, "u", big + "y", ""), (None, "u", "<html>1</html>", ""), (104, "u", "a\r\n\r\nb", ""), (104, "u", "a\r\n\r\nb", "")]
 
 
-def test_write_read_fetch(spark):
+def test_write_read_fetch(spark, tmp_path):
     data = rows()
-    pages = spark.createDataFrame(data, "page_id long, url string, html string, payload string")
-    index = write_warc(with_revisits(pages.repartition(3)), frame_bytes=1000, bundle_bytes=300)
+    spark.createDataFrame(data, "page_id long, url string, html string, payload string").repartition(3).write.parquet(f"{tmp_path}/p")
+    index = write_warc(with_revisits(spark.read.parquet(f"{tmp_path}/p")), frame_bytes=1000, bundle_bytes=300)
     got = read_warc(index).collect()
+    assert len({r.record_id for r in got}) == len(data) and {r.record_id for r in got} == {r.record_id for r in index.collect()}
+    tasks = read_warc(index).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == index.select("bundle").distinct().count() > 5
     first = {}
     for page, _, html, _ in data:
         k = html or ""

@@ -13,10 +13,16 @@ and renames when complete; readers open only the bundles that the index names,
 so what a lost task left behind is never read. A frame, one record and a batch
 of rows are held in memory at a time.
 
+Payloads are compared by digest in a narrow table; the payloads themselves are not
+dealt by content, so one that many pages share does not gather in a task. Archives are
+read back by as many tasks as there are bundles.
+
 Defined results: null html is an empty payload; null url leaves the target out;
 control characters in a url are percent-encoded; page ids may be null (such a
 page can only be the response if all ids of its payload are null) or repeat (all
-rows with the smallest id are responses); an empty table gives an empty result.
+rows with the smallest id are responses, and revisits refer to the first of them; a
+row's place makes the record identifiers of the others differ); an empty table gives
+an empty result. The input has to be a stored table (it is read twice).
 """
 
 from __future__ import annotations
@@ -38,6 +44,7 @@ from wayside.llm.common import materialise, mounted, shared_dir
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 26
+BROADCAST_ROWS = 1 << 20
 # Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
 # Fixed values of the WARC 1.1 format.
@@ -51,15 +58,16 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int | None, sha256: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{sha256}')}>"
+def record_id(page_id: int | None, sha256: str, place: int | None = None) -> str:
+    """Unique to the record; place tells a payload's records but the first apart, should they share a page id."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{sha256}' + ('' if place is None else f'|{place}'))}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, sha256: str, refers_to: int | None, revisit: bool) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, sha256: str, refers_to: int | None, revisit: bool, place: int | None = None) -> bytes:
     """One WARC record; page ids and the payload's length travel in extension fields."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id, sha256)}", f"WARC-Date: {RECORD_DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id, sha256, place)}", f"WARC-Date: {RECORD_DATE}"]
     if url is not None:
         head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20%\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     if page_id is not None:
@@ -158,11 +166,19 @@ class BundleReader:
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload, sha256, refers_to, revisit: the smallest page_id of each payload of at least min_bytes is the response."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).withColumn("sha256", F.sha2("payload", 256))
-    groups = rows.filter(F.length("payload") >= min_bytes).groupBy("sha256").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    revisit = F.coalesce(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False))
-    return rows.join(groups, "sha256", "left").select("page_id", "url", "payload", "sha256", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
+    """page_id, url, payload, sha256, refers_to, revisit, place: the smallest page_id of each payload of at least min_bytes is the response."""
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    keyed = materialise(rows.select("uid", "page_id", F.length("payload").alias("n"), F.sha2("payload", 256).alias("sha256")))
+    least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "uid")))
+    groups = keyed.groupBy("sha256").agg(least.alias("least"), F.min("uid").alias("uid"), F.count("*").alias("c")).filter("c > 1")
+    groups = groups.select("sha256", F.col("least.page_id").alias("first"), F.coalesce("least.uid", "uid").alias("first_uid"))
+    revisit = F.coalesce((F.col("n") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False))
+    marks = keyed.join(groups, "sha256").filter("uid <> first_uid").select("uid", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"), F.col("uid").alias("place"))
+    marks = materialise(marks)
+    few = marks.count() <= BROADCAST_ROWS
+    marked = rows.join(F.broadcast(marks) if few else marks, "uid", "left")
+    return marked.select("page_id", "url", "payload", F.sha2("payload", 256).alias("sha256"), "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit"), "place")
 
 
 def write_warc(records: DataFrame, folder: str | None = None, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
@@ -180,12 +196,12 @@ def write_warc(records: DataFrame, folder: str | None = None, frame_bytes: int =
                 if writer is None:
                     writer = BundleWriter(f"{path}/{context.partitionId():06d}-{context.taskAttemptId()}-{count:05d}.warc.zst", frame_bytes)
                     count += 1
-                places.append((writer.path, *writer.add(record(r["page_id"], r["url"], r["payload"], r["sha256"], r["refers_to"], r["revisit"]))))
+                places.append((writer.path, *writer.add(record(r["page_id"], r["url"], r["payload"], r["sha256"], r["refers_to"], r["revisit"], r["place"]))))
                 if writer.written >= bundle_bytes:
                     writer.close()
                     writer = None
             yield pa.RecordBatch.from_arrays(
-                [pa.array([record_id(r["page_id"], r["sha256"]) for r in rows], pa.string()), batch.column(0), pa.array([x[0] for x in places], pa.string()), pa.array([x[1] for x in places], pa.int32()), pa.array([x[2] for x in places], pa.int64())],
+                [pa.array([record_id(r["page_id"], r["sha256"], r["place"]) for r in rows], pa.string()), batch.column(0), pa.array([x[0] for x in places], pa.string()), pa.array([x[1] for x in places], pa.int32()), pa.array([x[2] for x in places], pa.int64())],
                 ["record_id", "page_id", "bundle", "frame", "offset"],
             )
         if writer is not None:
@@ -200,8 +216,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read_warc(index: DataFrame) -> DataFrame:
-    """All records of the bundles that the index names."""
-    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """All records of the bundles that the index names, a task for each bundle."""
+    bundles = materialise(index.select("bundle").distinct())
+    count = max(1, bundles.count())
 
     def run(batches):
         for batch in batches:
@@ -211,7 +228,7 @@ def read_warc(index: DataFrame) -> DataFrame:
                     yield _batch(list(parse(reader.frame(k))))
                 reader.close()
 
-    return index.select("bundle").distinct().repartition(parts, "bundle").mapInArrow(run, RECORDS)
+    return bundles.repartition(count).mapInArrow(run, RECORDS)  # a stated number is not coalesced
 
 
 def fetch_records(wanted: DataFrame) -> DataFrame:
