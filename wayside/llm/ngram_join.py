@@ -18,9 +18,10 @@ the prefix, but is no key, so a document whose prefix is full of them has none.
 
 A pair of a bucket of up to SMALL documents is taken where it meets first: at the
 smallest key that is among the FIRSTS smallest of both, or everywhere if there is none.
-A larger bucket gives a star from its first document; after these links are verified and
-joined, only documents outside the bucket's main component are compared with the bucket's
-other components. So a group of copies costs about one verification a document, not one
+A larger bucket gives a star from its most central document; after these links are verified
+and joined, only documents outside the bucket's main component are compared with the
+bucket's other components: first with the NEAREST by bitmap, and after these links are
+joined too, with ever more, until a round has put none off. So a group of copies costs about one verification a document, not one
 a pair, and no link between components is lost. The operator yields components, not
 links: direct links inside a component are not all looked for, so it gives neither the
 joined pairs nor a document's link count. Candidates are pruned by size and by parity
@@ -52,6 +53,7 @@ HEAD = 1 << 20
 SMALL = 64
 LONG = 512
 FIRSTS = 4
+NEAREST = 8
 GROUP_BITS = 8
 BATCH_BYTES = 4 << 20
 SHARD_BYTES = 24 << 20
@@ -291,6 +293,19 @@ def _meets_here(firsts: np.ndarray, x: np.ndarray, y: np.ndarray, key: np.ndarra
     return out
 
 
+def _most_central(docs: np.ndarray, per: np.ndarray, start: np.ndarray, length: np.ndarray, small: int) -> np.ndarray:
+    """For each entry of the large buckets the bucket's document that is in the most and largest of them."""
+    big = per > small
+    members = docs[big]
+    weight = np.bincount(members, per[big], minlength=int(docs.max()) + 1 if len(docs) else 1)
+    first = np.cumsum(length) - length
+    if not len(first):
+        return members
+    bucket = np.repeat(np.arange(len(length)), length)
+    order = np.lexsort((members, -weight[members], bucket))
+    return np.repeat(members[order[first]], length)
+
+
 BUCKETS = "shard int, a long, b long, uids binary, lengths binary, members binary"
 
 
@@ -324,7 +339,7 @@ def _buckets(small: int):
             codes.append(np.unique(x[ok] * base + y[ok]))
         large = np.flatnonzero(length > small)
         members = docs[per > small]
-        leader = np.repeat(docs[start[large]], length[large])
+        leader = _most_central(docs, per, start[large], length[large], small)
         ok = np.flatnonzero(_sizes_fit(sizes[leader], sizes[members]) & (leader != members))
         ok = ok[_meets_here(firsts, leader[ok], members[ok], keys[per > small][ok])]
         codes.append(leader[ok] * base + members[ok])
@@ -350,8 +365,8 @@ def _buckets(small: int):
 
 
 def parity_bitmap(tokens: np.ndarray) -> bytes:
-    """Bit i: whether an odd number of hashes are i modulo the bitmap's bits, a power of two of at least twice the set."""
-    bits = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    """Bit i: whether an odd number of hashes are i modulo the bitmap's bits, a power of two of at least four times the set."""
+    bits = max(64, 1 << (4 * len(tokens) - 1).bit_length())
     return np.packbits(np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
@@ -362,20 +377,33 @@ def _folded(x: np.ndarray, words: int) -> np.ndarray:
     return x
 
 
-def _may_link(na, nb, xa: np.ndarray, xb: np.ndarray) -> np.ndarray:
-    """Whether the parity bitmaps allow 3/4: the symmetric difference is at least their distance."""
+def _apart(xa: np.ndarray, xb: np.ndarray) -> np.ndarray:
+    """The distance of parity bitmaps: the symmetric difference of the sets is at least as large."""
     words = min(xa.shape[1], xb.shape[1])
-    return 7 * np.bitwise_count(_folded(xa, words) ^ _folded(xb, words)).sum(-1, dtype=np.int64) <= na + nb
+    return np.bitwise_count(_folded(xa, words) ^ _folded(xb, words)).sum(-1, dtype=np.int64)
+
+
+def _may_link(na, nb, xa: np.ndarray, xb: np.ndarray) -> np.ndarray:
+    """Whether the parity bitmaps allow 3/4."""
+    return 7 * _apart(xa, xb) <= na + nb
 
 
 def _matrix(maps: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(maps), np.uint64).reshape(len(maps), -1)
 
 
-def _between(lists: pa.Table, labels: pa.Table) -> pa.Table:
-    """Candidates of a shard's large buckets between different components, packed by document."""
+NEAR = "d long, others binary, left long"
+
+
+def _between(nearest: int):
+    """Candidates of a shard's large buckets between different components, packed by document:
+    the nearest by bitmap, and how many more there are."""
+    return lambda lists, labels: _near_candidates(lists, labels, nearest)
+
+
+def _near_candidates(lists: pa.Table, labels: pa.Table, nearest: int) -> pa.Table:
     if not lists.num_rows:
-        return pa.table({"d": pa.array([], pa.int64()), "others": pa.array([], pa.binary())})
+        return pa.table({"d": pa.array([], pa.int64()), "others": pa.array([], pa.binary()), "left": pa.array([], pa.int64())})
     uid = labels["uid"].to_numpy()
     order = np.argsort(uid)
     uid = uid[order]
@@ -407,14 +435,18 @@ def _between(lists: pa.Table, labels: pa.Table) -> pa.Table:
             mask[members[s:e]] = True
         c = np.flatnonzero(mask & (label != label[d]))
         c = c[_sizes_fit(size[c], size[d])]
-        found = [np.zeros(0, np.int64)]
+        found, apart = [np.zeros(0, np.int64)], [np.zeros(0)]
         for w in np.unique(width[c]).tolist():
             e = c[width[c] == w]
-            found.append(e[_may_link(size[e], size[d], matrix[w][slot[e]], _matrix([maps[d]]))])
+            gap = _apart(matrix[w][slot[e]], _matrix([maps[d]]))
+            ok = 7 * gap <= size[e] + size[d]
+            found.append(e[ok])
+            apart.append(gap[ok] / (size[e][ok] + size[d]))
         others = uid[np.concatenate(found)]
         if len(others):
-            out.append((int(uid[d]), others.tobytes()))
-    return pa.table({"d": pa.array([x[0] for x in out], pa.int64()), "others": pa.array([x[1] for x in out], pa.binary())})
+            near = np.lexsort((others, np.concatenate(apart)))[:nearest]
+            out.append((int(uid[d]), others[near].tobytes(), len(others) - len(near)))
+    return pa.table({"d": pa.array([x[0] for x in out], pa.int64()), "others": pa.array([x[1] for x in out], pa.binary()), "left": pa.array([x[2] for x in out], pa.int64())})
 
 
 def _distinct_pairs(table: pa.Table) -> pa.Table:
@@ -525,7 +557,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pairs = found.filter("a is not null").select("a", "b").distinct().join(signs.toDF("a", "na", "xa"), "a").join(signs.toDF("b", "nb", "xb"), "b").select("a", "b", "na", "nb", "xa", "xb")
     pairs = materialise(pairs.mapInArrow(_prune, "a long, b long"))
     links = _verified(pairs, plain)
-    labels = materialise(connected_components(links.union(copies)).toDF("uid", "label"))
+    links = links.union(copies)
+    labels = materialise(connected_components(links).toDF("uid", "label"))
     lists = found.filter("members is not null").select("shard", "uids", "lengths", "members")
 
     def present(batches):
@@ -534,11 +567,19 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 u = np.unique(np.frombuffer(uids, np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array([shard] * len(u), pa.int32()), pa.array(u)], ["shard", "uid"])
 
-    where = lists.select("shard", "uids").mapInArrow(present, "shard int, uid long").join(signs, "uid").join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-    more = lists.groupBy("shard").cogroup(where.groupBy("shard")).applyInArrow(_between, "d long, others binary")
-    more = more.groupBy("d").applyInArrow(_distinct_pairs, "a long, b long").distinct()
-    links = links.union(copies).union(_verified(materialise(more), plain))
-    labels = materialise(connected_components(links).toDF("uid", "label"))
+    held = materialise(lists.select("shard", "uids").mapInArrow(present, "shard int, uid long").join(signs, "uid"))
+    nearest = NEAREST
+    while True:
+        where = held.join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+        more = materialise(lists.groupBy("shard").cogroup(where.groupBy("shard")).applyInArrow(_between(nearest), NEAR))
+        state = more.agg(F.count("*").alias("n"), F.sum("left").alias("left")).first()
+        if state["n"]:
+            pairs = more.groupBy("d").applyInArrow(_distinct_pairs, "a long, b long").distinct()
+            links = links.union(_verified(materialise(pairs), plain))
+            labels = materialise(connected_components(links).toDF("uid", "label"))
+        if not state["left"]:  # nothing was put off, so every candidate has been verified
+            break
+        nearest *= NEAREST
     named = info.select("uid", "doc_id", F.col("n").alias("n_shingles")).join(labels, "uid", "left")
     named = materialise(named)
     lowest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))["uid"].alias("stay"))
