@@ -58,8 +58,8 @@ def mixed():
 def test_mixing(spark):
     rows = mixed()
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size long").repartition(3)
-    got = mix_taken(docs, block_words=16).collect()
-    again = mix_taken(docs.repartition(5), block_words=16).collect()
+    got = mix_taken(docs, block_words=16, least_slots=1).collect()
+    again = mix_taken(docs.repartition(5), block_words=16, least_slots=1).collect()
     assert sorted((r.doc_id or -1, r.size, r.taken) for r in got) == sorted((r.doc_id or -1, r.size, r.taken) for r in again)
     sizes = defaultdict(int)
     for _, t, s, _ in rows:
@@ -87,7 +87,7 @@ def test_mixing(spark):
         k = next(k for k, u in enumerate(upto) if point < math.floor(float(u) / float(upto[-1]) * (1 << 32)))
         slots[order[k]].append(i)
     assert all(by_source[s] == min(w * len(slots[s]), 3 * sizes[s]) and abs(by_source[s] - target[s]) <= 4 * w for s in order)
-    _, stream = mix_stream(docs, block_words=w)
+    _, stream = mix_stream(docs, block_words=w, least_slots=1)
     rows = stream.collect()
     assert all(slots[order[r.sid]][r.r] == r.slot for r in rows)
     assert {r.slot: r.sid for r in rows}.keys() <= set(range(sum(map(len, slots.values()))))

@@ -6,7 +6,8 @@ sequence, which the cumulative source targets map to sources; the r-th slot of a
 source takes the source's block r (the line starts again when it is used up, at
 most three times; slots beyond that stay empty). So the schedule decides how much
 of a source is taken: its slots are as many as its points, which miss its target by
-a few blocks at most, in every prefix of the mix as in the whole.
+a few blocks at most, in every prefix of the mix as in the whole. Blocks have block_words
+words, fewer where the mix would have under least_slots slots.
 
 Scale: the text is read once for its word counts. Sources are numbered and all running
 sums are taken in two levels (range of sources, source and shuffle-key prefix, source
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from wayside.llm.common import WORD_PATTERN, materialise
 
 BLOCK_WORDS = 128
+LEAST_SLOTS = 4096
 SEED = "mix-1"
 MAX_REPEAT = 3
 CHUNK_BITS = 16
@@ -63,7 +65,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_r
     return sources.select("sid", "source", "source_size", target.alias("target"))
 
 
-def _slots(targets: DataFrame, block_words: int) -> DataFrame:
+def _slots(targets: DataFrame, total: int, block_words: int) -> DataFrame:
     """(sid, r, slot): golden-ratio points through the cumulative targets; r is the slot's rank in its source."""
     spark = targets.sparkSession
     goal = F.round("target").cast("long")
@@ -72,7 +74,6 @@ def _slots(targets: DataFrame, block_words: int) -> DataFrame:
     before = sums.select("chunk", (F.sum("n").over(Window.orderBy("chunk")) - F.col("n")).alias("base"))  # one row for 2^16 sources
     inside = F.sum("goal").over(Window.partitionBy("chunk").orderBy("sid"))
     share = share.withColumn("inside", inside).join(before, "chunk").select("sid", "goal", (F.col("base") + F.col("inside")).alias("upto"))
-    total = targets.agg(F.sum(goal)).first()[0] or 0
     count = -(-total // block_words)
     grid = lambda c: F.floor(c.cast("double") / max(total, 1) * F.lit(1 << 32)).cast("long")
     share = share.select("sid", grid(F.col("upto") - F.col("goal")).alias("lo"), grid(F.col("upto")).alias("hi")).filter("hi > lo")
@@ -87,7 +88,7 @@ def _slots(targets: DataFrame, block_words: int) -> DataFrame:
     return materialise(slots.withColumn("inside", inside).join(before, ["sid", "chunk"]).select("sid", (F.col("base") + F.col("inside")).alias("r"), "slot"))
 
 
-def mix_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS, seed: str = SEED, weights: tuple[int, ...] = (1, 2, 3)) -> tuple[DataFrame, DataFrame]:
+def mix_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS, seed: str = SEED, weights: tuple[int, ...] = (1, 2, 3), least_slots: int = LEAST_SLOTS) -> tuple[DataFrame, DataFrame]:
     """The documents with their source's size and target, and the mix itself:
     (slot, sid, r, uid, epoch, first_word, words) says which words of which
     document (uid) a slot takes."""
@@ -102,12 +103,13 @@ def mix_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     inside = F.sum("size").over(Window.partitionBy("sid", "part").orderBy("key", "doc_id", "size", "uid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     line = sized.filter("size > 0").withColumn("inside", inside).join(before, ["sid", "part"]).withColumn("start", F.col("base") + F.col("inside"))
     line = materialise(line.select("sid", "uid", "size", "source_size", "target", "start"))
-    slots = _slots(targets, block_words)
-    held = slots.groupBy("sid").agg((F.count("*") * block_words).alias("most"))
+    total = targets.agg(F.sum(F.round("target").cast("long"))).first()[0] or 0
+    w = max(1, min(block_words, total // least_slots))
+    slots = _slots(targets, total, w)
+    held = slots.groupBy("sid").agg((F.count("*") * w).alias("most"))
     turns = line.join(held, "sid").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MAX_REPEAT - 1))))
     turns = turns.withColumn("a", F.col("epoch") * F.col("source_size") + F.col("start"))
     turns = turns.withColumn("b", F.least(F.col("a") + F.col("size"), F.col("most"))).filter("a < b")
-    w = block_words
     pieces = turns.withColumn("r", F.explode(F.sequence(F.expr(f"a div {w}"), F.expr(f"(b - 1) div {w}"))))
     pieces = pieces.select("sid", "r", "uid", "epoch", (F.greatest("a", F.col("r") * w) - F.col("a")).alias("first_word"), (F.least(F.col("b"), (F.col("r") + 1) * w) - F.greatest("a", F.col("r") * w)).alias("words"))
     pieces = materialise(pieces)

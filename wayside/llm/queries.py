@@ -114,12 +114,13 @@ share AS (
 grid AS (
   SELECT source, CAST(floor((upto - goal)::DOUBLE / total::DOUBLE * 4294967296::DOUBLE) AS BIGINT) AS lo,
          CAST(floor(upto::DOUBLE / total::DOUBLE * 4294967296::DOUBLE) AS BIGINT) AS hi FROM share WHERE total > 0),
+block AS (SELECT greatest(1, least(128, max(total) // 4096)) AS w, max(total) AS total FROM share),
 points AS (
   SELECT i, ((i % 2147483648) * 2654435769) % 4294967296 AS point
-  FROM (SELECT unnest(generate_series(0, CAST((max(total) + 127) // 128 AS BIGINT) - 1)) AS i FROM share)),
+  FROM (SELECT unnest(generate_series(0, CAST((total + w - 1) // w AS BIGINT) - 1)) AS i FROM block)),
 slots AS (
   SELECT source, i AS slot, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS r FROM points JOIN grid ON point >= lo AND point < hi),
-held AS (SELECT source, 128 * count(*) AS most FROM slots GROUP BY source),
+held AS (SELECT source, max(w) * count(*) AS most FROM slots, block GROUP BY source),
 line AS (
   SELECT d.doc_id, d.source, d.size, t.source_size, t.target, coalesce(h.most, 0) AS most,
          CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY k, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS start
@@ -128,5 +129,5 @@ SELECT l.doc_id, l.size, l.source_size, l.target,
   CAST(greatest(0, least(l.size, l.most - start)) + greatest(0, least(l.size, l.most - start - l.source_size))
      + greatest(0, least(l.size, l.most - start - 2 * l.source_size)) AS BIGINT) AS taken,
   CASE WHEN l.size > 0 THEN s.slot END AS first_slot
-FROM line l LEFT JOIN slots s ON l.source IS NOT DISTINCT FROM s.source AND s.r = l.start // 128""",
+FROM line l LEFT JOIN slots s ON l.source IS NOT DISTINCT FROM s.source AND s.r = l.start // (SELECT w FROM block)""",
 }
