@@ -10,6 +10,8 @@ from wayside.operators import refresh as R
 from wayside.operators import resolve as S
 from wayside.operators.export import date_export, date_fields
 from wayside.sources.feature_source import FeatureSource, fetch
+from wayside.functions.text import json_safe
+from wayside.operators.enrich import attach_attributes
 from wayside.sources.pages import features, layer_schema, page_texts, read_snapshot, read_supplemental, snapshot_meta, write_snapshot
 from wayside.streaming.refresh_stream import refresh_stream
 
@@ -126,3 +128,21 @@ def test_pages_are_bounded(spark):
         pages = page_texts(spark.range(n), "id", F.struct("id"), 100).select(F.size(F.from_json("value", "features array<struct<id long>>")["features"]).alias("n")).collect()
         assert sum(r.n for r in pages) == n and len(pages) == -(-n // 100)
         assert max((r.n for r in pages), default=0) <= 160
+
+
+def test_first_attribute_row_and_json_safe(spark):
+    pipes = spark.createDataFrame([(1,), (2,)], "OBJECTID long")
+    attributes = spark.createDataFrame([(1, "b", 2), (1, "c", 1), (2, None, 3)], "OBJECTID long, v string, row int")
+    assert sorted((r.OBJECTID, r.v) for r in attach_attributes(pipes, attributes, order=("row",)).collect()) == [(1, "c"), (2, None)]
+    row = json_safe(spark.sql("select timestamp'2021-01-02 03:04:05' as t, date'2021-01-02' as d, double('NaN') as n, 2.5D as x, true as b, array(1, 2) as a, 'é' as s")).first()
+    assert tuple(row) == ("2021-01-02T03:04:05.000000", "2021-01-02", None, 2.5, True, "[1,2]", "é")
+
+
+def test_snapshots_keep_the_last_complete_version(spark, tmp_path):
+    folder = f"{tmp_path}/s"
+    for n in (3, 5, 4):
+        write_snapshot(spark.range(n).select("id"), folder, "u", "w", None, None)
+        assert read_snapshot(spark, folder, "u", "w").count() == n
+    assert snapshot_meta(spark, folder)["turn"] == 2
+    spark.range(9).write.parquet(f"{folder}/v-half")  # a version that no row names yet
+    assert read_snapshot(spark, folder, "u", "w").count() == 4

@@ -64,12 +64,11 @@ def in_box(x: Column, y: Column, west: float, south: float, east: float, north:
 def crosses_box(ax: Column, ay: Column, bx: Column, by: Column, west: float, south: float, east: float, north: float) -> Column:
     """Whether a segment meets a box: Liang-Barsky clipping."""
     dx, dy = bx - ax, by - ay
-    lo, hi, outside = F.lit(0.0), F.lit(1.0), F.lit(False)
-    for p, q in ((-dx, ax - west), (dx, F.lit(east) - ax), (-dy, ay - south), (dy, F.lit(north) - ay)):
-        outside = outside | ((p == 0) & (q < 0))
-        lo = F.when(p < 0, F.greatest(lo, q / p)).otherwise(lo)
-        hi = F.when(p > 0, F.least(hi, q / p)).otherwise(hi)
-    return ~outside & (lo <= hi)
+    sides = ((-dx, ax - west), (dx, F.lit(east) - ax), (-dy, ay - south), (dy, F.lit(north) - ay))
+    enter = F.greatest(F.lit(0.0), *[F.when(p < 0, q / p) for p, q in sides])  # null where the side does not bound
+    leave = F.least(F.lit(1.0), *[F.when(p > 0, q / p) for p, q in sides])
+    outside = [(p == 0) & (q < 0) for p, q in sides]
+    return ~(outside[0] | outside[1] | outside[2] | outside[3]) & (enter <= leave)
 
 
 def point_wkt(x: Column, y: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # White space as the source data's tools see it, and the words that mean "no value".
@@ -89,6 +89,20 @@ def epoch_ms_to_iso(c: Column | str) -> Column:
     return F.coalesce(F.date_format(F.timestamp_millis(t.try_cast("double").try_cast("long")), "yyyy-MM-dd'T'HH:mm:ssXXX"), t)
 
 
-def json_safe(c: Column | str) -> Column:
-    """A display value: timestamps as ISO text, everything else as text."""
-    return _text(c)
+def json_safe(df: DataFrame) -> DataFrame:
+    """Display values: timestamps and dates as ISO text, numbers that are not finite as null,
+    nested and binary values as text; text, finite numbers and booleans stay."""
+
+    def safe(field) -> Column:
+        c, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        if kind.startswith("timestamp"):
+            return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        if kind == "date":
+            return c.cast("string")
+        if kind in ("float", "double"):
+            return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
+        if kind.startswith(("array", "map", "struct")):
+            return F.to_json(c)
+        return F.base64(c) if kind == "binary" else c
+
+    return df.select(*[safe(f).alias(f.name) for f in df.schema.fields])

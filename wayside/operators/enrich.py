@@ -37,9 +37,11 @@ def enrich_pipes(pipes: DataFrame, decoder_rows: DataFrame) -> DataFrame:
     return out.withColumnRenamed("__grade", "GradeMaterial").withColumn("PipeMaterialRaw", F.col("ASSETTYPE")).withColumn("material", F.col("ASSETTYPE_DECODED"))
 
 
-def attach_attributes(pipes: DataFrame, attributes: DataFrame, key: str = "OBJECTID") -> DataFrame:
-    """Service attributes by id; of repeated ids one row."""
-    return pipes.join(attributes.dropDuplicates([key]), key, "left")
+def attach_attributes(pipes: DataFrame, attributes: DataFrame, key: str = "OBJECTID", order: tuple[str, ...] = ()) -> DataFrame:
+    """Service attributes by id; of repeated ids the first row by these columns, then by all others."""
+    rest = [c for c in attributes.columns if c != key and c not in order]
+    first = attributes.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*order, *rest))).filter("__n = 1").drop("__n")
+    return pipes.join(first, key, "left")
 
 
 def already_enriched(df: DataFrame) -> bool:

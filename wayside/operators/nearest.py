@@ -7,7 +7,7 @@ equi-join on (keys, cell), which Spark partitions, spills and splits when skewed
 
 Small rings first: points that have a match within the first ring are done, as all
 lines within it were compared; only the rest look further. Dense places thus never
-meet the wide cells.
+meet the wide cells. A ring's result is stored before the next one starts.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayside.functions.geometry import distance, nearest_on_segment
+from wayside.sources.pages import stored
 
 
 def _cells(lo, hi, size: float):
@@ -45,6 +46,8 @@ def nearest_within(points: DataFrame, segments: DataFrame, key: str, keys: list[
     done, left = None, points
     for r in [*[x for x in rings if x < radius], radius]:
         found = _within(left, segments, key, keys, r, carry, order)
+        if r < radius:
+            found = stored(found)  # it is both a part of the result and what the next ring leaves out
         done = found if done is None else done.unionByName(found)
         if r < radius:
             left = left.join(found.select(key), key, "left_anti")

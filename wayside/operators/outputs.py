@@ -9,11 +9,13 @@ from wayside.functions.material import search_ring
 from wayside.functions.text import upper
 from wayside.operators.nearest import nearest_within
 from wayside.operators.prepare import last_row
+from wayside.sources.pages import stored
 
 MAX_RADIUS_FT = 3000.0
+FIRST_RINGS_FT: tuple[float, ...] = ()  # a first ring of 600 ft took 25 s where none took 16 s, at 150,000 leaks
 
 
-def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = True, require_pressure: bool = False, radius: float = MAX_RADIUS_FT, rings: tuple[float, ...] = ()) -> DataFrame:
+def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = True, require_pressure: bool = False, radius: float = MAX_RADIUS_FT, rings: tuple[float, ...] = FIRST_RINGS_FT) -> DataFrame:
     """Nearest agreeing pipe of every leak. segments: one row per segment with the
     prepared pipe columns. Blank materials and null diameters never agree. Both sides
     bring their label and family; equal labels have equal families."""
@@ -72,7 +74,8 @@ def run_counters(gated: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def write_outputs(tasks: DataFrame, matches: DataFrame, folder: str) -> None:
-    """Three tables; each is replaced as a whole."""
+    """Three tables; each is replaced as a whole. The match is computed once."""
+    matches = stored(matches)
     for name, table in (("relocated_leaks", relocated_leaks), ("relocated_leak_offset_lines", guide_lines), ("leak_relocation_audit", relocation_audit)):
         table(tasks, matches).write.mode("overwrite").parquet(f"{folder}/{name}")
 

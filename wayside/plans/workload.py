@@ -40,6 +40,12 @@ select ((l_orderkey*10 + l_linenumber)*100000 + l_partkey)*1000 + l_suppkey as p
   cast((l_partkey*37) % 400 - 200 as double) as dx, cast((l_partkey*91) % 400 - 200 as double) as dy
 from lineitem"""
 
+SEGMENTS_SPARK = """
+select pipe_oid, layer, assettype, nominaldiameter, operatingpressure, 0 as path_idx,
+  inline(array(named_struct('seg_idx', 0, 'ax', x1, 'ay', y1, 'bx', x1+dx, 'b_y', y1+dy), named_struct('seg_idx', 1, 'ax', x1+dx, 'ay', y1+dy, 'bx', x1+dx+dy, 'b_y', y1+dy-dx)))
+from pipes"""
+
+#: The same rows in SQL that DuckDB reads too.
 SEGMENTS = """
 select pipe_oid, layer, assettype, nominaldiameter, operatingpressure, 0 as path_idx, 0 as seg_idx, x1 as ax, y1 as ay, x1+dx as bx, y1+dy as b_y from pipes
 union all
@@ -71,7 +77,7 @@ def pipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments with the prepared pipe columns that matching needs."""
     pipes(spark, sf_dir).createOrReplaceTempView("pipes")
-    s = with_rules(spark.sql(SEGMENTS), "assettype", MATERIAL_RULES)
+    s = with_rules(spark.sql(SEGMENTS_SPARK), "assettype", MATERIAL_RULES)
     return s.select("pipe_oid", "layer", "material", "label", "family", s.nominaldiameter.alias("diameter"), s.operatingpressure.alias("pressure"), "path_idx", "seg_idx", "ax", "ay", "bx", "b_y")
 
 

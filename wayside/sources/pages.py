@@ -75,11 +75,18 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The table written to a scratch folder and read back."""
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def write_csv(df: DataFrame, folder: str) -> None:
     df.write.option("header", True).csv(folder)
 
 
-# -- snapshots: a new version is written, then the one-row metadata table names it --
+# -- snapshots: a new version is written, then a new row of the metadata table names it --
 
 
 def write_snapshot(df: DataFrame, folder: str, url: str, where: str, modified: str | None, max_modified_ms: int | None) -> str:
@@ -87,8 +94,9 @@ def write_snapshot(df: DataFrame, folder: str, url: str, where: str, modified: s
     version = f"{folder}/v-{uuid.uuid4().hex}"
     df.write.parquet(version)
     rows = spark.read.parquet(version).count()
-    meta = spark.range(1).select(F.lit(version).alias("version"), F.lit(url).alias("url"), F.lit(where).alias("where_clause"), F.lit(modified).cast("string").alias("modified_field"), F.lit(max_modified_ms).cast("long").alias("max_modified_ms"), F.current_timestamp().alias("cached_utc"), F.lit(rows).cast("long").alias("n"))
-    meta.write.mode("overwrite").parquet(f"{folder}/meta")
+    known = snapshot_meta(spark, folder)
+    meta = spark.range(1).select(F.lit(known["turn"] + 1 if known else 0).cast("long").alias("turn"), F.lit(version).alias("version"), F.lit(url).alias("url"), F.lit(where).alias("where_clause"), F.lit(modified).cast("string").alias("modified_field"), F.lit(max_modified_ms).cast("long").alias("max_modified_ms"), F.current_timestamp().alias("cached_utc"), F.lit(rows).cast("long").alias("n"))
+    meta.write.mode("append").parquet(f"{folder}/meta")  # a stop at any point leaves the row before as the newest
     return version
 
 
@@ -102,7 +110,7 @@ def read_snapshot(spark: SparkSession, folder: str, url: str, where: str) -> Dat
 
 def snapshot_meta(spark: SparkSession, folder: str) -> dict | None:
     try:
-        row = spark.read.parquet(f"{folder}/meta").withColumn("age_seconds", F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("cached_utc")).first()
+        row = spark.read.parquet(f"{folder}/meta").withColumn("age_seconds", F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("cached_utc")).orderBy(F.desc("turn"), F.desc("version")).first()
     except AnalysisException:
         return None
     return row.asDict() if row else None

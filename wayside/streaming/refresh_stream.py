@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayside.operators.refresh import upsert
-from wayside.sources.pages import read_snapshot, write_snapshot
+from wayside.sources.pages import read_snapshot, snapshot_meta, write_snapshot
 
 
 def latest_per_key(changes: DataFrame, key: str, order: str) -> DataFrame:
@@ -22,6 +22,8 @@ def refresh_stream(changes: DataFrame, folder: str, key: str, order: str, url: s
     def apply(batch: DataFrame, _: int) -> None:
         rows = latest_per_key(batch, key, order)
         current = read_snapshot(batch.sparkSession, folder, url, where)
+        if current is None and snapshot_meta(batch.sparkSession, folder) is not None:
+            raise ValueError(f"{folder} holds snapshots of another url or filter; changes alone would replace the layer")
         write_snapshot(rows if current is None else upsert(current, rows, key), folder, url, where, order, None)
 
     return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
