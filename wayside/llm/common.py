@@ -208,14 +208,20 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 # -- components --------------------------------------------------------------
 
 
+def _are_stars(e: DataFrame) -> bool:
+    """Whether every node of the edges u > v is either a centre or has one edge, to a centre."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("centre")).union(e.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("centre").alias("centre"))
+    return ends.filter("out > 1 or out > 0 and centre > 0").count() == 0
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of the edges; component is the smallest
-    node reachable. Alternates large-star and small-star rounds; each round is
-    a keyed minimum (pre-aggregated) and a join, and is written to the shared folder."""
+    node reachable. Alternates large-star and small-star rounds until only stars are left;
+    each round is a keyed minimum (pre-aggregated) and a join, and is written to the shared folder."""
     e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v")
     e = materialise(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = None
-    while True:
+    while not _are_stars(e):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -223,8 +229,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         joined = large.join(low, "u")
         small = joined.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         e = materialise(small)
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == (now["n"], now["h"]):
-            break
-        mark = (now["n"], now["h"])
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

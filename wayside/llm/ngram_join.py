@@ -575,11 +575,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         state = more.agg(F.count("*").alias("n"), F.sum("left").alias("left")).first()
         if state["n"]:
             pairs = more.groupBy("d").applyInArrow(_distinct_pairs, "a long, b long").distinct()
-            links = links.union(_verified(materialise(pairs), plain))
-            labels = materialise(connected_components(links).toDF("uid", "label"))
+            new = _verified(materialise(pairs), plain)
+            if not new.isEmpty():
+                links = links.union(new)
+                labels = materialise(connected_components(links).toDF("uid", "label"))
         if not state["left"]:  # nothing was put off, so every candidate has been verified
             break
-        nearest *= NEAREST
+        nearest *= nearest
     named = info.select("uid", "doc_id", F.col("n").alias("n_shingles")).join(labels, "uid", "left")
     named = materialise(named)
     lowest = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))["uid"].alias("stay"))
