@@ -265,3 +265,21 @@ def test_samples_are_bounded_and_repeat(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], EMPTY)
     assert exact_dedup(none).count() == 0 and mix_taken(none).count() == 0
+
+
+def test_connected_components(spark):
+    from wayside.llm.common import connected_components
+
+    rng = random.Random(5)
+    path = [(i, i + 1) for i in range(100, 160)]
+    hub = [(7, i) for i in range(200, 240)] + [(250, 7)]
+    other = [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(70)]
+    edges = path + hub + other + [(1, 2), (1, 2), (2, 1), (3, 3)]
+    low = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in low:
+        for a, b in edges:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted((r.node, r.component) for r in found) == sorted(low.items())
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
