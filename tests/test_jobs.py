@@ -146,3 +146,14 @@ def test_snapshots_keep_the_last_complete_version(spark, tmp_path):
     assert snapshot_meta(spark, folder)["turn"] == 2
     spark.range(9).write.parquet(f"{folder}/v-half")  # a version that no row names yet
     assert read_snapshot(spark, folder, "u", "w").count() == 4
+
+
+def test_wanted_rows_and_impact_share(spark):
+    fetched = spark.createDataFrame([("1", "a"), (" 2 ", "b"), ("2.5", "c"), ("x", "d"), (None, "e"), ("99999999999999999999", "f"), ("1", "a")], "OBJECTID string, v string")
+    wanted = spark.createDataFrame([(1,), (2,), (2,), (None,)], "OBJECTID long")
+    assert sorted(tuple(r) for r in E.wanted_rows(fetched, wanted, "OBJECTID").collect()) == [(1, "a"), (1, "a"), (2, "b")]
+    assert E.wanted_rows(fetched, wanted.limit(0), "OBJECTID").count() == 0
+    table = spark.createDataFrame([("Copper",), ("Copper",), ("Steel",), (None,)], "m string")
+    assert tuple(E.impact_share(table, "m").first()) == (4, 1, 2, 50.0)
+    assert tuple(E.impact_share(table.limit(0), "m").first()) == (0, 0, 0, 0.0)
+    assert [r.v for r in E.first_rows(fetched, ["v"], 2).collect()] == ["a", "a"]

@@ -90,6 +90,26 @@ def affected_rows(df: DataFrame, column: str) -> DataFrame:
     return df.join(family_impact(df, column).select(F.col("value").alias(column)), column, "left_semi")
 
 
+def impact_share(df: DataFrame, column: str) -> DataFrame:
+    """One row: all rows, the values and rows whose family differs, and their percent of all rows."""
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).withColumn("changed", F.col("value").isNotNull() & (substring_family("value") != row_family("value")))
+    zero = F.lit(0)
+    out = counts.agg(F.coalesce(F.sum("n"), zero).alias("n"), F.count_if("changed").alias("changed_values"), F.coalesce(F.sum(F.when(F.col("changed"), F.col("n"))), zero).alias("changed_rows"))
+    return out.withColumn("percent", F.round(100 * F.col("changed_rows") / F.greatest("n", F.lit(1)), 2))
+
+
+def wanted_rows(fetched: DataFrame, wanted: DataFrame, key: str, wanted_key: str | None = None) -> DataFrame:
+    """Fetched rows whose id is wanted; ids that are no integers are skipped, null ids match nothing."""
+    text = F.trim(F.col(key).cast("string"))
+    rows = fetched.withColumn(key, F.when(text.rlike(r"^[-+]?\d+$"), text.try_cast("long")))
+    return rows.join(wanted.select(F.col(wanted_key or key).cast("long").alias(key)), key, "left_semi")
+
+
+def first_rows(df: DataFrame, by: list[str], n: int) -> DataFrame:
+    """The report's sample: the first n rows in the order of the given columns."""
+    return df.orderBy(*by).limit(n)
+
+
 def display_pipes(enriched: DataFrame) -> DataFrame:
     """The viewer's pipe columns: the raw code, its decoded domain (never the grade), family, colour, diameter."""
     out = enriched.select("pipe_oid", F.col("ASSETTYPE").cast("string").alias("PipeMaterialRaw"), F.col("ASSETTYPE_DECODED").alias("PipeMaterialDomain"), row_family("ASSETTYPE_DECODED").alias("PipeMaterialFamily"), F.col("nominaldiameter").alias("PipeDiameter"))

@@ -171,6 +171,9 @@ ORACLE = {
     "value_counts": with_(BASE, ENRICHED) + "SELECT ASSETTYPE_DECODED AS value, count(*) AS n FROM en GROUP BY 1 ORDER BY n DESC, value NULLS FIRST LIMIT 20",
     "family_impact": with_(BASE, IMPACT) + "SELECT * FROM impact",
     "affected_rows": with_(BASE, IMPACT) + "SELECT LeakNumber, ordinal, LeakMaterialType FROM supp WHERE LeakMaterialType IN (SELECT value FROM impact)",
+    "impact_share": with_(BASE, IMPACT) + "SELECT n, changed_values, changed_rows, round(100.0 * changed_rows / greatest(n, 1), 2) AS percent FROM (SELECT (SELECT count(*) FROM supp) AS n, count(*) AS changed_values, CAST(coalesce(sum(n), 0) AS BIGINT) AS changed_rows FROM impact)",
+    "wanted_rows": with_(BASE) + "SELECT pipe_oid AS OBJECTID, nominaldiameter FROM pipes WHERE layer <> 'service' AND pipe_oid IN (SELECT pipe_oid FROM pipes WHERE nominaldiameter >= 2)",
+    "relocated_sample": with_(BASE, matched(), f"rel AS ({RELOCATED})") + "SELECT OrigLeakOID, LinkedLayer, MatchedPipeOID, MatchMaterial FROM rel ORDER BY OrigLeakOID LIMIT 25",
     "layer_bounds": with_(BASE) + "SELECT min(x) AS west, min(y) AS south, max(x) AS east, max(y) AS north, (min(x) + max(x)) / 2 AS center_x, (min(y) + max(y)) / 2 AS center_y FROM (SELECT ax AS x, ay AS y FROM segments UNION ALL SELECT bx, b_y FROM segments UNION ALL SELECT x, y FROM leaks)",
     "viewport_points": with_(BASE, f"v AS (SELECT leak_oid, x, y FROM leaks WHERE x BETWEEN {WEST} AND {EAST} AND y BETWEEN {SOUTH} AND {NORTH})") + "SELECT *, (SELECT count(*) FROM v) AS total_in_view, (SELECT count(*) FROM v) > 25000 AS truncated FROM v ORDER BY leak_oid LIMIT 25000",
     "viewport_lines": with_(BASE) + f"SELECT pipe_oid, count(*) AS segments_in_view FROM segments WHERE greatest(0, {X0}, {Y0}) <= least(1, {X1}, {Y1}) GROUP BY pipe_oid",

@@ -144,6 +144,22 @@ def affected_rows(spark, d):
     return E.affected_rows(W.raw_supplemental(spark, d), "LeakMaterialType").select("LeakNumber", "ordinal", "LeakMaterialType")
 
 
+def impact_share(spark, d):
+    return E.impact_share(W.raw_supplemental(spark, d), "LeakMaterialType")
+
+
+def wanted_rows(spark, d):
+    """Fetched pipes that are wanted for their diameter; the service pipes' ids come as text that is no integer."""
+    p = W.pipes(spark, d)
+    oid = F.col("pipe_oid").cast("string")
+    fetched = p.select(F.when(F.col("layer") == "service", F.concat(F.lit("S-"), oid)).otherwise(oid).alias("OBJECTID"), "nominaldiameter")
+    return E.wanted_rows(fetched, p.filter("nominaldiameter >= 2"), "OBJECTID", "pipe_oid")
+
+
+def relocated_sample(spark, d):
+    return E.first_rows(relocated_leaks(spark, d).select("OrigLeakOID", "LinkedLayer", "MatchedPipeOID", "MatchMaterial"), ["OrigLeakOID"], 25)
+
+
 def layer_bounds(spark, d):
     s = W.segment_table(spark, d)
     ends = s.select(F.explode(F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("b_y").alias("y")))).alias("v")).select("v.*")
@@ -352,6 +368,9 @@ QUERIES = {
     "value_counts": value_counts,
     "family_impact": family_impact,
     "affected_rows": affected_rows,
+    "impact_share": impact_share,
+    "wanted_rows": wanted_rows,
+    "relocated_sample": relocated_sample,
     "layer_bounds": layer_bounds,
     "viewport_points": viewport_points,
     "viewport_lines": viewport_lines,
