@@ -157,3 +157,29 @@ def test_wanted_rows_and_impact_share(spark):
     assert tuple(E.impact_share(table, "m").first()) == (4, 1, 2, 50.0)
     assert tuple(E.impact_share(table.limit(0), "m").first()) == (0, 0, 0, 0.0)
     assert [r.v for r in E.first_rows(fetched, ["v"], 2).collect()] == ["a", "a"]
+
+
+def test_pages_end_at_the_first_short_one(spark):
+    from wayside.sources.pages import fetched_pages, layer_schema
+
+    page = lambda oids, more: json.dumps({"features": [{"attributes": {"OBJECTID": i}, "geometry": {"x": 1.0, "y": 2.0}} for i in oids], **({"exceededTransferLimit": True} if more else {})})
+    schema = layer_schema({"fields": [{"name": "OBJECTID", "type": "esriFieldTypeOID"}]})[0]
+    got = lambda *pages: sorted(r.OBJECTID for r in fetched_pages(spark.createDataFrame([(2 * i, p) for i, p in enumerate(pages)], "offset long, value string"), schema, 2).collect())
+    assert got(page([1, 2], False), page([3], True), page([4], False), page([5, 6], False)) == [1, 2, 3, 4]
+    assert got(page([1, 2], False), page([3, 4], False)) == [1, 2, 3, 4]
+    assert got(page([], False), page([3, 4], False)) == []
+
+
+def test_refresh_job_keeps_changes_or_reloads(spark, tmp_path):
+    from wayside.operators.jobs import refresh_job
+
+    rows = lambda *r: spark.createDataFrame(list(r), "id long, modified long, v string")
+    run = lambda source, **o: refresh_job(spark, f"file://{tmp_path}/layer", source, "id", "modified", "u", "w", **o)
+    values = lambda df: sorted((r.id, r.v) for r in df.collect())
+    one, two = rows((1, 1000, "a"), (2, 2000, "b")), rows((1, 1000, "a"), (2, 9000, "c"), (3, 9000, "d"))
+    assert run(one)[0] == "reload"
+    assert run(two)[0] == "cache"  # still fresh
+    step, out = run(two, fresh_seconds=-1)
+    assert (step, values(out)) == ("upsert", [(1, "a"), (2, "c"), (3, "d")])
+    step, out = run(rows((3, 9000, "d")), fresh_seconds=-1)  # deletions show as counts
+    assert (step, values(out)) == ("reload", [(3, "d")])

@@ -38,10 +38,11 @@ def supplemental(raw: DataFrame) -> DataFrame:
 
 def gated_leaks(leaks: DataFrame, supp: DataFrame) -> DataFrame:
     """All leaks with their attributes and a gate: ready, missing_supplemental or missing_match_attributes."""
-    keyed = leaks.select("leak_oid", normalize_key("leak_key_raw").alias("leak_key"), "x", "y")
+    gid = [c for c in ("leak_gid",) if c in leaks.columns]
+    keyed = leaks.select("leak_oid", normalize_key("leak_key_raw").alias("leak_key"), "x", "y", *gid)
     joined = keyed.join(supp.withColumn("has_supp", F.lit(True)), "leak_key", "left")
     gate = F.when(F.col("has_supp").isNull(), "missing_supplemental").when(F.col("leak_diameter").isNull() | (F.col("leak_material") == ""), "missing_match_attributes").otherwise("ready")
-    return joined.select("leak_oid", "leak_key", "x", "y", "leak_diameter", "leak_material", "leak_pressure", "facility", "label", "family", gate.alias("gate"))
+    return joined.select("leak_oid", "leak_key", "x", "y", *gid, "leak_diameter", "leak_material", "leak_pressure", "facility", "label", "family", gate.alias("gate"))
 
 
 def leak_tasks(gated: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def table_page(df: DataFrame, needle: str, sort_column: str, ascending: bool = T
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 17) -> DataFrame:
     """Exactly n rows (or all), the same ones each time: the smallest seeded hashes."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key).limit(n)
 
 
 def geojson(df: DataFrame, kind: str, coordinates: Column, properties: list[str]) -> DataFrame:

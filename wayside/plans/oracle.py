@@ -5,7 +5,7 @@ from __future__ import annotations
 from wayside.functions.geometry import CENTRAL_LON, FLATTENING, SEMI_MAJOR_FT, conic_constants
 from wayside.functions.material import COLORS, LABELS, MATCH_TERMS, ROW_TERMS, VIEWER_TERMS
 from wayside.functions.text import SPACE
-from wayside.plans.queries import BOX
+from wayside.plans.queries import BOX, RUN_UTC
 from wayside.plans.workload import GROUPS, LEAKS, PIPES, SEGMENTS, SUPPLEMENTAL
 
 RE_SPACE = SPACE.replace("\\t-\\r", "\\t\\n\\v\\f\\r")
@@ -131,6 +131,38 @@ EVENTS = "ev AS (SELECT *, epoch_us(ts) // 1000 AS modified FROM events)"
 PROFILE = [("ASSETGROUP", "assetgroup"), ("ASSETTYPE", "assettype"), ("ASSETTYPE_DECODED", "ASSETTYPE_DECODED"), ("PipeMaterialFamily", "PipeMaterialFamily"), ("GradeMaterial", "CAST(NULL AS VARCHAR)")]
 COLOR = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in COLORS.items())
 
+
+
+def degrees(x: str, y: str) -> str:
+    """'lon,lat' of native feet, to seven decimals."""
+    px, py = f"({x}) / {SEMI_MAJOR_FT!r}", f"({CONE['rho0']!r} - ({y}) / {SEMI_MAJOR_FT!r})"
+    mu = f"(({CONE['g']!r} - sqrt({px}*{px} + {py}*{py})) / {M0!r})"
+    lat = f"{mu} + {3 * E1 / 2 - 27 * E1**3 / 32!r}*sin(2*{mu}) + {21 * E1**2 / 16 - 55 * E1**4 / 32!r}*sin(4*{mu}) + {151 * E1**3 / 96!r}*sin(6*{mu}) + {1097 * E1**4 / 512!r}*sin(8*{mu})"
+    return f"(round({CENTRAL_LON} + degrees(atan2({px}, {py}) / {CONE['n']!r}), 7) || ',' || round(degrees({lat}), 7))"
+
+
+def feature(properties: str, kind: str, coordinates: str) -> str:
+    return f"""'{{"type":"Feature","properties":{{' || {properties} || '}},"geometry":{{"type":"{kind}","coordinates":' || {coordinates} || '}}}}'"""
+
+
+def props(**columns: str) -> str:
+    """Text properties are marked by a leading quote."""
+    return " || ',' || ".join(f"""'"{k}":"' || {e[1:]} || '"'""" if e.startswith('"') else f"""'"{k}":' || {e}""" for k, e in columns.items())
+
+
+SHARP = "sqrt((dx*dx + dy*dy) / 2) > 120"  # the middle vertex is that far from the line between the ends
+POINT = f"'[' || {degrees('x', 'y')} || ']'"
+
+
+def meets_box(ax: str, ay: str, bx: str, b_y: str) -> str:
+    (x0, x1), (y0, y1) = clip(ax, bx, WEST, EAST), clip(ay, b_y, SOUTH, NORTH)
+    return f"greatest(0, {x0}, {y0}) <= least(1, {x1}, {y1})"
+
+
+DATED = """dated AS (SELECT pipe_oid, o_orderdate AS i, assettype, x1, y1, dx, dy FROM pipes JOIN orders ON o_orderkey = pipe_oid // 1000000000 WHERE o_orderdate >= TIMESTAMP '1996-01-01')"""
+REPORTED = [("LinkedLayer", "LinkedLayer"), ("MatchMaterial", "MatchMaterial"), ("MatchDiameter", "MatchDiameter"), ("MatchPressure", "MatchPressure"), ("SearchRadiusFt", "SearchRadiusFt")]
+VIEWED = f"""v AS (SELECT pipe_oid, layer, x1, y1, dx, dy FROM pipes WHERE {meets_box('x1', 'y1', '(x1+dx)', '(y1+dy)')} OR {meets_box('(x1+dx)', '(y1+dy)', '(x1+dx+dy)', '(y1+dy-dx)')})"""
+
 ORACLE = {
     "clean_keys": with_(BASE) + f"SELECT LeakNumber, ordinal, {clean('LeakMaterialType')} AS cleaned, {key('LeakNumber')} AS join_key, {view_key('LeakNumber')} AS view_key, nullif(trim(Pressure), '') AS code FROM supp",
     "parse_numbers": with_(BASE) + f"SELECT LeakNumber, ordinal, {number('Diameter')} AS diameter, {number('LeakMaterialType')} AS in_material FROM supp",
@@ -209,4 +241,26 @@ SELECT OBJECTID, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed, epoch_us(c) // 1
     "snapshot_roundtrip": with_(BASE) + "SELECT pipe_oid, nominaldiameter, x1, dy FROM pipes WHERE layer = 'service'",
     "csv_roundtrip": with_(BASE) + "SELECT nullif(Diameter, '') AS Diameter, nullif(FacilityType, '') AS FacilityType, nullif(Pressure, '') AS Pressure, CAST(ordinal AS VARCHAR) AS row_no, count(*) AS n FROM supp GROUP BY ALL",
     "duplicate_ids_last": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1",
+    "layer_sample": with_(BASE) + "SELECT * FROM leaks ORDER BY md5(CAST(leak_oid AS VARCHAR) || ':17'), leak_oid LIMIT 3500",
+    "simplify_lines": with_(BASE) + f"SELECT pipe_oid, CAST(CASE WHEN {SHARP} THEN 3 ELSE 2 END AS BIGINT) AS vertices FROM pipes",
+    "geojson_features": with_(BASE) + f"SELECT {feature(props(leak_oid='leak_oid'), 'Point', POINT)} AS feature FROM leaks",
+    "paged_layer": with_(BASE) + "SELECT pipe_oid, layer, CAST(1 AS BIGINT) AS paths, x1 AS x, y1 + dy AS y FROM pipes WHERE assettype IS NOT NULL",
+    "job_relocated_leaks": with_(BASE, matched(), f"rel AS ({RELOCATED})") + "SELECT * EXCLUDE (x, y), '{P-' || MatchedPipeOID || '}' AS MatchedPipeGID, 'POINT (' || x || ' ' || y || ')' AS geometry FROM rel",
+    "job_offset_lines": with_(BASE, matched()) + "SELECT m.leak_oid AS LeakOID, t.leak_key AS LeakKey, m.layer AS LinkedLayer, m.dist AS DistanceFt, m.pipe_oid AS MatchedPipeOID, 'LINESTRING (' || t.x || ' ' || t.y || ', ' || m.nx || ' ' || m.ny || ')' AS geometry FROM m JOIN tasks t ON m.leak_oid = t.leak_oid",
+    "enrich_job": with_(BASE, ENRICHED) + "SELECT ASSETTYPE_DECODED, count(*) AS n, unnest(['counted', 'skipped', 'enriched']) AS step FROM en GROUP BY ASSETTYPE_DECODED",
+    "report_counts": with_(BASE, matched(), f"rel AS ({RELOCATED})") + " UNION ALL ".join(f"SELECT '{name}' AS column_name, CAST({e} AS VARCHAR) AS value, count(*) AS n FROM rel GROUP BY 2" for name, e in REPORTED),
+    "report_rows": with_(BASE, matched(), f"rel AS ({RELOCATED})") + "SELECT OrigLeakOID, LinkedLayer, MatchedPipeOID, MatchMaterial, 'POINT (' || round(x, 3) || ' ' || round(y, 3) || ')' AS WKT FROM rel ORDER BY OrigLeakOID LIMIT 250",
+    "viewport_answer": with_(BASE, VIEWED)
+    + f"""SELECT pipe_oid, {feature(props(pipe_oid='pipe_oid', layer='"layer'), 'LineString', f"'[[' || {degrees('x1', 'y1')} || CASE WHEN {SHARP} THEN '],[' || {degrees('x1+dx', 'y1+dy')} ELSE '' END || '],[' || {degrees('x1+dx+dy', 'y1+dy-dx')} || ']]'")} AS feature,
+      (SELECT count(*) FROM v) AS total_in_view, (SELECT count(*) FROM v) > 25000 AS truncated FROM v ORDER BY pipe_oid, x1, y1, dx, dy LIMIT 25000""",
+    "context_export": with_(BASE, "dr AS (SELECT * FROM leaks ORDER BY md5(CAST(leak_oid AS VARCHAR) || ':17'), leak_oid LIMIT 3500)", f"ll AS (SELECT leak_oid, {degrees('x', 'y')} AS p FROM dr)")
+    + f"""SELECT leak_oid, {feature(props(leak_oid='leak_oid'), 'Point', "'[' || p || ']'")} AS feature, {", ".join(f"(SELECT {f}(CAST(split_part(p, ',', {i}) AS DOUBLE)) FROM ll) AS {n}" for f, i, n in (("min", 1, "west"), ("min", 2, "south"), ("max", 1, "east"), ("max", 2, "north")))} FROM ll""",
+    "viewer_export": with_(BASE, matched(), f"rel AS ({RELOCATED})")
+    + f"""SELECT 'relocated_leaks' AS layer, {feature(props(OrigLeakOID='OrigLeakOID', LinkedLayer='"LinkedLayer', MatchedPipeOID='MatchedPipeOID', SearchRadiusFt='SearchRadiusFt'), 'Point', POINT)} AS feature FROM rel
+      UNION ALL SELECT 'relocated_leak_offset_lines', {feature(props(LeakOID='m.leak_oid', LinkedLayer='"m.layer', MatchedPipeOID='m.pipe_oid'), 'LineString', f"'[[' || {degrees('t.x', 't.y')} || '],[' || {degrees('m.nx', 'm.ny')} || ']]'")} FROM m JOIN tasks t ON m.leak_oid = t.leak_oid""",
+    "export_job": with_(BASE, DATED, "d AS (SELECT *, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed FROM dated)")
+    + f"""SELECT pipe_oid, installed, 'csv' AS part FROM d UNION ALL SELECT pipe_oid, installed, 'geojson [[' || {degrees('x1', 'y1')} || '],[' || {degrees('x1+dx', 'y1+dy')} || ']]' FROM d WHERE assettype IS NOT NULL""",
+    "export_count": with_(BASE, DATED) + "SELECT count(*) AS n FROM dated",
 }
+ORACLE["job_audit"] = with_(BASE, matched(), f"au AS ({ORACLE['relocation_audit'].split(matched(), 1)[1]})") + f"SELECT *, '{{L-' || LeakOID || '}}' AS LeakGlobalID, '{{P-' || MatchedPipeOID || '}}' AS MatchedPipeGID, '{RUN_UTC}' AS RunUTC, 'POINT (' || OrigX || ' ' || OrigY || ')' AS geometry FROM au"
+ORACLE["refresh_job"] = ORACLE["refresh_merged"]

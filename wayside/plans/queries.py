@@ -9,16 +9,18 @@ from wayside.functions import geometry as G
 from wayside.functions.material import layer_color, material_family, material_label, route_layers, row_family, search_ring, viewer_family
 from wayside.functions.text import clean, epoch_ms, norm_code, normalize_key, parse_number, safe_watermark, viewer_key
 from wayside.operators import enrich as E
+from wayside.operators import jobs as J
 from wayside.operators import outputs as O
 from wayside.operators import refresh as R
 from wayside.operators import viewport as V
 from wayside.operators.export import date_export
 from wayside.operators.prepare import last_row, pipe_gaps, prepared_pipes, supplemental
 from wayside.plans import workload as W
-from wayside.sources.pages import features, layer_schema, page_texts, read_snapshot, read_supplemental, scratch_folder, write_csv, write_snapshot
+from wayside.sources.pages import features, fetched_pages, layer_schema, page_texts, read_snapshot, read_supplemental, scratch_folder, stored, write_csv, write_snapshot
 
 BOX = (40000.0, 40000.0, 70000.0, 60000.0)
 DELTA_FROM_ORDER_KEY = 3
+RUN_UTC = "2024-01-01 00:00:00"
 
 
 def _matches(spark, d, **options) -> tuple[DataFrame, DataFrame]:
@@ -279,16 +281,30 @@ def date_export_query(spark, d):
 FIELDS = {"fields": [{"name": "pipe_oid", "type": "esriFieldTypeOID"}, {"name": "layer", "type": "esriFieldTypeString"}]}
 
 
-def feature_pages(spark, d):
-    """Pages of the pipes as JSON texts, read back as rows; one-vertex paths and missing geometries go."""
+def _pages(spark, d):
+    """Pages of the pipes as JSON texts."""
     c = F.col
     p = W.pipes(spark, d)
     path = F.array(F.array(c("x1"), c("y1"), F.lit(7.0)), F.array(c("x1") + c("dx"), c("y1") + c("dy"), F.lit(8.0)))
     stub = F.array(F.array(c("x1"), c("y1")))
     geometry = F.when(c("assettype").isNotNull(), F.struct(F.array(path, stub).alias("paths")))
     feature = F.struct(F.struct("pipe_oid", "layer").alias("attributes"), geometry.alias("geometry"))
-    rows = features(page_texts(p, "pipe_oid", feature), layer_schema(FIELDS)[0])
-    return rows.select("pipe_oid", "layer", F.size("paths").cast("long").alias("paths"), c("paths")[0][0]["x"].alias("x"), c("paths")[0][1]["y"].alias("y"))
+    return page_texts(p, "pipe_oid", feature)
+
+
+def _page_rows(rows):
+    paths = F.col("paths")
+    return rows.select("pipe_oid", "layer", F.size(paths).cast("long").alias("paths"), paths[0][0]["x"].alias("x"), paths[0][1]["y"].alias("y"))
+
+
+def feature_pages(spark, d):
+    """Pages read back as rows; one-vertex paths and missing geometries go."""
+    return _page_rows(features(_pages(spark, d), layer_schema(FIELDS)[0]))
+
+
+def paged_layer(spark, d):
+    """The same pages as a client stepping through offsets sees them, from stored page texts."""
+    return _page_rows(fetched_pages(stored(_pages(spark, d)), layer_schema(FIELDS)[0]))
 
 
 def display_leaks(spark, d):
@@ -340,6 +356,91 @@ def csv_roundtrip(spark, d):
     return read_supplemental(spark, folder).groupBy("Diameter", "FacilityType", "Pressure", "row_no").agg(F.count("*").alias("n"))
 
 
+def _relocation(spark, d):
+    """The job over leaks with repeated ids; the run's time is a fixed text, so that reruns agree."""
+    segments = W.segment_table(spark, d).withColumn("pipe_gid", F.concat(F.lit("{P-"), F.col("pipe_oid").cast("string"), F.lit("}")))
+    return J.relocation_job(W.tasks_with_gid(spark, d), segments, ["seen"], F.lit(RUN_UTC))
+
+
+def job_relocated_leaks(spark, d):
+    return _relocation(spark, d)["relocated_leaks"]
+
+
+def job_offset_lines(spark, d):
+    return _relocation(spark, d)["relocated_leak_offset_lines"]
+
+
+def job_audit(spark, d):
+    return _relocation(spark, d)["leak_relocation_audit"]
+
+
+def enrich_job(spark, d):
+    """A dry run counts, a second run skips, a forced one decodes anew."""
+    once = W.enriched(spark, d)
+    runs = [J.enrich_job(W.coded_pipes(spark, d), W.decoder_table(spark), dry_run=True), J.enrich_job(once, W.decoder_table(spark)), J.enrich_job(once, W.decoder_table(spark), force=True)]
+    count = lambda step, df: df.groupBy("ASSETTYPE_DECODED").agg((F.sum("n") if "n" in df.columns else F.count("*")).alias("n")).withColumn("step", F.lit(step))
+    parts = [count(step, df) for step, df in runs]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def report_counts(spark, d):
+    return J.report_counts(relocated_leaks(spark, d), ["LinkedLayer", "MatchMaterial", "MatchDiameter", "MatchPressure", "SearchRadiusFt"])
+
+
+def report_rows(spark, d):
+    out = J.report_rows(relocated_leaks(spark, d).withColumns({c: F.round(c, 3) for c in ("x", "y")}))
+    return out.select("OrigLeakOID", "LinkedLayer", "MatchedPipeOID", "MatchMaterial", "WKT")
+
+
+def viewport_answer(spark, d):
+    return J.viewport_answer(_lines(spark, d), "pipe_oid", BOX, 120.0, ["pipe_oid", "layer"])
+
+
+def context_export(spark, d):
+    return J.context_export(W.leaks(spark, d), "leak_oid", 3500)
+
+
+def viewer_export(spark, d):
+    tasks, found = _matches(spark, d)
+    found = stored(found)
+    return J.viewer_export(O.relocated_leaks(tasks, found), O.guide_lines(tasks, found), ["OrigLeakOID", "LinkedLayer", "MatchedPipeOID", "SearchRadiusFt"], ["LeakOID", "LinkedLayer", "MatchedPipeOID"])
+
+
+def _dated_pipes(spark, d):
+    """Pipes with the dates of their line; those without a material code have no geometry."""
+    dates = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("k"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("installationdate"))
+    p = W.pipes(spark, d).withColumn("k", F.expr("pipe_oid div 1000 div 100000 div 10")).join(dates, "k")
+    v = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    c = F.col
+    path = F.array(F.array(v(c("x1"), c("y1")), v(c("x1") + c("dx"), c("y1") + c("dy"))))
+    return p.select("pipe_oid", "installationdate", F.when(c("assettype").isNotNull(), path).alias("paths"))
+
+
+def export_job(spark, d):
+    """Both files of the export, read back: the CSV rows with their feature, if they have geometry."""
+    folder = scratch_folder(spark)
+    J.export_job(_dated_pipes(spark, d), "1996-01-01", folder, ["installationdate"])
+    table = spark.read.option("header", True).schema("pipe_oid long, installationdate string").csv(f"{folder}/csv").withColumn("part", F.lit("csv"))
+    lines = spark.read.text(f"{folder}/geojson").select(F.get_json_object("value", "$.properties.pipe_oid").cast("long").alias("pipe_oid"), F.get_json_object("value", "$.properties.installationdate").alias("installationdate"), F.concat(F.lit("geojson "), F.get_json_object("value", "$.geometry.coordinates")).alias("part"))
+    both = table.unionByName(lines)
+    return both.select("pipe_oid", F.substring("installationdate", 1, 19).alias("installed"), "part")
+
+
+def export_count(spark, d):
+    return J.export_job(_dated_pipes(spark, d), "1996-01-01", "", count_only=True)
+
+
+def refresh_job(spark, d):
+    """Store the first nine tenths of the events' time, all types old; then bring that layer up to date."""
+    e, _ = _events(spark, d)
+    bound = e.agg(F.expr("min(modified) + (max(modified) - min(modified)) * 9 div 10").alias("bound"))
+    old = e.crossJoin(F.broadcast(bound)).filter("modified <= bound").drop("bound").withColumn("event_type", F.lit("old"))
+    folder = scratch_folder(spark)
+    J.refresh_job(spark, folder, old, "event_id", "modified", "events", "all")
+    step, rows = J.refresh_job(spark, folder, e, "event_id", "modified", "events", "all", fresh_seconds=-1)
+    return rows.select("event_id", "event_type", "user_id", F.lit(step).alias("step"))
+
+
 QUERIES = {
     "clean_keys": clean_keys,
     "parse_numbers": parse_numbers,
@@ -398,4 +499,17 @@ QUERIES = {
     "duplicate_ids_last": duplicate_ids_last,
     "snapshot_roundtrip": snapshot_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "paged_layer": paged_layer,
+    "job_relocated_leaks": job_relocated_leaks,
+    "job_offset_lines": job_offset_lines,
+    "job_audit": job_audit,
+    "enrich_job": enrich_job,
+    "report_counts": report_counts,
+    "report_rows": report_rows,
+    "viewport_answer": viewport_answer,
+    "context_export": context_export,
+    "viewer_export": viewer_export,
+    "export_job": export_job,
+    "export_count": export_count,
+    "refresh_job": refresh_job,
 }

@@ -49,10 +49,22 @@ def features(pages: DataFrame, attributes: T.StructType, text: str = "value") ->
 
 
 def page_texts(rows: DataFrame, key: str, feature: Column, size: int = DEFAULT_PAGE) -> DataFrame:
-    """Features as page texts of about `size` each, dealt by a hash of the key; the number of pages grows with the rows."""
+    """Features as page texts of about `size` each with their offsets, dealt by a hash of the key; the
+    number of pages grows with the rows. All but the last say exceededTransferLimit."""
     pages = rows.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / size)).alias("__pages"))
     dealt = rows.crossJoin(F.broadcast(pages)).withColumn("page", F.pmod(F.xxhash64(key), "__pages"))
-    return dealt.groupBy("page").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"))
+    more = (F.col("page") < F.col("__pages") - 1).alias("exceededTransferLimit")
+    return dealt.groupBy("page", "__pages").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"), more)).alias("value")).select("page", (F.col("page") * size).alias("offset"), "value")
+
+
+def fetched_pages(pages: DataFrame, attributes: T.StructType, size: int = DEFAULT_PAGE) -> DataFrame:
+    """Rows of pages (`offset`, `value`) that a client stepping through offsets would see: the first
+    page of under `size` features ends the layer, unless it says exceededTransferLimit. Only that
+    page's offset is shared between the tasks."""
+    head = F.from_json("value", "exceededTransferLimit boolean, features array<string>")
+    ends = pages.select("offset", head.alias("h")).filter((F.coalesce(F.size("h.features"), F.lit(0)) < size) & ~F.coalesce("h.exceededTransferLimit", F.lit(False)))
+    last = ends.agg(F.min("offset").alias("__last"))
+    return features(pages.crossJoin(F.broadcast(last)).filter("__last is null or offset <= __last"), attributes)
 
 
 def read_pages(spark: SparkSession, path: str, attributes: T.StructType) -> DataFrame:
