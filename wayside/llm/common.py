@@ -67,6 +67,17 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def tidy(run):
+    """A function of one group that gives its memory back when its tables are done with."""
+
+    def grouped(table: pa.Table) -> pa.Table:
+        out = run(table)
+        give_back()
+        return out
+
+    return grouped
+
+
 def sampled(rows: DataFrame, most: int) -> DataFrame:
     """(uid) of at most `most` of these (uid, id): the smallest by a hash of the id, then by place.
     Where there are many more, most are left out before they are ordered."""

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import connected_components, hash_runs, lowered, materialise, mix64, pack_sorted, split_rows, text_bytes, unpack_sorted, word_bounds, word_hashes
+from wayside.llm.common import connected_components, give_back, hash_runs, lowered, materialise, mix64, pack_sorted, split_rows, text_bytes, tidy, unpack_sorted, word_bounds, word_hashes
 
 WORDS = 5
 FREQUENT = 64
@@ -56,7 +56,7 @@ FIRSTS = 4
 NEAREST = 8
 GROUP_BITS = 8
 BATCH_BYTES = 4 << 20
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 16 << 20
 BROADCAST_ROWS = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 NONE = np.uint64((1 << 64) - 1)
@@ -149,6 +149,7 @@ def _scan(shards: int):
                 parts = [(k, keys[a:b].tobytes(), counts[a:b].astype(np.int64).tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
                 blank = [pa.nulls(len(parts), t) for t in (pa.int64(),) * 3 + (pa.binary(),) * 2]
                 yield pa.RecordBatch.from_arrays([*blank, pa.array([x[0] for x in parts], pa.int32()), pa.array([x[1] for x in parts], pa.binary()), pa.array([x[2] for x in parts], pa.binary())], [x.split()[0] for x in SCAN.split(", ")])
+        give_back()
 
     return run
 
@@ -166,7 +167,7 @@ def _often(least: int):
 
 def head_tokens(counted: DataFrame, least: int = FREQUENT, most: int = HEAD) -> np.ndarray:
     """At most `most` shingles, the most frequent of those counted `least` times; sorted."""
-    tokens = materialise(counted.groupBy("shard").applyInArrow(_often(least), "token long, c long"))
+    tokens = materialise(counted.groupBy("shard").applyInArrow(tidy(_often(least)), "token long, c long"))
     bins = sorted(((r["b"], r["count"]) for r in tokens.groupBy(F.floor(F.log2("c")).alias("b")).count().collect()), reverse=True)
     total, low = 0, None
     for b, c in bins:
@@ -208,6 +209,7 @@ def _entries(sent, shards: int):
                     cuts = np.searchsorted((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1))
                     out += [(k, g, pack_sorted(keys[a:b]), docs[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["shard", "grp", "keys", "rows"])
+        give_back()
 
     return run
 
@@ -220,7 +222,9 @@ def _shared(shards: int):
 
     def run(table: pa.Table) -> pa.Table:
         keys = [unpack_sorted(x.as_py()) for x in table["keys"]]
+        cuts = np.cumsum([0, *map(len, keys)])
         every = np.concatenate(keys)
+        keys = np.split(every, cuts[1:-1])  # views: the keys are held once
         if table["shard"][0].as_py() >= shards:
             classes = np.full(len(every), 255, np.uint8)
         else:
@@ -230,7 +234,8 @@ def _shared(shards: int):
             count = np.diff(edge)
             classes = np.empty(len(every), np.uint8)
             classes[order] = np.repeat(np.log2(count).astype(np.uint8), count)
-        cuts, out = np.cumsum([0, *map(len, keys)]), []
+            del order, s, edge
+        out = []
         for g, k, rows, a, b in zip(table["grp"].to_pylist(), keys, table["rows"].to_pylist(), cuts[:-1], cuts[1:], strict=True):
             if (mask := classes[a:b] > 0).any():
                 out.append((g, k[mask].tobytes(), np.frombuffer(rows, np.uint8)[mask].tobytes(), classes[a:b][mask].tobytes()))
@@ -550,9 +555,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     plain, later = texts.select("uid", "text"), copies.select(F.col("b").alias("uid"))
     single = plain.join(F.broadcast(later) if later.count() <= BROADCAST_ROWS else later, "uid", "left_anti")
     group = F.shiftright("uid", GROUP_BITS).alias("grp")
-    shared = single.mapInArrow(_entries(head, shards), ENTRIES).groupBy("shard").applyInArrow(_shared(shards), SHARED)
+    shared = single.mapInArrow(_entries(head, shards), ENTRIES).groupBy("shard").applyInArrow(tidy(_shared(shards)), SHARED)
     index = shared.groupBy("grp").cogroup(info.select(group, "uid", "n").groupBy("grp")).applyInArrow(_index(shards, long, frequent), INDEX)
-    found = materialise(index.groupBy("shard").applyInArrow(_buckets(small), BUCKETS))
+    found = materialise(index.groupBy("shard").applyInArrow(tidy(_buckets(small)), BUCKETS))
     signs = info.select("uid", "n", "bitmap")
     pairs = found.filter("a is not null").select("a", "b").distinct().join(signs.toDF("a", "na", "xa"), "a").join(signs.toDF("b", "nb", "xb"), "b").select("a", "b", "na", "nb", "xa", "xb")
     pairs = materialise(pairs.mapInArrow(_prune, "a long, b long"))
