@@ -15,6 +15,7 @@ from wayside.llm.ngram_join import ngram_join
 from wayside.llm.quality import score_quality, train_quality
 from wayside.llm.sentencepiece_scan import encode
 from wayside.llm.suffix_dedup import suffix_dedup
+from wayside.llm.token_count import count_tokens
 from wayside.llm.warc import read_warc, with_revisits, write_warc
 
 
@@ -69,6 +70,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, trie).select("doc_id", (crc_bucket("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(trie.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_sentencepiece": op2_sentencepiece,
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_lm_score": op10_lm_score,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE = {
