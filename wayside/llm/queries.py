@@ -16,7 +16,9 @@ from wayside.llm.quality import score_quality, train_quality
 from wayside.llm.sentencepiece_scan import encode
 from wayside.llm.suffix_dedup import suffix_dedup
 from wayside.llm.token_count import count_tokens
+from wayside.llm.va_cluster import cluster_vectors
 from wayside.llm.warc import read_warc, with_revisits, write_warc
+from wayside.llm.whitening import whiten
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +72,14 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, trie).select("doc_id", (crc_bucket("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(trie.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op11_va_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(read_table(spark, sf_dir, "embeddings")).drop("fetched")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"))
 
@@ -85,9 +95,17 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_lm_score": op10_lm_score,
+    "op11_va_cluster": op11_va_cluster,
+    "op12_whitening": op12_whitening,
     "op13_token_counts": op13_token_counts,
 }
 
+_ROUND = """d{this} AS MATERIALIZED (SELECT u, j, sum((c - m) * (c - m)) AS distance FROM p JOIN c{this} USING (d) GROUP BY u, j),
+a{this} AS MATERIALIZED (SELECT u, j FROM d{this} QUALIFY row_number() OVER (PARTITION BY u ORDER BY distance, j) = 1),
+s{this} AS (SELECT j, d, CAST(sum(c) AS BIGINT) AS s, count(*) AS n FROM a{this} JOIN p USING (u) GROUP BY j, d),
+c{following} AS MATERIALIZED (SELECT j, d, coalesce((s - ((s % n) + n) % n) // n, m) AS m FROM c{this} LEFT JOIN s{this} USING (j, d)),
+"""
+
 ORACLE = {
     "op3_exact_dedup": """
 SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, false) AS kept, text_sha256
@@ -136,4 +154,18 @@ SELECT l.doc_id, l.size, l.source_size, l.target,
      + greatest(0, least(l.size, l.most - start - 2 * l.source_size)) AS BIGINT) AS taken,
   CASE WHEN l.size > 0 THEN s.slot END AS first_slot
 FROM line l LEFT JOIN slots s ON l.source IS NOT DISTINCT FROM s.source AND s.r = l.start // (SELECT w FROM block)""",
+    "op11_va_cluster": f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS u, vec_id, [CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT) for c in embedding] AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len([c for c in embedding if isfinite(c)]) = 64),
+p AS MATERIALIZED (SELECT u, unnest(x) AS c, generate_subscripts(x, 1) AS d FROM v),
+c0 AS MATERIALIZED (
+  SELECT j, d, c AS m FROM (SELECT u, row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS j FROM v QUALIFY j < 16) JOIN p USING (u)),
+{"".join(_ROUND.format(this=r, following=r + 1) for r in range(3))}
+d3 AS MATERIALIZED (SELECT u, j, CAST(sum((c - m) * (c - m)) AS BIGINT) AS distance FROM p JOIN c3 USING (d) GROUP BY u, j),
+a3 AS MATERIALIZED (SELECT * FROM d3 QUALIFY row_number() OVER (PARTITION BY u ORDER BY distance, j) = 1),
+named AS (SELECT j, sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c3 GROUP BY j)
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a3 JOIN v USING (u) JOIN named USING (j)""",
 }
