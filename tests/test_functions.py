@@ -49,3 +49,25 @@ def test_search_ring(spark):
 def test_numbers_and_colors(spark):
     row = spark.createDataFrame([(float("nan"), 2.5, "IRON", "x")], "a double, b double, f string, g string").select(T.number_or_null("a"), T.number_or_null("b"), M.material_color("f"), M.material_color("g"), M.layer_color("g")).first()
     assert tuple(row) == (None, 2.5, "#8b4513", "#7b68ee", "#d40000")
+
+
+DOUBLES = [1e7, 12345678.0, 1.7e12, 1e16, 12345678.5, -2.5e8, 5.0, 0.0001, float("nan"), float("inf"), None]
+
+
+def test_text_of_doubles(spark):
+    """Keys, numbers, codes and dates from double columns, also beyond 10^7."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(DOUBLES)], "i int, v double").orderBy("i")
+    out = lambda f: [r[0] for r in df.select(f("v"), "i").orderBy("i").collect()]
+    keys = ["10000000", "12345678", "1700000000000", "10000000000000000", "12345678.5", "-250000000.0", "5", "0.0001"]
+    assert out(T.normalize_key) == [*keys, "", "INFINITY", ""]
+    assert out(T.viewer_key) == [k.removesuffix(".0") for k in keys] + ["NAN", "INFINITY", ""]
+    assert out(T.norm_code) == [k.removesuffix(".0") for k in keys] + ["NaN", "Infinity", None]
+    assert out(T.parse_number) == [*DOUBLES[:8], None, float("inf"), None]
+    assert out(T.epoch_ms) == [10**7, 12345678, 1700000000000, 10**16, 12345678, -250000000, 5, 0, None, None, None]
+    assert out(lambda c: F.unix_seconds(T.safe_watermark(c))) == [10000, 12345, 1700000000, 0, 12345, 0, 0, 0, 0, 0, 0]
+
+
+def test_numbers_of_other_kinds(spark):
+    row = spark.sql("select 7 as i, float(2.5) as f, decimal(12.50) as d, true as t, false as b, '1e7' as s, 123456789.0F as g, timestamp'2021-01-02 03:04:05' as ts, date'2021-01-02' as day")
+    assert tuple(row.select(*[T.parse_number(c) for c in "ifdtb"]).first()) == (7.0, 2.5, 13.0, 1.0, 0.0)
+    assert tuple(row.select(T.parse_number("s"), T.clean("s"), T.normalize_key("g"), T.parse_number("day")).first()) == (1.0, "1e7", "123456792", 2021.0)

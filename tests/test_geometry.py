@@ -73,8 +73,8 @@ def test_nearest_against_brute_force(spark):
         best = min(((dist(x, y, a, b, c, d), j) for j, kk, a, b, c, d in segs if kk == k), default=None)
         if best and best[0] <= 60:
             want[i] = best[1]
-    for rings in ((), (10.0, 25.0)):
-        got = {r.pid: r.sid for r in nearest_within(p, s, "pid", ["kind"], 60.0, [], ["sid"], rings).collect()}
+    for leaf, deepest in ((1, 16), (3, 16), (1, 1), (1000, 16)):
+        got = {r.pid: r.sid for r in nearest_within(p, s, "pid", ["kind"], 60.0, [], ["sid"], leaf, deepest).collect()}
         assert got == want and len(want) > 50
 
 

@@ -8,12 +8,21 @@ from pyspark.sql import functions as F
 # White space as the source data's tools see it, and the words that mean "no value".
 SPACE = "[\\t-\\r\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
 NO_VALUE = ("", "none", "null", "nan")
+NUMBERS = "^(tinyint|smallint|int|bigint|float|double|decimal.*)$"
 #: Epoch milliseconds beyond which a watermark is not believed (year 3000).
 LATEST_MS = 32503680000000.0
 
 
+def _column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
 def _text(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+    """As text; doubles and floats in plain digits (12345678.0, not 1.2345678E7) up to 10^20."""
+    c = _column(c)
+    t = c.cast("string")
+    plain = F.regexp_replace(F.regexp_replace(t.try_cast("decimal(38,18)").cast("string"), "0+$", ""), "\\.$", ".0")
+    return F.when(F.typeof(c).isin("double", "float") & t.contains("E"), F.coalesce(plain, t)).otherwise(t)
 
 
 def let(value: Column, use) -> Column:
@@ -43,13 +52,17 @@ def viewer_key(c: Column | str) -> Column:
 
 
 def parse_number(c: Column | str) -> Column:
-    """The first number in a text, else null."""
-    return F.regexp_extract(clean(c), "([-+]?\\d+(?:\\.\\d+)?)", 1).try_cast("double")
+    """The first number in a text, else null; numbers as they are (NaN is null), true and false as 1 and 0."""
+    c = _column(c)
+    kind, t = F.typeof(c), c.cast("string")
+    number = t.try_cast("double")
+    found = F.regexp_extract(clean(c), "([-+]?\\d+(?:\\.\\d+)?)", 1).try_cast("double")
+    return F.when(kind.rlike(NUMBERS), F.when(~F.isnan(number), number)).when(kind == "boolean", F.when(t == "true", 1.0).when(t == "false", 0.0)).otherwise(found)
 
 
 def number_or_null(c: Column | str) -> Column:
     """A numeric column with NaN as null."""
-    c = F.col(c) if isinstance(c, str) else c
+    c = _column(c)
     return F.when(~F.isnan(c), c.cast("double"))
 
 
@@ -72,7 +85,7 @@ def short_code(c: Column | str) -> Column:
 
 def epoch_ms(c: Column | str) -> Column:
     """Anything like a date as epoch milliseconds: a number in the text first, then a timestamp."""
-    whole = let(parse_number(c), lambda n: F.floor(F.abs(n)).cast("long") * F.signum(n).cast("long"))
+    whole = let(parse_number(c), lambda n: F.when(F.abs(n) < 9.2e18, F.floor(F.abs(n)).cast("long") * F.signum(n).cast("long")))
     return F.coalesce(whole, F.unix_millis(F.try_to_timestamp(_text(c))))
 
 

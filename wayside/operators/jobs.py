@@ -12,9 +12,10 @@ from wayside.functions.geometry import crosses_box, line_wkt, point_wkt, simplif
 from wayside.operators.enrich import already_enriched, decode_counts, enrich_pipes
 from wayside.operators.export import date_export
 from wayside.operators.outputs import guide_lines, match_leaks, one_row_per_id, relocated_leaks, relocation_audit
-from wayside.operators.refresh import decide, refresh
+from wayside.operators.refresh import decide, delta_since
 from wayside.operators.viewport import VIEW_CAP, bounds, capped, sample
-from wayside.sources.pages import read_snapshot, snapshot_meta, stored, write_snapshot
+from wayside.sources.pages import stored
+from wayside.sources.snapshots import Layer
 
 REPORT_ROWS = 250
 
@@ -51,17 +52,26 @@ def enrich_job(pipes: DataFrame, decoder_rows: DataFrame, force: bool = False, d
     return ("counted", decode_counts(out)) if dry_run else ("enriched", out)
 
 
-def refresh_job(spark: SparkSession, folder: str, source: DataFrame, key: str, column: str, url: str, where: str, fresh_seconds: float = 3600) -> tuple[str, DataFrame]:
-    """Bring a stored layer up to its source: as it is, changed or reloaded. Only a changed or
-    reloaded layer becomes a new version; a stop at any point leaves the version before."""
-    cached = read_snapshot(spark, folder, url, where)
-    if cached is None:
-        step, rows = decide(None, fresh_seconds, None, None, None), source
-    else:
-        step, rows = refresh(cached, source, key, column, snapshot_meta(spark, folder)["age_seconds"], fresh_seconds)
-    if step != "cache":
-        write_snapshot(rows, folder, url, where, column, None)
-    return step, read_snapshot(spark, folder, url, where)
+def refresh_job(spark: SparkSession, folder: str, source: DataFrame, key: str, column: str | None, url: str, where: str, fresh_seconds: float = 3600) -> tuple[str, DataFrame]:
+    """Bring a stored layer up to its source: as it is ('cache'), changed ('upsert') or reloaded.
+    The watermark and the number of rows come from the layer's manifest, so the stored rows are
+    not read for them; changes are written as such. A stop at any point leaves the version before."""
+    layer = Layer(spark, folder, url, where)
+    meta = layer.meta()
+    if meta is not None and decide(meta["age_seconds"], fresh_seconds, meta["n"], None, None) == "cache":
+        return "cache", layer.read()
+    total = source.count()
+    step = "reload"
+    if meta is not None and column is not None and meta["max_modified_ms"] is not None:
+        changes = delta_since(source, column, meta["max_modified_ms"])
+        step = decide(None, fresh_seconds, meta["n"], total, changes.limit(1).count())
+        if step == "upsert" and not layer.upsert(changes, key, column, total, expected=total):
+            step = "reload"
+    elif meta is not None and column is None:
+        step = decide(None, fresh_seconds, meta["n"], total, 0)
+    if step == "reload":
+        layer.store(source, key, column, source_count=total)
+    return step, layer.read()
 
 
 # -- reports --

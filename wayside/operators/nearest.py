@@ -1,54 +1,240 @@
 """The constrained nearest join: for every point the nearest line within a radius whose attributes agree.
 
-Attribute agreement is an equi-key. Distance becomes a cell key: a segment is filed
-once for each cell its own envelope touches, a point looks into its cell and the
-eight around it, with cells as wide as the radius. So the join is an ordinary
-equi-join on (keys, cell), which Spark partitions, spills and splits when skewed.
-
-Small rings first: points that have a match within the first ring are done, as all
-lines within it were compared; only the rest look further. Dense places thus never
-meet the wide cells. A ring's result is stored before the next one starts.
+Attribute agreement is an equi-key. Distance becomes cell keys in a quadtree for each
+combination of keys. Its roots are as wide as the radius. Where no more than LEAF segments
+are counted in any root, the roots do. A root with more is cut, and into how many levels at
+once follows from the count, so that a leaf holds about LEAF of them; cells that are still
+overfull, where lines crowd in a part of a root, are cut again in the same way. Cells are
+never much smaller than the lines in them.
+
+1. Segments are filed in the leaves that they touch. Each cell, leaf or above, knows the
+   place of one segment in it.
+2. Every point meets these places in the leaves around it. The nearest bounds its search:
+   some agreeing line is that near. Points with nothing around them, or in a cell that was
+   cut again, find their bound from coarse cells to fine ones, so that a dense place at
+   some distance costs them no more than a sparse one.
+3. A point then meets the segments of the leaves that its bound reaches: a few times LEAF,
+   however dense the lines are, so pairs grow with the rows and not with their square. The
+   nearest of them, by the tie break if several are, is a keyed minimum.
+
+Of segments with the same ends in an overfull leaf the first by the tie break stands for
+all, so a pile of copies costs a point one candidate. All steps are keyed joins and
+aggregates that Spark partitions, spills and splits when skewed; the driver sees whether
+cells are left to be cut, and the number of levels.
+
+Defined results: points with null keys or coordinates and segments with null keys or ends
+match nothing; ties in distance go by the order columns; a point in several rows (one for
+each layer to be searched) gets one result; empty sides give an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayside.functions.geometry import distance, nearest_on_segment
+from wayside.functions.geometry import crosses_box, distance, nearest_on_segment
 from wayside.sources.pages import stored
 
+LEAF = 256
+#: Leaves of up to so many times LEAF segments are left as they are.
+CROWDED = 4
+DEEPEST = 16
+#: Cells are at least this share of the mean extent of the lines in them.
+FINEST = 0.25
+#: Bounds and boxes are widened by this share of the radius, so that rounding loses nothing.
+SLACK = 1e-9
+ENDS = ("ax", "ay", "bx", "b_y")
 
-def _cells(lo, hi, size: float):
+
+def _span(lo: Column, hi: Column, size: Column | float) -> Column:
     return F.sequence(F.floor(lo / size).cast("long"), F.floor(hi / size).cast("long"))
 
 
-def _within(points: DataFrame, segments: DataFrame, key: str, keys: list[str], radius: float, carry: list[str], order: list[str]) -> DataFrame:
+def _to_box(px: Column, py: Column, cx: Column, cy: Column, size: Column) -> Column:
+    """Distance of a point to a cell."""
+    gap = lambda p, c: F.greatest(F.lit(0.0), c * size - p, p - (c + 1) * size)
+    dx, dy = gap(px, cx), gap(py, cy)
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def _size(level: Column, radius: float) -> Column:
+    return F.lit(radius) / F.pow(F.lit(2.0), level)
+
+
+def _cells(xs: Column, ys: Column, level: Column) -> Column:
+    """An array of cells of a level from arrays of their places."""
+    return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(level.alias("level"), x.alias("cx"), y.alias("cy")))))
+
+
+def _parent(c: Column, up: Column) -> Column:
+    return F.floor(c / F.pow(F.lit(2.0), up)).cast("long")
+
+
+class Quadtree:
+    """files: segments in the leaves they touch (keys, level, cx, cy, ends, other columns);
+    splits: for each round the cells that were cut and to which level (keys, level, cx, cy, into);
+    places: one row a cell of every level down to its leaf (keys, level, cx, cy, rx, ry)."""
+
+    def __init__(self, segments: DataFrame, keys: list[str], radius: float, order: list[str], leaf: int = LEAF, deepest: int = DEEPEST):
+        self.keys, self.radius, self.leaf, self.deepest = keys, radius, leaf, deepest
+        self.place = place = [*keys, "level", "cx", "cy"]
+        s = segments.dropna(subset=[*keys, *ENDS])
+        rooted = s.withColumn("cx", F.explode(_span(F.least("ax", "bx"), F.greatest("ax", "bx"), radius)))
+        rooted = rooted.withColumn("cy", F.explode(_span(F.least("ay", "b_y"), F.greatest("ay", "b_y"), radius)))
+        files, self.splits, self.levels = [], [], 1
+        middle = [F.floor((F.col(a) + F.col(b)) / (2 * radius)).alias(c) for a, b, c in (("ax", "bx", "cx"), ("ay", "b_y", "cy"))]
+        if s.groupBy(*keys, *middle).count().filter(F.col("count") > leaf).isEmpty():  # nowhere dense
+            self.dense, self.files = False, rooted
+            return
+        self.dense = True
+        s = rooted.withColumn("level", F.lit(0))
+        while True:
+            cut = stored(self._counted(s).filter("into > level").select(*place, "into"))
+            if cut.isEmpty():
+                files.append(s)
+                break
+            self.splits.append(cut)
+            files.append(s.join(cut, place, "left_anti"))
+            s = stored(self._cut(s.join(cut, place)).select(*segments.columns, "level", "cx", "cy"))
+        leaves = files[0]
+        for f in files[1:]:
+            leaves = leaves.unionByName(f)
+        piled = stored(self._counted(leaves).filter(F.col("n") > CROWDED * leaf).select(*place))
+        self.files = leaves if piled.isEmpty() else self._thinned(leaves, piled, order)
+        self.places = self._places(leaves)
+        self.levels = 1 + max([0, *[c.agg(F.max("into")).first()[0] for c in self.splits]])
+
+    def _counted(self, s: DataFrame) -> DataFrame:
+        """Cells with the number of segments n and the level into which to cut them (or their own)."""
+        extent = F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("b_y") - F.col("ay")))
+        cells = s.groupBy(*self.place).agg(F.count("*").alias("n"), F.avg(extent).alias("extent"))
+        by_count = F.ceil(F.log2(F.col("n") / self.leaf) / 2)
+        by_extent = F.when(F.col("extent") > 0, F.floor(F.log2(self.radius / (FINEST * F.col("extent"))))).otherwise(self.deepest)
+        into = F.least(F.col("level") + by_count, by_extent, F.lit(self.deepest)).cast("int")
+        full = (F.col("level") == 0) & (F.col("n") > self.leaf) | (F.col("n") > CROWDED * self.leaf)
+        return cells.select(*self.place, "n", F.when(full, F.greatest(into, "level")).otherwise(F.col("level")).alias("into"))
+
+    def _cut(self, s: DataFrame) -> DataFrame:
+        """Segments of cells, filed in the cells of level `into` that they touch within."""
+        size, n = _size(F.col("into"), self.radius), F.pow(F.lit(2.0), F.col("into") - F.col("level")).cast("long")
+        slack = SLACK * self.radius
+
+        def within(lo: Column, hi: Column, cell: str) -> Column:
+            first, last = F.col(cell) * n, F.col(cell) * n + n - 1
+            place = lambda v: F.least(F.greatest(F.floor(v / size).cast("long"), first), last)
+            return F.sequence(place(lo - slack), place(hi + slack))
+
+        cells = _cells(within(F.least("ax", "bx"), F.greatest("ax", "bx"), "cx"), within(F.least("ay", "b_y"), F.greatest("ay", "b_y"), "cy"), F.col("into"))
+        s = s.withColumn("c", F.explode(cells)).drop("level", "cx", "cy").select("*", "c.*")
+        size = _size(F.col("level"), self.radius)
+        return s.filter(crosses_box(*(F.col(c) for c in ENDS), *[(F.col(c) + side) * size + grow for side, grow in ((0, -slack), (1, slack)) for c in ("cx", "cy")]))
+
+    def _thinned(self, leaves: DataFrame, piled: DataFrame, order: list[str]) -> DataFrame:
+        """Of segments with the same ends in an overfull leaf the first by the tie break."""
+        group = [*self.place, *ENDS]
+        first = leaves.join(piled, self.place, "left_semi").groupBy(*group).agg(F.min(F.struct(*order, *[c for c in leaves.columns if c not in group and c not in order])).alias("f"))
+        return leaves.join(piled, self.place, "left_anti").unionByName(first.select(*group, "f.*"))
+
+    def _places(self, leaves: DataFrame) -> DataFrame:
+        """Of every leaf, and of every cell above one, the place of one segment nearest its leaf's middle."""
+        size = _size(F.col("level"), self.radius)
+        rx, ry = nearest_on_segment((F.col("cx") + 0.5) * size, (F.col("cy") + 0.5) * size, *(F.col(c) for c in ENDS))
+        # both coordinates of a cell come from the same row
+        one = [F.first("rx").alias("rx"), F.first("ry").alias("ry")]
+        own = stored(leaves.select(*self.place, rx.alias("rx"), ry.alias("ry")).groupBy(*self.place).agg(*one))
+        ups = F.transform(F.sequence(F.lit(1), F.col("level")), lambda u: F.struct((F.col("level") - u).cast("int").alias("level"), _parent(F.col("cx"), u).alias("cx"), _parent(F.col("cy"), u).alias("cy")))
+        above = own.filter("level > 0").select(*self.keys, F.explode(ups).alias("c"), "rx", "ry").select(*self.keys, "c.*", "rx", "ry")
+        return stored(own.unionByName(above).groupBy(*self.place).agg(*one))
+
+    def near(self, looked: DataFrame, key: str) -> DataFrame:
+        """(key, near) of points that look into cells: the least distance to their places."""
+        met = looked.join(self.places, self.place)
+        return met.groupBy(key).agg(F.min(distance(F.col("px"), F.col("py"), F.col("rx"), F.col("ry"))).alias("near"))
+
+    def bound(self, near: Column) -> Column:
+        return F.least(F.lit(self.radius), near) * (1 + SLACK) + SLACK * self.radius
+
+
+def _own(tree: Quadtree, level: Column) -> tuple[Column, Column]:
+    return tuple(F.floor(F.col(c) / _size(level, tree.radius)).cast("long") for c in ("px", "py"))
+
+
+def _reached(tree: Quadtree, level: Column) -> Column:
+    """Cells of a level within a point's bound."""
+    size = _size(level, tree.radius)
+    span = lambda c: _span(F.col(c) - F.col("bound"), F.col(c) + F.col("bound"), size)
+    return F.filter(_cells(span("px"), span("py"), level), lambda c: _to_box(F.col("px"), F.col("py"), c["cx"], c["cy"], size) <= F.col("bound"))
+
+
+def bounded(points: DataFrame, tree: Quadtree, key: str) -> DataFrame:
+    """points with `bound`: how far the nearest agreeing segment of any of a point's rows is at most, up to the radius.
+    Points without one within the radius may go."""
+    if not tree.splits:  # dense, but no cell can be cut
+        return points.withColumn("bound", tree.bound(F.lit(tree.radius)))
+    keyed = points.withColumns(dict(zip(("cx", "cy"), _own(tree, F.lit(0)), strict=True))).withColumn("level", F.lit(0))
+    at = keyed.join(tree.splits[0], tree.place, "left").drop("level", "cx", "cy").withColumn("into", F.coalesce("into", F.lit(0)))
+    x, y = _own(tree, F.col("into"))
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    p = points.select(key, *keys, F.col("x").alias("px"), F.col("y").alias("py"))
-    p = p.withColumn("cx", F.explode(F.transform(around, lambda d: F.floor(F.col("px") / radius).cast("long") + d)))
-    p = p.withColumn("cy", F.explode(F.transform(around, lambda d: F.floor(F.col("py") / radius).cast("long") + d)))
-    s = segments.withColumn("cx", F.explode(_cells(F.least("ax", "bx"), F.greatest("ax", "bx"), radius)))
-    s = s.withColumn("cy", F.explode(_cells(F.least("ay", "b_y"), F.greatest("ay", "b_y"), radius)))
-    both = p.join(s, [*keys, "cx", "cy"])
-    nx, ny = nearest_on_segment(*(F.col(c) for c in ("px", "py", "ax", "ay", "bx", "b_y")))
-    near = both.select(key, *keys, *carry, *[c for c in order if c not in keys and c not in carry], nx.alias("new_x"), ny.alias("new_y"), "px", "py")
-    near = near.withColumn("distance", distance(F.col("px"), F.col("py"), F.col("new_x"), F.col("new_y"))).filter(F.col("distance") <= radius)
-    rest = [c for c in dict.fromkeys([*keys, *carry, "new_x", "new_y"]) if c not in order]
-    best = near.groupBy(key).agg(F.min(F.struct("distance", *order, *rest)).alias("best"))
-    return best.select(key, "best.*")
+    cells = _cells(F.transform(around, lambda i: x + i), F.transform(around, lambda i: y + i), F.col("into"))
+    near = tree.near(at.withColumn("c", F.explode(cells)).select(key, *tree.keys, "px", "py", "c.*"), key)
+    known = points.join(near, key, "left").withColumn("bound", tree.bound(F.coalesce("near", F.lit(tree.radius))))
+    again = F.col("near").isNull()
+    if len(tree.splits) > 1:
+        cut = tree.splits[1].select(*tree.place, F.lit(True).alias("cut"))
+        own = at.withColumns({"cx": x, "cy": y, "level": F.col("into")}).join(cut, tree.place, "left_semi").select(key).distinct()
+        known = known.join(own.withColumn("cut", F.lit(True)), key, "left")
+        again = again | F.col("cut").isNotNull()
+    known = stored(known.withColumn("again", again).drop("near", "cut"))
+    rest = known.filter("again").drop("again")
+    for _ in range(2):
+        level = F.least(F.lit(tree.levels - 1), F.greatest(F.lit(0), F.floor(F.log2(F.lit(tree.radius) / F.col("bound")))) + 2).cast("int")
+        cells = F.flatten(F.transform(F.sequence(F.lit(0), level), lambda n: _reached(tree, n)))
+        near = tree.near(rest.withColumn("c", F.explode(cells)).select(key, *tree.keys, "px", "py", "c.*"), key)
+        rest = stored(rest.join(near, key).withColumn("bound", F.least("bound", tree.bound(F.col("near")))).drop("near"))
+    return known.filter("not again").drop("again").unionByName(rest)
 
 
-def nearest_within(points: DataFrame, segments: DataFrame, key: str, keys: list[str], radius: float, carry: list[str], order: list[str], rings: tuple[float, ...] = ()) -> DataFrame:
+def candidates(points: DataFrame, tree: Quadtree, key: str) -> DataFrame:
+    """Points with the segments of the leaves that their bound reaches; a pair may meet more than once."""
+    rows = [key, *tree.keys, "px", "py", "bound"]
+    met = points.withColumn("c", F.explode(_reached(tree, F.lit(0)))).select(*rows, "c.*")
+    for cut in tree.splits:
+        at = met.join(cut, tree.place, "left")
+        size = _size(F.col("into"), tree.radius)
+        n = F.pow(F.lit(2.0), F.col("into") - F.col("level")).cast("long")
+
+        def within(p: str, c: str, size=size, n=n) -> Column:
+            """Places of the finer cells in this one that the bound reaches."""
+            place = lambda v: F.least(F.greatest(F.floor(v / size).cast("long"), F.col(c) * n), F.col(c) * n + n - 1)
+            return F.sequence(place(F.col(p) - F.col("bound")), place(F.col(p) + F.col("bound")))
+
+        inner = F.filter(_cells(within("px", "cx"), within("py", "cy"), F.col("into")), lambda c: _to_box(F.col("px"), F.col("py"), c["cx"], c["cy"], size) <= F.col("bound"))  # noqa: B023
+        own = F.array(F.struct("level", "cx", "cy"))
+        met = at.withColumn("c", F.explode(F.when(F.col("into").isNull(), own).otherwise(inner))).select(*rows, "c.*")
+    return met.join(tree.files, tree.place)
+
+
+def around(points: DataFrame, tree: Quadtree, key: str) -> DataFrame:
+    """Points with the segments of the nine roots around them: all there is to do where no root was cut."""
+    r = tree.radius
+    beside = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    p = points.withColumn("bound", F.lit(r))
+    p = p.withColumn("cx", F.explode(F.transform(beside, lambda d: F.floor(F.col("px") / r).cast("long") + d)))
+    p = p.withColumn("cy", F.explode(F.transform(beside, lambda d: F.floor(F.col("py") / r).cast("long") + d)))
+    return p.join(tree.files, [*tree.keys, "cx", "cy"])
+
+
+def nearest_within(points: DataFrame, segments: DataFrame, key: str, keys: list[str], radius: float, carry: list[str], order: list[str], leaf: int = LEAF, deepest: int = DEEPEST) -> DataFrame:
     """One row per point that has a match: key, distance, the order columns, keys, carried
     columns and the nearest place. Ties go by the order columns. Points may occur in
     several rows (one for each layer to be searched)."""
-    done, left = None, points
-    for r in [*[x for x in rings if x < radius], radius]:
-        found = _within(left, segments, key, keys, r, carry, order)
-        if r < radius:
-            found = stored(found)  # it is both a part of the result and what the next ring leaves out
-        done = found if done is None else done.unionByName(found)
-        if r < radius:
-            left = left.join(found.select(key), key, "left_anti")
-    return done
+    named = list(dict.fromkeys([*keys, *ENDS, *order, *carry]))
+    tree = Quadtree(segments.select(*named), keys, radius, order, leaf, deepest)
+    p = points.select(key, *keys, F.col("x").alias("px"), F.col("y").alias("py")).dropna(subset=[*keys, "px", "py"])
+    both = candidates(bounded(p, tree, key), tree, key) if tree.dense else around(p, tree, key)
+    nx, ny = nearest_on_segment(*(F.col(c) for c in ("px", "py", *ENDS)))
+    near = both.select(key, *keys, *carry, *[c for c in order if c not in keys and c not in carry], nx.alias("new_x"), ny.alias("new_y"), "px", "py", "bound")
+    near = near.withColumn("distance", distance(F.col("px"), F.col("py"), F.col("new_x"), F.col("new_y"))).filter(F.col("distance") <= F.least(F.col("bound"), F.lit(radius)))
+    rest = [c for c in dict.fromkeys([*keys, *carry, "new_x", "new_y"]) if c not in order]
+    best = near.groupBy(key).agg(F.min(F.struct("distance", *order, *rest)).alias("best"))
+    return best.select(key, "best.*")

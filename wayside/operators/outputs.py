@@ -12,10 +12,9 @@ from wayside.operators.prepare import last_row
 from wayside.sources.pages import stored
 
 MAX_RADIUS_FT = 3000.0
-FIRST_RINGS_FT: tuple[float, ...] = ()  # a first ring of 600 ft took 25 s where none took 16 s, at 150,000 leaks
 
 
-def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = True, require_pressure: bool = False, radius: float = MAX_RADIUS_FT, rings: tuple[float, ...] = FIRST_RINGS_FT, carry: tuple[str, ...] = ()) -> DataFrame:
+def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = True, require_pressure: bool = False, radius: float = MAX_RADIUS_FT, carry: tuple[str, ...] = ()) -> DataFrame:
     """Nearest agreeing pipe of every leak. segments: one row per segment with the
     prepared pipe columns; `carry` names more of them that the match brings along. Blank materials and null diameters never agree. Both sides
     bring their label and family; equal labels have equal families."""
@@ -28,7 +27,7 @@ def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = T
         leaks, lines = leaks.filter("press <> ''"), lines.filter("press <> ''")
     else:
         leaks, lines = leaks.drop("press"), lines.drop("press")
-    found = nearest_within(leaks, lines, "leak_oid", keys, radius, ["material", "pressure", *carry], ["layer_rank", "pipe_oid", "path_idx", "seg_idx"], rings)
+    found = nearest_within(leaks, lines, "leak_oid", keys, radius, ["material", "pressure", *carry], ["layer_rank", "pipe_oid", "path_idx", "seg_idx"])
     return found.drop("agree", "press", "layer_rank")
 
 

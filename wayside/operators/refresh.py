@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayside.functions.text import epoch_ms, safe_watermark
+from wayside.functions.text import LATEST_MS, epoch_ms, safe_watermark
 
 
-def watermark(df: DataFrame, column: str) -> DataFrame:
-    """One row: the latest modification as a timestamp on whole seconds (1970 if there is none)."""
-    return df.agg(F.max(epoch_ms(column)).alias("ms")).select("ms", safe_watermark("ms").alias("watermark"))
+def watermark(df: DataFrame, column: str, *by: str) -> DataFrame:
+    """One row (or one for each group): the latest modification as a timestamp on whole seconds (1970 if there is none)."""
+    return df.groupBy(*by).agg(F.max(epoch_ms(column)).alias("ms")).select(*by, "ms", safe_watermark("ms").alias("watermark"))
 
 
 def delta(source: DataFrame, cached: DataFrame, column: str, base: Column | None = None) -> DataFrame:
@@ -21,6 +21,15 @@ def delta(source: DataFrame, cached: DataFrame, column: str, base: Column | None
     return rows.crossJoin(F.broadcast(mark)).filter(modified > F.col("watermark")).drop("watermark")
 
 
+def delta_since(source: DataFrame, column: str, mark_ms: int | None, base: Column | None = None) -> DataFrame:
+    """Rows modified after a watermark that is known: over whole numbers the comparison reaches the scan."""
+    rows = source if base is None else source.filter(base)
+    second = mark_ms // 1000 * 1000 if mark_ms is not None and 0 < mark_ms <= LATEST_MS else 0
+    whole = source.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
+    modified = F.col(column) if whole else epoch_ms(column)
+    return rows.filter(modified > F.lit(second).cast("long"))
+
+
 def upsert(cached: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Cached rows whose id (as text) is not among the changes, and the changes; columns may differ."""
     ids = changes.select(F.col(key).cast("string").alias("__id")).filter("__id is not null").distinct()

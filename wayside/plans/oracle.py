@@ -127,6 +127,10 @@ CONE = conic_constants()
 E2 = FLATTENING * (2 - FLATTENING)
 E1 = (1 - (1 - E2) ** 0.5) / (1 + (1 - E2) ** 0.5)
 M0 = 1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256
+WIDE = "wide AS (SELECT *, CAST(substr(LeakNumber, 4) AS BIGINT) AS n FROM supp)"
+UNTIL = "(SELECT min(modified) + (max(modified) - min(modified)) * {} // 10 FROM ev)"
+COPY = "c AS (SELECT * FROM ev WHERE modified <= " + UNTIL.format(9) + ")"
+MARK = "mk AS (SELECT (max(modified) // 1000) * 1000 AS mark FROM c)"
 EVENTS = "ev AS (SELECT *, epoch_us(ts) // 1000 AS modified FROM events)"
 PROFILE = [("ASSETGROUP", "assetgroup"), ("ASSETTYPE", "assettype"), ("ASSETTYPE_DECODED", "ASSETTYPE_DECODED"), ("PipeMaterialFamily", "PipeMaterialFamily"), ("GradeMaterial", "CAST(NULL AS VARCHAR)")]
 COLOR = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in COLORS.items())
@@ -164,8 +168,8 @@ REPORTED = [("LinkedLayer", "LinkedLayer"), ("MatchMaterial", "MatchMaterial"),
 VIEWED = f"""v AS (SELECT pipe_oid, layer, x1, y1, dx, dy FROM pipes WHERE {meets_box('x1', 'y1', '(x1+dx)', '(y1+dy)')} OR {meets_box('(x1+dx)', '(y1+dy)', '(x1+dx+dy)', '(y1+dy-dx)')})"""
 
 ORACLE = {
-    "clean_keys": with_(BASE) + f"SELECT LeakNumber, ordinal, {clean('LeakMaterialType')} AS cleaned, {key('LeakNumber')} AS join_key, {view_key('LeakNumber')} AS view_key, nullif(trim(Pressure), '') AS code FROM supp",
-    "parse_numbers": with_(BASE) + f"SELECT LeakNumber, ordinal, {number('Diameter')} AS diameter, {number('LeakMaterialType')} AS in_material FROM supp",
+    "clean_keys": with_(BASE, WIDE) + f"SELECT CAST(n * 1000003 AS VARCHAR) AS wide_key, CAST(n * 1000003 AS VARCHAR) AS wide_view, CAST(n * 1000003 AS VARCHAR) AS wide_code, CASE WHEN n % 5 = 0 THEN '' ELSE (n * 4096) || '.5' END AS holed, LeakNumber, ordinal, {clean('LeakMaterialType')} AS cleaned, {key('LeakNumber')} AS join_key, {view_key('LeakNumber')} AS view_key, nullif(trim(Pressure), '') AS code FROM wide",
+    "parse_numbers": with_(BASE, WIDE) + f"SELECT CAST(n * 1000003 AS DOUBLE) AS wide, CASE WHEN n % 5 > 0 THEN CAST(n * 4096 AS DOUBLE) + 0.5::DOUBLE END AS holed, LeakNumber, ordinal, {number('Diameter')} AS diameter, {number('LeakMaterialType')} AS in_material FROM wide",
     "decode_material": FAMILIES + counts("lbl").replace("AS family", "AS label"),
     "family_match": FAMILIES + counts("fam"),
     "family_row": FAMILIES + counts("rfam"),
@@ -220,15 +224,16 @@ SELECT *, (SELECT count(*) FROM v) AS total_rows FROM v ORDER BY c_custkey DESC
       CAST(round(degrees(mu + {3 * E1 / 2 - 27 * E1**3 / 32!r}*sin(2*mu) + {21 * E1**2 / 16 - 55 * E1**4 / 32!r}*sin(4*mu) + {151 * E1**3 / 96!r}*sin(6*mu) + {1097 * E1**4 / 512!r}*sin(8*mu)) * 1e7) AS BIGINT) AS lat_e7, true AS round_trip FROM r""",
     "line_centroids": with_(BASE, "one AS (SELECT DISTINCT pipe_oid, x1, y1, dx, dy FROM pipes)") + "SELECT pipe_oid, round(CASE WHEN dx = 0 AND dy = 0 THEN x1 ELSE (x1 + dx/2 + x1 + dx + dy/2) / 2 END, 3) AS x, round(CASE WHEN dx = 0 AND dy = 0 THEN y1 ELSE (y1 + dy/2 + y1 + dy - dx/2) / 2 END, 3) AS y FROM one",
     "wkt_export": with_(BASE) + "SELECT pipe_oid, 'LINESTRING (' || CAST(x1 AS BIGINT) || ' ' || CAST(y1 AS BIGINT) || ', ' || CAST(x1 + dx AS BIGINT) || ' ' || CAST(y1 + dy AS BIGINT) || ')' AS wkt FROM pipes",
-    "upsert_layer": "SELECT event_id, 'old' AS event_type, CAST(NULL AS BIGINT) AS user_id FROM events WHERE event_id % 4 <> 0 AND (event_id % 3 <> 1 OR event_id < 200) AND event_id % 5 <> 0 UNION ALL SELECT event_id, event_type, user_id FROM events WHERE event_id % 5 = 0",
-    "delta_rows": with_(EVENTS) + "SELECT event_id, event_type FROM ev WHERE event_type <> 'error' AND modified > (SELECT (max(modified) // 1000) * 1000 FROM ev WHERE event_id < 500)",
-    "refresh_watermark": with_(EVENTS) + "SELECT max(modified) AS ms, strftime(make_timestamp((max(modified) // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS watermark FROM ev WHERE event_id % 2 = 0",
+    "upsert_layer": with_(EVENTS, COPY, f"ch AS (SELECT * FROM ev WHERE modified > {UNTIL.format(5)})")
+    + "SELECT event_id, 'old' AS event_type, CAST(NULL AS BIGINT) AS user_id FROM c WHERE event_id NOT IN (SELECT event_id FROM ch) UNION ALL SELECT event_id, event_type, user_id FROM ch",
+    "delta_rows": with_(EVENTS, COPY, MARK) + "SELECT event_id, event_type FROM ev WHERE event_type <> 'error' AND modified > (SELECT mark FROM mk)",
+    "refresh_watermark": with_(EVENTS) + "SELECT event_type, max(modified) AS ms, strftime(make_timestamp((max(modified) // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS watermark FROM ev GROUP BY event_type",
     "refresh_watermark_all": with_(EVENTS) + "SELECT max(modified) AS ms, strftime(make_timestamp((max(modified) // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS watermark FROM ev",
-    "refresh_decision": with_(EVENTS, "c AS (SELECT * FROM ev WHERE event_id < 500)", "dl AS (SELECT * FROM ev WHERE modified > (SELECT (max(modified) // 1000) * 1000 FROM c))", "mg AS (SELECT * FROM c WHERE event_id NOT IN (SELECT event_id FROM dl) UNION ALL SELECT * FROM dl)")
+    "refresh_decision": with_(EVENTS, COPY, "k AS (SELECT * FROM c WHERE event_type <> 'error')", "mk AS (SELECT (max(modified) // 1000) * 1000 AS mark FROM k)", "dl AS (SELECT * FROM ev WHERE modified > (SELECT mark FROM mk))", "mg AS (SELECT event_id FROM k WHERE event_id NOT IN (SELECT event_id FROM dl) UNION ALL SELECT event_id FROM dl)")
     + "SELECT event_type, count(*) AS n, CASE WHEN (SELECT count(*) FROM mg) = (SELECT count(*) FROM ev) THEN 'upsert' ELSE 'reload' END AS step FROM ev GROUP BY event_type",
     "refresh_merged": with_(EVENTS, "c AS (SELECT * FROM ev WHERE modified <= (SELECT min(modified) + (max(modified) - min(modified)) * 9 // 10 FROM ev))", "mk AS (SELECT (max(modified) // 1000) * 1000 AS mark FROM c)")
     + "SELECT event_id, CASE WHEN modified > (SELECT mark FROM mk) THEN event_type ELSE 'old' END AS event_type, user_id, 'upsert' AS step FROM ev",
-    "watermark_literals": with_(EVENTS) + "SELECT event_id, (event_id % 7 - 3) * modified AS ms, CASE WHEN (event_id % 7 - 3) * modified BETWEEN 1 AND 32503680000000 THEN strftime(make_timestamp(((event_id % 7 - 3) * modified // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') ELSE '1970-01-01 00:00:00' END AS mark FROM ev",
+    "watermark_literals": with_(EVENTS) + "SELECT event_id, (event_id % 7 - 3) * modified AS ms, CASE WHEN (event_id % 7 - 3) * modified BETWEEN 1 AND 32503680000000 THEN strftime(make_timestamp(((event_id % 7 - 3) * modified // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') ELSE '1970-01-01 00:00:00' END AS mark, ms AS wide_ms, mark AS wide_mark FROM ev",
     "date_export": """WITH o AS (SELECT o_orderkey AS OBJECTID, o_orderdate AS i, CASE WHEN o_custkey % 3 > 0 THEN o_orderdate - INTERVAL 400 DAY END AS c FROM orders)
 SELECT OBJECTID, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed, epoch_us(c) // 1000 AS CREATIONDATE FROM o WHERE i >= TIMESTAMP '1996-01-01' OR c >= TIMESTAMP '1996-01-01'""",
     "feature_pages": with_(BASE) + "SELECT pipe_oid, layer, CAST(1 AS BIGINT) AS paths, x1 AS x, y1 + dy AS y FROM pipes WHERE assettype IS NOT NULL",
@@ -264,3 +269,4 @@ SELECT OBJECTID, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed, epoch_us(c) // 1
 }
 ORACLE["job_audit"] = with_(BASE, matched(), f"au AS ({ORACLE['relocation_audit'].split(matched(), 1)[1]})") + f"SELECT *, '{{L-' || LeakOID || '}}' AS LeakGlobalID, '{{P-' || MatchedPipeOID || '}}' AS MatchedPipeGID, '{RUN_UTC}' AS RunUTC, 'POINT (' || OrigX || ' ' || OrigY || ')' AS geometry FROM au"
 ORACLE["refresh_job"] = ORACLE["refresh_merged"]
+ORACLE["stream_latest"] = with_(EVENTS) + "SELECT user_id, event_id, event_type, modified FROM ev QUALIFY user_id IS NULL OR row_number() OVER (PARTITION BY user_id ORDER BY modified DESC, event_id DESC) = 1"

@@ -17,9 +17,11 @@ from wayside.operators.export import date_export
 from wayside.operators.prepare import last_row, pipe_gaps, prepared_pipes, supplemental
 from wayside.plans import workload as W
 from wayside.sources.pages import features, fetched_pages, layer_schema, page_texts, read_snapshot, read_supplemental, scratch_folder, stored, write_csv, write_snapshot
+from wayside.sources.snapshots import Layer
+from wayside.streaming.refresh_stream import refresh_stream
 
 BOX = (40000.0, 40000.0, 70000.0, 60000.0)
-DELTA_FROM_ORDER_KEY = 3
+STREAM_FILES = 8
 RUN_UTC = "2024-01-01 00:00:00"
 
 
@@ -28,12 +30,19 @@ def _matches(spark, d, **options) -> tuple[DataFrame, DataFrame]:
     return tasks, O.match_leaks(tasks, W.segment_table(spark, d), **options)
 
 
+def _wide(spark, d):
+    """The supplemental rows with keys, numbers and dates as doubles beyond 10^7, and a NaN here and there."""
+    n = F.substring("LeakNumber", 4, 20).cast("double")
+    return W.raw_supplemental(spark, d).withColumns({"wide": n * 1000003, "holed": F.when(n % 5 == 0, float("nan")).otherwise(n * 4096 + 0.5)})
+
+
 def clean_keys(spark, d):
-    return W.raw_supplemental(spark, d).select("LeakNumber", "ordinal", clean("LeakMaterialType").alias("cleaned"), normalize_key("LeakNumber").alias("join_key"), viewer_key("LeakNumber").alias("view_key"), norm_code("Pressure").alias("code"))
+    wide = [normalize_key("wide").alias("wide_key"), viewer_key("wide").alias("wide_view"), norm_code("wide").alias("wide_code"), clean("holed").alias("holed")]
+    return _wide(spark, d).select(*wide, "LeakNumber", "ordinal", clean("LeakMaterialType").alias("cleaned"), normalize_key("LeakNumber").alias("join_key"), viewer_key("LeakNumber").alias("view_key"), norm_code("Pressure").alias("code"))
 
 
 def parse_numbers(spark, d):
-    return W.raw_supplemental(spark, d).select("LeakNumber", "ordinal", parse_number("Diameter").alias("diameter"), parse_number("LeakMaterialType").alias("in_material"))
+    return _wide(spark, d).select(parse_number("wide").alias("wide"), parse_number("holed").alias("holed"), "LeakNumber", "ordinal", parse_number("Diameter").alias("diameter"), parse_number("LeakMaterialType").alias("in_material"))
 
 
 def _by_material(spark, d, **columns):
@@ -227,52 +236,70 @@ def wkt_export(spark, d):
 
 
 def _events(spark, d):
+    """The events, and a copy that ends at nine tenths of their time with all types old."""
     e = spark.read.parquet(f"{d}/events.parquet").withColumn("modified", F.unix_millis(F.col("ts").cast("timestamp")))
-    cached = e.filter("event_id % 4 <> 0").withColumn("event_type", F.lit("old")).filter(f"event_id % {DELTA_FROM_ORDER_KEY} <> 1 or event_id < 200")
-    return e, cached
+    return e, _until(e, 9).withColumn("event_type", F.lit("old"))
+
+
+def _until(e, tenths):
+    """The rows of the first tenths of a table's time."""
+    bound = e.agg(F.expr(f"min(modified) + (max(modified) - min(modified)) * {tenths} div 10").alias("bound"))
+    return e.crossJoin(F.broadcast(bound)).filter("modified <= bound").drop("bound")
 
 
 def upsert_layer(spark, d):
+    """The older nine tenths, changed by every event of the later half."""
     e, cached = _events(spark, d)
-    return R.upsert(cached.select("event_id", "event_type"), e.filter("event_id % 5 = 0").select("event_id", "event_type", "user_id"), "event_id")
+    changes = e.join(_until(e, 5).select("event_id"), "event_id", "left_anti")
+    return R.upsert(cached.select("event_id", "event_type"), changes.select("event_id", "event_type", "user_id"), "event_id")
 
 
 def delta_rows(spark, d):
-    e, _ = _events(spark, d)
-    cached = e.filter("event_id < 500")
+    e, cached = _events(spark, d)
     return R.delta(e, cached, "modified", F.col("event_type") != "error").select("event_id", "event_type")
 
 
 def refresh_watermark(spark, d):
+    """The watermark of every type of event."""
     e, _ = _events(spark, d)
-    w = R.watermark(e.filter("event_id % 2 = 0"), "modified")
-    return w.select("ms", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
+    w = R.watermark(e, "modified", "event_type")
+    return w.select("event_type", "ms", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
 
 
 def refresh_watermark_all(spark, d):
-    """The watermark of the whole table; refresh_watermark is tied to its SQL, which reads even ids only."""
+    """The watermark of the whole table."""
     e, _ = _events(spark, d)
     w = R.watermark(e, "modified")
     return w.select("ms", F.date_format("watermark", "yyyy-MM-dd HH:mm:ss").alias("watermark"))
 
 
 def refresh_decision(spark, d):
-    """What refreshing an outdated copy of the events comes to, and the rows it leaves."""
-    e, _ = _events(spark, d)
-    cached = e.filter("event_id < 500")
-    step, rows = R.refresh(cached, e, "event_id", "modified")
+    """What refreshing a copy without errors comes to: the counts disagree after the upsert, so it is reloaded."""
+    e, cached = _events(spark, d)
+    kept = cached.join(e.filter("event_type = 'error'").select("event_id"), "event_id", "left_anti")
+    step, rows = R.refresh(kept, e, "event_id", "modified")
     return rows.groupBy("event_type").agg(F.count("*").alias("n")).withColumn("step", F.lit(step))
 
 
 def refresh_merged(spark, d):
-    """Delta, upsert and decision over a copy that grows with the table: the first nine tenths of its time, all types old."""
-    e, _ = _events(spark, d)
-    bound = e.agg(F.expr("min(modified) + (max(modified) - min(modified)) * 9 div 10").alias("bound"))
-    cached = e.crossJoin(F.broadcast(bound)).filter("modified <= bound").drop("bound").withColumn("event_type", F.lit("old"))
+    """Delta, upsert and decision over the copy."""
+    e, cached = _events(spark, d)
     step, rows = R.refresh(cached, e, "event_id", "modified")
     return rows.select("event_id", "event_type", "user_id", F.lit(step).alias("step"))
 
 
+def stream_latest(spark, d):
+    """The latest event of every user by a stream: files of mixed times in several micro-batches, so keys repeat and come late."""
+    e, _ = _events(spark, d)
+    folder = scratch_folder(spark)
+    rows = e.select("event_id", "user_id", "event_type", "modified")
+    rows.repartition(STREAM_FILES, "event_id").write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", STREAM_FILES // 4).parquet(f"{folder}/in")
+    arriving = arriving.withColumn("seq", F.struct("modified", "event_id"))
+    refresh_stream(arriving, f"{folder}/layer", "user_id", "seq", "events", "all", f"{folder}/checkpoint", "modified").awaitTermination()
+    return Layer(spark, f"{folder}/layer", "events", "all").read().select("user_id", "event_id", "event_type", "modified")
+
+
 def date_export_query(spark, d):
     o = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("OBJECTID"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("installationdate"), F.when(F.col("o_custkey") % 3 > 0, F.unix_millis(F.col("o_orderdate").cast("timestamp") - F.expr("interval 400 days"))).alias("CREATIONDATE"))
     return date_export(o, "1996-01-01", ["installationdate"]).select("OBJECTID", F.substring("installationdate", 1, 19).alias("installed"), "CREATIONDATE")
@@ -340,7 +367,8 @@ def supplemental_last(spark, d):
 def watermark_literals(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet")
     ms = (F.col("event_id") % 7 - 3) * F.unix_millis(F.col("ts").cast("timestamp"))
-    return e.select("event_id", epoch_ms(ms).alias("ms"), F.date_format(safe_watermark(ms), "yyyy-MM-dd HH:mm:ss").alias("mark"))
+    wide = ms.cast("double")
+    return e.select("event_id", epoch_ms(ms).alias("ms"), F.date_format(safe_watermark(ms), "yyyy-MM-dd HH:mm:ss").alias("mark"), epoch_ms(wide).alias("wide_ms"), F.date_format(safe_watermark(wide), "yyyy-MM-dd HH:mm:ss").alias("wide_mark"))
 
 
 def snapshot_roundtrip(spark, d):
@@ -432,9 +460,7 @@ def export_count(spark, d):
 
 def refresh_job(spark, d):
     """Store the first nine tenths of the events' time, all types old; then bring that layer up to date."""
-    e, _ = _events(spark, d)
-    bound = e.agg(F.expr("min(modified) + (max(modified) - min(modified)) * 9 div 10").alias("bound"))
-    old = e.crossJoin(F.broadcast(bound)).filter("modified <= bound").drop("bound").withColumn("event_type", F.lit("old"))
+    e, old = _events(spark, d)
     folder = scratch_folder(spark)
     J.refresh_job(spark, folder, old, "event_id", "modified", "events", "all")
     step, rows = J.refresh_job(spark, folder, e, "event_id", "modified", "events", "all", fresh_seconds=-1)
@@ -512,4 +538,5 @@ QUERIES = {
     "export_job": export_job,
     "export_count": export_count,
     "refresh_job": refresh_job,
+    "stream_latest": stream_latest,
 }

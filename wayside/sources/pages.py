@@ -5,12 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayside.functions.geometry import clean_paths
+from wayside.sources.snapshots import Layer
 
 # Types of the service's fields.
 FIELD_TYPES = {
@@ -83,7 +83,10 @@ def read_supplemental(spark: SparkSession, path: str, key: str = "LeakNumber") -
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder that all executors share: under spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    base = base or "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
 
@@ -98,31 +101,18 @@ def write_csv(df: DataFrame, folder: str) -> None:
     df.write.option("header", True).csv(folder)
 
 
-# -- snapshots: a new version is written, then a new row of the metadata table names it --
+# -- snapshots of whole tables: stored layers without a key --
 
 
-def write_snapshot(df: DataFrame, folder: str, url: str, where: str, modified: str | None, max_modified_ms: int | None) -> str:
-    spark = df.sparkSession
-    version = f"{folder}/v-{uuid.uuid4().hex}"
-    df.write.parquet(version)
-    rows = spark.read.parquet(version).count()
-    known = snapshot_meta(spark, folder)
-    meta = spark.range(1).select(F.lit(known["turn"] + 1 if known else 0).cast("long").alias("turn"), F.lit(version).alias("version"), F.lit(url).alias("url"), F.lit(where).alias("where_clause"), F.lit(modified).cast("string").alias("modified_field"), F.lit(max_modified_ms).cast("long").alias("max_modified_ms"), F.current_timestamp().alias("cached_utc"), F.lit(rows).cast("long").alias("n"))
-    meta.write.mode("append").parquet(f"{folder}/meta")  # a stop at any point leaves the row before as the newest
-    return version
+def write_snapshot(df: DataFrame, folder: str, url: str, where: str, modified: str | None, max_modified_ms: int | None) -> None:
+    """The next version; the mark is taken from the column `modified` unless given."""
+    Layer(df.sparkSession, folder, url, where).store(df, None, modified, max_modified_ms)
 
 
 def read_snapshot(spark: SparkSession, folder: str, url: str, where: str) -> DataFrame | None:
     """The current version; none if it is absent or was taken of another url or filter."""
-    meta = snapshot_meta(spark, folder)
-    if meta is None or (meta["url"], meta["where_clause"]) != (url, where):
-        return None
-    return spark.read.parquet(meta["version"])
+    return Layer(spark, folder, url, where).read()
 
 
 def snapshot_meta(spark: SparkSession, folder: str) -> dict | None:
-    try:
-        row = spark.read.parquet(f"{folder}/meta").withColumn("age_seconds", F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("cached_utc")).orderBy(F.desc("turn"), F.desc("version")).first()
-    except AnalysisException:
-        return None
-    return row.asDict() if row else None
+    return Layer(spark, folder, "", "").newest()
