@@ -1,8 +1,9 @@
 import math
 
 import numpy as np
+import pytest
 
-from wayside.llm.embed_dedup import embedding_dedup
+from wayside.llm.embed_dedup import candidate_pairs, embedding_dedup, fit
 
 
 def brute(rows, least=0.95):
@@ -65,3 +66,41 @@ def test_recall_near_the_threshold(spark):
 
 def test_empty(spark):
     assert embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def planted(n, d, seed):
+    """Unit vectors, each with a partner at cosine 0.95 to 0.97."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    c = rng.uniform(0.95, 0.97, (n, 1))
+    return np.concatenate([x, c * x + np.sqrt(1 - c * c) * z])
+
+
+@pytest.mark.parametrize("d", [8, 32, 48, 64, 384])
+def test_recall_and_candidates_at_any_dimension(spark, d):
+    vectors = planted(600, d, d)
+    cosine = vectors @ vectors.T
+    np.fill_diagonal(cosine, 0)
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "uid long, embedding array<double>")
+    found = sum(r[1] for r in embedding_dedup(frame, "uid").collect())
+    true = int((cosine >= 0.95).sum())
+    pairs = candidate_pairs(frame, fit(frame), len(vectors)).count()
+    print(f"{d} dimensions: links {found} of {true}, candidates {pairs} of {len(vectors) * (len(vectors) - 1) // 2}")
+    assert 0.9 * true <= found <= true
+    # a few per cent of all pairs at eight dimensions, where vectors are near each other anyway
+    assert pairs <= (0.2 if d == 8 else 0.02) * len(vectors) ** 2 / 2 + 2 * true
+
+
+def test_other_lengths_have_full_codes(spark):
+    vectors = planted(150, 12, 3)
+    rows = [(i, v) for i, v in enumerate(planted(200, 64, 1).tolist())] + [(1000 + i, v) for i, v in enumerate(vectors.tolist())]
+    frame = spark.createDataFrame(rows, "uid long, embedding array<double>")
+    model = fit(frame)
+    assert model["dim"] == 64
+    assert candidate_pairs(frame.filter("uid >= 1000"), model, 300).count() < 300 * 299 / 2 * 0.2
+    got = {r[0]: r[1] for r in embedding_dedup(frame, "uid").collect()}
+    assert sum(n > 0 for i, n in got.items() if i >= 1000) >= 270

@@ -2,8 +2,9 @@
 
 Equal vectors are first grouped, so copies count but are not compared. A rotation
 is learned (principal axes, then iterative quantisation) on at most sample_rows
-vectors, and every vector gets a binary code, one bit a dimension, up to 64. The
-code is cut into 16-bit chunks, one Hamming table each; a chunk is filed once for
+vectors, and every vector gets a binary code of 64 bits: one a dimension, and where there
+are fewer dimensions the others by random rotations of them, so that every table has
+chunks of 16 true bits. The code is cut into 16-bit chunks, one Hamming table each; a chunk is filed once for
 each of its bits with that bit left out, so two chunks within one bit of each other
 meet in a bucket. Pairs in a bucket within max_hamming of each other are reranked
 by cosine in double precision on the original vectors. A pair is taken only in the
@@ -17,8 +18,8 @@ data have (their count is part of the result), each with its two vectors once.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with null id, link with nothing (n_links 0, own component);
-vectors of other lengths than the sample's commonest are coded by the signs of
-their first 64 components, and vectors of different length never link; an id that
+vectors of other lengths than the sample's commonest are coded by 64 random
+projections, and vectors of different length never link; an id that
 repeats stands for several vectors; an empty table gives an empty result.
 """
 
@@ -56,6 +57,13 @@ def learn_rotation(x: np.ndarray, bits: int, rounds: int = 40, seed: int = 3) ->
     return mean, axes @ turn
 
 
+def more_directions(dim: int, bits: int, seed: int = 5) -> np.ndarray:
+    """Unit directions of which each dim are orthogonal: random rotations side by side."""
+    rng = np.random.default_rng([seed, dim])
+    turns = [np.linalg.qr(rng.normal(size=(dim, dim)))[0][:, :bits] for _ in range(-(-bits // dim))]
+    return np.concatenate(turns, axis=1)[:, :bits]
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -65,7 +73,7 @@ def codes_of(x: np.ndarray, model: dict) -> np.ndarray:
     if x.shape[1] == model["dim"]:
         bits = (unit(x) - model["mean"]) @ model["rotation"] >= 0
     else:
-        bits = x[:, :64] >= 0
+        bits = x @ more_directions(x.shape[1], 64) >= 0
     out = np.zeros((len(x), 64), np.uint8)
     out[:, : bits.shape[1]] = bits
     return np.packbits(out, axis=1, bitorder="little").view(np.uint64)[:, 0]
@@ -87,7 +95,9 @@ def fit(reps: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     dim = min(Counter(map(len, rows)).items(), key=lambda x: (-x[1], x[0]))[0]
     x = unit(np.array([r for r in rows if len(r) == dim], np.float64))
     mean, rotation = learn_rotation(x, min(64, dim))
-    return {"dim": dim, "bits": min(64, dim), "mean": mean, "rotation": rotation}
+    if dim < 64:
+        rotation = np.concatenate([rotation, more_directions(dim, 64 - dim)], axis=1)
+    return {"dim": dim, "bits": 64, "mean": mean, "rotation": rotation}
 
 
 def _entries(model: dict, shards: int):
@@ -205,6 +215,13 @@ def _rerank(min_cosine: float):
     return run
 
 
+def candidate_pairs(vector: DataFrame, model: dict, rows: int, tile: int = TILE, max_hamming: int = MAX_HAMMING) -> DataFrame:
+    """Pairs (a, b) of (uid, embedding) that the Hamming tables find, each once."""
+    shards = max(12, -(-rows * 64 // SHARD_ENTRIES))
+    tiles = vector.mapInArrow(_entries(model, shards), "shard int, keys binary, codes binary, ids binary").groupBy("shard").applyInArrow(_buckets(tile, max_hamming, min(32, tile)), TILES)
+    return tiles.repartition(shards).mapInArrow(_compare(max_hamming), "a long, b long")
+
+
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", min_cosine: float = MIN_COSINE, max_hamming: int = MAX_HAMMING, sample_rows: int = SAMPLE_ROWS, tile: int = TILE) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per vector."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
@@ -215,11 +232,8 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     reps = good.groupBy("embedding").agg(F.min("vec_id").alias("rep_id"), F.count("*").alias("copies"))
     reps = materialise(reps.select(F.monotonically_increasing_id().alias("uid"), "rep_id", "copies", "embedding")).unionByName(single)
     model = fit(reps, sample_rows)
-    n = reps.count()
-    shards = max(12, -(-n * 64 // SHARD_ENTRIES))
     vector = reps.select("uid", "embedding")
-    tiles = vector.mapInArrow(_entries(model, shards), "shard int, keys binary, codes binary, ids binary").groupBy("shard").applyInArrow(_buckets(tile, max_hamming, min(32, tile)), TILES)
-    pairs = tiles.repartition(shards).mapInArrow(_compare(max_hamming), "a long, b long")
+    pairs = candidate_pairs(vector, model, reps.count(), tile, max_hamming)
     both = pairs.join(vector.toDF("a", "va"), "a").join(vector.toDF("b", "vb"), "b").select("a", "b", "va", "vb")
     links = materialise(both.mapInArrow(_rerank(min_cosine), "a long, b long"))
     copies = reps.select("uid", "copies")
