@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayside.functions.material import material_color, row_family, substring_family
 from wayside.functions.text import audit_text, norm_code, short_code
+from wayside.sources.pages import stored
 
 DECODED = ["ASSETGROUP_DECODED", "ASSETTYPE_DECODED", "ASSETTYPE_DOMAIN", "PipeMaterialFamily"]
 REQUIRED = ["ASSETGROUP", "ASSETTYPE", *DECODED, "PipeMaterialRaw", "GradeMaterial", "material"]
@@ -110,9 +113,9 @@ def first_rows(df: DataFrame, by: list[str], n: int) -> DataFrame:
     return df.orderBy(*by).limit(n)
 
 
-def display_pipes(enriched: DataFrame) -> DataFrame:
-    """The viewer's pipe columns: the raw code, its decoded domain (never the grade), family, colour, diameter."""
-    out = enriched.select("pipe_oid", F.col("ASSETTYPE").cast("string").alias("PipeMaterialRaw"), F.col("ASSETTYPE_DECODED").alias("PipeMaterialDomain"), row_family("ASSETTYPE_DECODED").alias("PipeMaterialFamily"), F.col("nominaldiameter").alias("PipeDiameter"))
+def display_pipes(enriched: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The viewer's pipe columns: the raw code, its decoded domain (never the grade), family, colour, diameter, and carried ones."""
+    out = enriched.select("pipe_oid", *carry, F.col("ASSETTYPE").cast("string").alias("PipeMaterialRaw"), F.col("ASSETTYPE_DECODED").alias("PipeMaterialDomain"), row_family("ASSETTYPE_DECODED").alias("PipeMaterialFamily"), F.col("nominaldiameter").alias("PipeDiameter"))
     return out.withColumn("PipeMaterialColor", material_color("PipeMaterialFamily"))
 
 
@@ -139,8 +142,52 @@ def value_counts(df: DataFrame, column: str, top: int = 20) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """count, mean, sample deviation, extremes and interpolated percentiles."""
-    c = F.col(column)
-    names = ["p50", "p75", "p90", "p95", "p99"]
-    one = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("low"), F.max(c).alias("high"), F.percentile(c, [0.5, 0.75, 0.9, 0.95, 0.99]).alias("p"))
-    return one.select("n", "mean", "std", "low", "high", *[F.col("p")[i].alias(x) for i, x in enumerate(names)])
+    """count, mean, sample deviation, extremes and interpolated percentiles of a column's values; null,
+    NaN and infinite ones do not count. The column is stored once, as it is read several times."""
+    c = F.col(column).cast("double")
+    values = stored(df.select(c.alias("v")).filter(F.abs("v") < float("inf")))
+    one = values.agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("low"), F.max("v").alias("high"))
+    row = one.first()
+    found = percentiles(values, "v", list(PERCENTILES.values()), row["n"], row["low"], row["high"])
+    return one.select("*", *[F.lit(x).cast("double").alias(name) for name, x in zip(PERCENTILES, found, strict=True)])
+
+
+PERCENTILES = {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+RANGES = 1024
+
+
+def percentiles(df: DataFrame, column: str, shares: list[float], n: int, low: float, high: float) -> list[float | None]:
+    """Exact percentiles, interpolated between neighbours, by rank selection over histograms: each
+    pass counts the values in RANGES parts of the ranges that hold a wanted rank, with the least and
+    the largest value of each part, and goes on in the part that holds it until that is one value.
+    A pass is a hash aggregate that is combined before it is shuffled; no task gathers values, and
+    the driver sees up to 2 x RANGES counts for each share."""
+    if not n:
+        return [None] * len(shares)
+    places = [p * (n - 1) for p in shares]
+    ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
+    # rank -> (values below its range, least, largest)
+    at = dict.fromkeys(ranks, (0, low, high))
+    v = F.col(column)
+    while open_ := sorted({x for x in at.values() if x[1] < x[2]}):
+        parts = []
+        for i, (_, a, b) in enumerate(open_):
+            step = b / RANGES - a / RANGES or math.ulp(a)
+            part = F.least(F.floor((v - F.lit(a)) / F.lit(step)).cast("int"), F.lit(RANGES - 1))
+            parts.append(F.when(v.between(a, b), F.struct(F.lit(i).alias("i"), part.alias("part"))))
+        counted = df.select(v.alias("v"), F.explode(F.array_compact(F.array(*parts))).alias("p")).groupBy("p.i", "p.part").agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+        found: dict[int, list] = {}
+        for r in sorted(counted.collect(), key=lambda r: (r["i"], r["part"])):
+            found.setdefault(r["i"], []).append(r)
+        for rank, (below, a, b) in at.items():
+            if a < b:
+                for r in found[open_.index((below, a, b))]:
+                    if rank < below + r["n"]:
+                        at[rank] = (below, r["a"], r["b"])
+                        break
+                    below += r["n"]
+    out = []
+    for p in places:
+        lo, hi = math.floor(p), math.ceil(p)
+        out.append(at[lo][1] if lo == hi else (hi - p) * at[lo][1] + (p - lo) * at[hi][1])
+    return out

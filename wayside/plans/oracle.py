@@ -270,3 +270,10 @@ SELECT OBJECTID, strftime(i, '%Y-%m-%dT%H:%M:%S') AS installed, epoch_us(c) // 1
 ORACLE["job_audit"] = with_(BASE, matched(), f"au AS ({ORACLE['relocation_audit'].split(matched(), 1)[1]})") + f"SELECT *, '{{L-' || LeakOID || '}}' AS LeakGlobalID, '{{P-' || MatchedPipeOID || '}}' AS MatchedPipeGID, '{RUN_UTC}' AS RunUTC, 'POINT (' || OrigX || ' ' || OrigY || ')' AS geometry FROM au"
 ORACLE["refresh_job"] = ORACLE["refresh_merged"]
 ORACLE["stream_latest"] = with_(EVENTS) + "SELECT user_id, event_id, event_type, modified FROM ev QUALIFY user_id IS NULL OR row_number() OVER (PARTITION BY user_id ORDER BY modified DESC, event_id DESC) = 1"
+ORACLE["date_variants"] = """WITH n AS (SELECT count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
+SELECT layer, chosen, CASE layer WHEN 'none' THEN 0 ELSE n END AS n FROM n, (VALUES ('ms', 'milliseconds'), ('text', 'text'), ('s', 'seconds'), ('none', 'milliseconds')) v(layer, chosen)"""
+ORACLE["date_export_text"] = "SELECT o_orderkey AS OBJECTID, strftime(o_orderdate, '%Y-%m-%d') AS installationdate, o_custkey AS c FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'"
+ORACLE["csv_file_order"] = "SELECT o_custkey AS custkey, o_orderkey % 7 AS file, o_orderkey AS line FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 7 DESC, o_orderkey DESC) = 1"
+ORACLE["clustered_view"] = with_(BASE, ENRICHED, VIEWED.replace("SELECT pipe_oid, layer, x1, y1, dx, dy FROM pipes WHERE ", "SELECT DISTINCT pipe_oid, coalesce(PipeMaterialFamily, 'UNKNOWN') AS fam, x1, y1, dx, dy FROM en WHERE assettype IS NOT NULL AND (") + ")") + f"""SELECT pipe_oid, {feature(props(pipe_oid='pipe_oid', PipeMaterialFamily='"fam', PipeMaterialColor=f'"CASE fam {COLOR} END'), 'LineString', f"'[[' || {degrees('x1', 'y1')} || CASE WHEN {SHARP} THEN '],[' || {degrees('x1+dx', 'y1+dy')} ELSE '' END || '],[' || {degrees('x1+dx+dy', 'y1+dy-dx')} || ']]'")} AS feature,
+      (SELECT count(*) FROM v) AS total_in_view, (SELECT count(*) FROM v) > 400 AS truncated FROM v ORDER BY pipe_oid LIMIT 400"""
+ORACLE["paged_source"] = with_(BASE, DATED) + "SELECT pipe_oid, epoch_us(i) // 1000 AS installationdate, x1 AS x, y1 + dy AS y FROM dated WHERE assettype IS NOT NULL"

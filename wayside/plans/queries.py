@@ -13,15 +13,18 @@ from wayside.operators import jobs as J
 from wayside.operators import outputs as O
 from wayside.operators import refresh as R
 from wayside.operators import viewport as V
-from wayside.operators.export import date_export
+from wayside.operators.clustered import lines_near_view, write_clustered
+from wayside.operators.export import choose_since, date_export
 from wayside.operators.prepare import last_row, pipe_gaps, prepared_pipes, supplemental
 from wayside.plans import workload as W
+from wayside.sources.feature_source import FeatureSource, write_pages
 from wayside.sources.pages import features, fetched_pages, layer_schema, page_texts, read_snapshot, read_supplemental, scratch_folder, stored, write_csv, write_snapshot
 from wayside.sources.snapshots import Layer
 from wayside.streaming.refresh_stream import refresh_stream
 
 BOX = (40000.0, 40000.0, 70000.0, 60000.0)
 STREAM_FILES = 8
+SINCE_MS = 820454400000  # 1996-01-01
 RUN_UTC = "2024-01-01 00:00:00"
 
 
@@ -205,11 +208,11 @@ def reproject_points(spark, d):
     return back.select("leak_oid", e7("lon").alias("lon_e7"), e7("lat").alias("lat_e7"), (F.col("drift") < 0.01).alias("round_trip"))
 
 
+PIPE_PATHS = "array(array(struct(x1 as x, y1 as y), struct(x1 + dx as x, y1 + dy as y), struct(x1 + dx + dy as x, y1 + dy - dx as y)))"
+
+
 def _lines(spark, d):
-    p = W.pipes(spark, d)
-    v = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    c = F.col
-    return p.select("pipe_oid", "layer", F.array(F.array(v(c("x1"), c("y1")), v(c("x1") + c("dx"), c("y1") + c("dy")), v(c("x1") + c("dx") + c("dy"), c("y1") + c("dy") - c("dx")))).alias("paths"))
+    return W.pipes(spark, d).select("pipe_oid", "layer", F.expr(PIPE_PATHS).alias("paths"))
 
 
 def simplify_lines(spark, d):
@@ -454,6 +457,52 @@ def export_job(spark, d):
     return both.select("pipe_oid", F.substring("installationdate", 1, 19).alias("installed"), "part")
 
 
+def date_variants(spark, d):
+    """Layers that write their dates as milliseconds, as text and as seconds, and one without a date since the day:
+    which way is chosen and how many rows pass by it."""
+    o = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("OBJECTID"), F.col("o_orderdate").cast("timestamp").alias("t"))
+    ways = {"ms": F.unix_millis("t"), "text": F.date_format("t", "yyyy-MM-dd"), "s": F.unix_seconds("t").cast("string"), "none": F.lit(None).cast("string")}
+    found = [(layer, *choose_since(o.select("OBJECTID", c.alias("installationdate")), "1996-01-01")[::2]) for layer, c in ways.items()]
+    return spark.createDataFrame(found, "layer string, chosen string, n long")
+
+
+def date_export_text(spark, d):
+    """The export of a layer whose dates are text: the first way of reading them finds nothing."""
+    o = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("OBJECTID"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("installationdate"), F.col("o_custkey").alias("c"))
+    return date_export(o, "1996-01-01").select("OBJECTID", "installationdate", "c")
+
+
+def paged_source(spark, d):
+    """The dated pipes as indexed page files, fetched back through the data source since a day: a task a page, pages of other dates unopened."""
+    folder = scratch_folder(spark)
+    path = F.transform(F.col("paths"), lambda p: F.transform(p, lambda v: F.array(v["x"], v["y"])))
+    feature = F.struct(F.struct("pipe_oid", "installationdate").alias("attributes"), F.when(F.col("paths").isNotNull(), F.struct(path.alias("paths"))).alias("geometry"))
+    write_pages(_dated_pipes(spark, d), "installationdate", {"id": "pipe_oid", "date": "installationdate"}, feature, folder)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(FeatureSource)
+    source = spark.read.format("features").schema("pipe_oid long, installationdate long, geometry string").options(path=folder, idField="pipe_oid", dateField="installationdate").load()
+    since = source.filter(F.col("installationdate") >= SINCE_MS)
+    return since.select("pipe_oid", "installationdate", F.get_json_object("geometry", "$.paths[0][0][0]").cast("double").alias("x"), F.get_json_object("geometry", "$.paths[0][1][1]").cast("double").alias("y"))
+
+
+def csv_file_order(spark, d):
+    """Of the rows of a customer in several CSV files the last counts: the last line of the last file that has one."""
+    folder = scratch_folder(spark)
+    o = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_custkey").alias("LeakNumber"), F.col("o_orderkey").alias("line"), (F.col("o_orderkey") % 7).alias("file"))
+    write_csv(o.repartitionByRange(7, "file", "line").sortWithinPartitions("file", "line"), folder)
+    last = last_row(read_supplemental(spark, folder), "LeakNumber", ["ordinal"])
+    return last.select(F.col("LeakNumber").cast("long").alias("custkey"), F.col("file").cast("long").alias("file"), F.col("line").cast("long").alias("line"))
+
+
+def clustered_view(spark, d):
+    """A stored pipe layer with its display columns, laid out for views; a view of it that the cap really cuts."""
+    folder = scratch_folder(spark)
+    en = W.enriched(spark, d).dropDuplicates(["pipe_oid"]).withColumn("paths", F.when(F.col("ASSETTYPE").isNotNull(), F.expr(PIPE_PATHS)))
+    lines = E.display_pipes(en, ("paths",)).select("pipe_oid", "PipeMaterialFamily", "PipeMaterialColor", "paths")
+    write_clustered(lines, folder, file_rows=4096)
+    return J.viewport_answer(lines_near_view(spark, folder, *BOX), "pipe_oid", BOX, 120.0, ["pipe_oid", "PipeMaterialFamily", "PipeMaterialColor"], cap=400)
+
+
 def export_count(spark, d):
     return J.export_job(_dated_pipes(spark, d), "1996-01-01", "", count_only=True)
 
@@ -539,4 +588,9 @@ QUERIES = {
     "export_count": export_count,
     "refresh_job": refresh_job,
     "stream_latest": stream_latest,
+    "date_variants": date_variants,
+    "date_export_text": date_export_text,
+    "csv_file_order": csv_file_order,
+    "paged_source": paged_source,
+    "clustered_view": clustered_view,
 }

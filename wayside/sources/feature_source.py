@@ -1,56 +1,104 @@
 """A Python data source over a paged feature service (here: a folder of page files).
 
-Each input partition is one page or one batch of object ids, so a layer is fetched
-by as many executors as it has pages, and a lost task fetches its page again.
-Options: path (folder of page-*.json with `features`), ids (optional list of object
-ids, comma separated), idField, batch (ids in a partition).
+A layer is fetched by as many executors as it has pages, and a lost task fetches its page
+again. Pages that were written with an index (write_pages) hold ranges of ids or dates;
+filters on the id and date columns that Spark pushes down, and wanted ids, leave out the
+pages whose ranges they miss, before any page is opened. Every page is opened once at most.
+
+Options: path; idField and dateField (columns of the index's ranges); ids (optional list of
+wanted ids, comma separated; other text in it is skipped). A schema column `page_number`
+is filled with the page's number. Rows without geometry are left out; Spark applies the
+pushed filters again to every row. The folder has to be mounted on all machines. Pushing
+needs spark.sql.python.filterPushdown.enabled. The driver reads one index line a page.
 """
 
 from __future__ import annotations
 
+import glob
 import json
-import os
 import time
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 RETRY_DELAYS = (2, 5, 15)
+PAGE_ROWS = 2000
+
+
+def write_pages(rows: DataFrame, by: str, ranges: dict[str, str], feature: Column, folder: str, size: int = PAGE_ROWS) -> None:
+    """Features as page files of about `size` each, in ranges of a column, and their index: for every
+    page its rows and the least and largest value of the columns in `ranges` (name in the index: column)."""
+    pages = max(1, -(-rows.count() // size))
+    dealt = rows.repartitionByRange(pages, by).withColumn("page", F.spark_partition_id())
+    ends = [f(c).alias(f"{side}_{name}") for name, c in ranges.items() for side, f in (("first", F.min), ("last", F.max))]
+    texts = dealt.groupBy("page").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value"), F.count("*").alias("n"), *ends)
+    texts.write.parquet(f"{folder}/texts")  # dealt once: the pages and their index have to agree
+    texts = rows.sparkSession.read.parquet(f"{folder}/texts")
+    texts.select("page", "value").write.partitionBy("page").text(f"{folder}/pages")
+    texts.drop("value").coalesce(1).write.json(f"{folder}/index")
 
 
 class Page(InputPartition):
-    def __init__(self, name: str, ids: tuple[int, ...] | None):
-        self.name, self.ids = name, ids
+    def __init__(self, number: int, file: str):
+        self.number, self.file = number, file
+
+
+def local(path: str) -> str:
+    return "/" + path[len("file:") :].lstrip("/") if path.startswith("file:") else path
 
 
 class FeatureReader(DataSourceReader):
     def __init__(self, schema, options: dict):
         self.names = [f.name for f in schema.fields]
-        self.options = options
+        self.path = local(options["path"])
+        self.key = options.get("idfield", options.get("idField", "OBJECTID"))
+        self.columns = {"id": self.key, "date": options.get("datefield", options.get("dateField"))}
+        wanted = options.get("ids", "")
+        self.ids = {int(x) for x in wanted.split(",") if x.strip().lstrip("-").isdigit()} if wanted.strip() else None
+        self.tests: list[tuple[str, object]] = []  # (name in the index, whether a range may pass)
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            name = next((n for n, c in self.columns.items() if getattr(f, "attribute", None) == (c,)), None)
+            ways = {
+                EqualTo: lambda lo, hi, v: lo <= v <= hi, In: lambda lo, hi, v: any(lo <= x <= hi for x in v if x is not None),
+                GreaterThan: lambda lo, hi, v: hi > v, GreaterThanOrEqual: lambda lo, hi, v: hi >= v, LessThan: lambda lo, hi, v: lo < v, LessThanOrEqual: lambda lo, hi, v: lo <= v,
+            }
+            if name and type(f) in ways and f.value is not None:
+                self.tests.append((name, lambda lo, hi, way=ways[type(f)], v=f.value: way(lo, hi, v)))
+            yield f
 
     def partitions(self) -> list[Page]:
-        names = sorted(n for n in os.listdir(self.options["path"]) if n.endswith(".json"))
-        ids = sorted({int(x) for x in self.options.get("ids", "").split(",") if x.strip().lstrip("-").isdigit()})
-        if not ids:
-            return [Page(n, None) for n in names]
-        size = int(self.options.get("batch", 2000))
-        return [Page(n, tuple(ids[i : i + size])) for n in names for i in range(0, len(ids), size)]
+        index = sorted(glob.glob(f"{self.path}/index/*.json"))
+        if not index:
+            return [Page(i, f) for i, f in enumerate(sorted(glob.glob(f"{self.path}/*.json")))]
+        out = []
+        for line in (line for file in index for line in open(file, encoding="utf-8")):
+            entry = json.loads(line)
+            span = lambda name: (entry.get(f"first_{name}"), entry.get(f"last_{name}"))  # noqa: B023, E731
+            passes = all(None not in span(name) and test(*span(name)) for name, test in self.tests if f"first_{name}" in entry or name == "id")
+            lo, hi = span("id")
+            if passes and (self.ids is None or lo is None or any(lo <= i <= hi for i in self.ids)):
+                out += [Page(entry["page"], f) for f in glob.glob(f"{self.path}/pages/page={entry['page']}/*.txt")]
+        return sorted(out, key=lambda p: p.number)
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        page = fetch(os.path.join(self.options["path"], partition.name))
-        key = self.options.get("idfield", self.options.get("idField", "OBJECTID"))
-        wanted = None if partition.ids is None else set(partition.ids)
+        if partition is None:  # no page is left to be opened
+            return
+        page = fetch(partition.file)
         for feature in page.get("features", []):
             row = feature.get("attributes", {})
-            if feature.get("geometry") and (wanted is None or row.get(key) in wanted):
-                yield tuple(row.get(n) if n != "geometry" else json.dumps(feature["geometry"]) for n in self.names)
+            if feature.get("geometry") and (self.ids is None or row.get(self.key) in self.ids):
+                yield tuple(partition.number if n == "page_number" else json.dumps(feature["geometry"]) if n == "geometry" else row.get(n) for n in self.names)
 
 
 def fetch(path: str, delays: tuple[float, ...] = RETRY_DELAYS) -> dict:
     """One page, with pauses between attempts."""
     for delay in (*delays, None):
         try:
-            with open(path) as f:
+            with open(path, encoding="utf-8") as f:
                 return json.load(f)
         except (OSError, json.JSONDecodeError):
             if delay is None:

@@ -73,12 +73,15 @@ def read_pages(spark: SparkSession, path: str, attributes: T.StructType) -> Data
 
 
 def read_supplemental(spark: SparkSession, path: str, key: str = "LeakNumber") -> DataFrame:
-    """CSV with every column as text, and the rows' order as `ordinal`."""
+    """CSV with every column as text, and the rows' place as `ordinal`: file path, block of the file and
+    row. Rows compare by it as they follow each other in the files, of several files in the order of
+    their names, however the blocks are dealt to tasks: within a block a task reads in order."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    raw = raw.toDF(*[c.lstrip("﻿").strip() for c in raw.columns])
-    if key not in raw.columns:
-        raise KeyError(f"{path}: no column {key} among {raw.columns}")
-    return raw.withColumn("ordinal", F.monotonically_increasing_id())
+    names = {c: c.lstrip("\ufeff").strip() for c in raw.columns}
+    if key not in names.values():
+        raise KeyError(f"{path}: no column {key} among {list(names.values())}")
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return raw.withColumn("ordinal", place).select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], "ordinal")
 
 
 def scratch_folder(spark: SparkSession) -> str:
