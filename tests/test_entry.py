@@ -31,7 +31,7 @@ def plain(rows, columns, order):
     return sorted(repr(tuple(fix(r[i]) for i in at)) for r in rows)
 
 
-@pytest.mark.parametrize("name", ["clean_keys", "family_match", "supplement_leaks", "enrich_pipes", "preflight_profile", "relocated_leaks", "relocation_audit", "run_counters", "viewport_lines", "reproject_points", "parse_numbers", "upsert_layer", "delta_rows", "refresh_watermark", "refresh_decision", "stream_latest", "date_variants", "date_export_text", "csv_file_order", "clustered_view", "paged_source", "watermark_literals", "date_export", "feature_pages", "display_leaks", "layer_sample", "simplify_lines", "geojson_features", "paged_layer", "job_relocated_leaks", "job_offset_lines", "job_audit", "enrich_job", "report_counts", "report_rows", "viewport_answer", "context_export", "viewer_export", "export_job", "export_count", "refresh_job"])
+@pytest.mark.parametrize("name", ["clean_keys", "family_match", "supplement_leaks", "enrich_pipes", "preflight_profile", "relocated_leaks", "relocation_audit", "run_counters", "viewport_lines", "reproject_points", "parse_numbers", "upsert_layer", "delta_rows", "refresh_watermark", "refresh_decision", "stream_latest", "date_variants", "date_export_text", "csv_file_order", "clustered_view", "paged_source", "two_systems", "watermark_literals", "date_export", "feature_pages", "display_leaks", "layer_sample", "simplify_lines", "geojson_features", "paged_layer", "job_relocated_leaks", "job_offset_lines", "job_audit", "enrich_job", "report_counts", "report_rows", "viewport_answer", "context_export", "viewer_export", "export_job", "export_count", "refresh_job"])
 def test_against_sql(spark, tables, name):
     d, con = tables
     df = QUERIES[name](spark, d)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayside.functions.simplify import simplified
+
 # The native equidistant conic projection (US survey feet on WGS84).
 SEMI_MAJOR_FT = 6378137.0 / 0.3048006096012192
 FLATTENING = 1 / 298.257223563
@@ -125,32 +128,18 @@ def to_degrees(x: Column, y: Column) -> tuple[Column, Column]:
     return CENTRAL_LON + F.degrees(F.atan2(px, py) / k["n"]), F.degrees(lat)
 
 
-def _simplified(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    """Douglas-Peucker with an explicit stack."""
-    keep, todo = {0, len(points) - 1}, [(0, len(points) - 1)]
-    while todo:
-        lo, hi = todo.pop()
-        (ax, ay), (bx, by) = points[lo], points[hi]
-        dx, dy = bx - ax, by - ay
-        length = dx * dx + dy * dy
-        far, at = tolerance, -1
-        for i in range(lo + 1, hi):
-            x, y = points[i]
-            t = max(0.0, min(1.0, ((x - ax) * dx + (y - ay) * dy) / length)) if length else 0.0
-            d = math.hypot(x - ax - t * dx, y - ay - t * dy)
-            if d > far:
-                far, at = d, i
-        if at >= 0:
-            keep.add(at)
-            todo += [(lo, at), (at, hi)]
-    return [points[i] for i in sorted(keep)]
-
-
 def simplify(paths: Column, tolerance: float) -> Column:
-    """Lines simplified at a tolerance: the one recursive piece, in Arrow batches."""
-
-    @F.pandas_udf(PATHS)
-    def run(column: pd.Series) -> pd.Series:
-        return column.map(lambda ps: None if ps is None else [[{"x": x, "y": y} for x, y in _simplified([(v["x"], v["y"]) for v in p], tolerance)] for p in ps])
+    """Lines simplified at a tolerance, topology kept (wayside.functions.simplify): the one recursive piece, in Arrow batches."""
+
+    @F.arrow_udf(PATHS)
+    def run(column: pa.Array) -> pa.Array:
+        def one(ps):
+            if ps is None:
+                return None
+            whole = [p is not None and all(v is not None and v["x"] is not None and v["y"] is not None for v in p) for p in ps]
+            found = iter(simplified([np.array([(v["x"], v["y"]) for v in p], np.float64).reshape(-1, 2) for p, w in zip(ps, whole, strict=True) if w], tolerance))
+            return [[{"x": x, "y": y} for x, y in next(found).tolist()] if w else p for p, w in zip(ps, whole, strict=True)]
+
+        return pa.array([one(ps) for ps in column.to_pylist()], column.type)
 
     return run(paths)

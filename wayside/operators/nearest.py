@@ -185,15 +185,33 @@ def bounded(points: DataFrame, tree: Quadtree, key: str) -> DataFrame:
         known = known.join(own.withColumn("cut", F.lit(True)), key, "left")
         again = again | F.col("cut").isNotNull()
     known = stored(known.withColumn("again", again).drop("near", "cut"))
-    rest = known.filter("again").drop("again")
-    for _ in range(2):
-        level = F.least(F.lit(tree.levels - 1), F.greatest(F.lit(0), F.floor(F.log2(F.lit(tree.radius) / F.col("bound")))) + 2).cast("int")
-        cells = F.flatten(F.transform(F.sequence(F.lit(0), level), lambda n: _reached(tree, n)))
-        near = tree.near(rest.withColumn("c", F.explode(cells)).select(key, *tree.keys, "px", "py", "c.*"), key)
-        rest = stored(rest.join(near, key).withColumn("bound", F.least("bound", tree.bound(F.col("near")))).drop("near"))
+    rest = _descended(known.filter("again").drop("again"), tree, key)
     return known.filter("not again").drop("again").unionByName(rest)
 
 
+def _descended(points: DataFrame, tree: Quadtree, key: str) -> DataFrame:
+    """points with their bound made tight from coarse cells to fine ones: on each level only the
+    cells that are no farther than the nearest place known so far are looked into."""
+    rows = [key, *tree.keys, "px", "py"]
+    front = points.withColumn("c", F.explode(_reached(tree, F.lit(0)))).select(*rows, "c.*")
+    for level in range(tree.levels):
+        met = front.join(tree.places, tree.place)
+        near = met.groupBy(key).agg(F.min(distance(F.col("px"), F.col("py"), F.col("rx"), F.col("ry"))).alias("near"))
+        joined = points.join(near, key, "left" if level else "inner")
+        points = stored(joined.withColumn("bound", F.least("bound", tree.bound(F.coalesce("near", "bound")))).drop("near"))
+        if level + 1 == tree.levels:
+            break
+        size = tree.radius / (1 << (level + 1))
+        two = F.array(F.lit(0), F.lit(1))
+        inner = _cells(F.transform(two, lambda i: F.col("cx") * 2 + i), F.transform(two, lambda i: F.col("cy") * 2 + i), F.lit(level + 1))
+        within = F.filter(inner, lambda c: _to_box(F.col("px"), F.col("py"), c["cx"], c["cy"], F.lit(size)) <= F.col("bound"))  # noqa: B023
+        held = met.select(*rows, "cx", "cy").join(points.select(key, "bound").distinct(), key)
+        front = stored(held.withColumn("c", F.explode(within)).select(*rows, "c.*").join(tree.places.select(*tree.place), tree.place, "left_semi"))
+        if front.isEmpty():
+            break
+    return points
+
+
 def candidates(points: DataFrame, tree: Quadtree, key: str) -> DataFrame:
     """Points with the segments of the leaves that their bound reaches; a pair may meet more than once."""
     rows = [key, *tree.keys, "px", "py", "bound"]

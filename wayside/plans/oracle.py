@@ -277,3 +277,4 @@ ORACLE["csv_file_order"] = "SELECT o_custkey AS custkey, o_orderkey % 7 AS file,
 ORACLE["clustered_view"] = with_(BASE, ENRICHED, VIEWED.replace("SELECT pipe_oid, layer, x1, y1, dx, dy FROM pipes WHERE ", "SELECT DISTINCT pipe_oid, coalesce(PipeMaterialFamily, 'UNKNOWN') AS fam, x1, y1, dx, dy FROM en WHERE assettype IS NOT NULL AND (") + ")") + f"""SELECT pipe_oid, {feature(props(pipe_oid='pipe_oid', PipeMaterialFamily='"fam', PipeMaterialColor=f'"CASE fam {COLOR} END'), 'LineString', f"'[[' || {degrees('x1', 'y1')} || CASE WHEN {SHARP} THEN '],[' || {degrees('x1+dx', 'y1+dy')} ELSE '' END || '],[' || {degrees('x1+dx+dy', 'y1+dy-dx')} || ']]'")} AS feature,
       (SELECT count(*) FROM v) AS total_in_view, (SELECT count(*) FROM v) > 400 AS truncated FROM v ORDER BY pipe_oid LIMIT 400"""
 ORACLE["paged_source"] = with_(BASE, DATED) + "SELECT pipe_oid, epoch_us(i) // 1000 AS installationdate, x1 AS x, y1 + dy AS y FROM dated WHERE assettype IS NOT NULL"
+ORACLE["two_systems"] = with_(BASE) + "SELECT 'leaks' AS layer, leak_oid AS id, x, y FROM leaks UNION ALL SELECT layer, pipe_oid, x1, y1 FROM pipes"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wayside.functions import geometry as G
 from wayside.functions.material import layer_color, material_family, material_label, route_layers, row_family, search_ring, viewer_family
+from wayside.functions.reference import DEGREES, NATIVE, assign_system, in_one_system, require_same_system, to_system
 from wayside.functions.text import clean, epoch_ms, norm_code, normalize_key, parse_number, safe_watermark, viewer_key
 from wayside.operators import enrich as E
 from wayside.operators import jobs as J
@@ -220,6 +221,30 @@ def simplify_lines(spark, d):
     return out.select("pipe_oid", F.size(F.col("paths")[0]).cast("long").alias("vertices"))
 
 
+def simplify_networks(spark, d):
+    """Orders as lines through their pipes, the odd ones closed, each with a second path beside it: vertices before and after, topology kept."""
+    p = W.pipes(spark, d).select(F.expr("pipe_oid div 1000 div 100000 div 10").alias("orderkey"), "pipe_oid", (F.col("x1") % 4000).alias("x"), (F.col("y1") % 4000).alias("y"))
+    one = p.groupBy("orderkey").agg(F.array_sort(F.collect_list(F.struct("pipe_oid", "x", "y"))).alias("v"))
+    path = F.transform("v", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
+    first = F.when(F.col("orderkey") % 2 == 1, F.concat(path, F.slice(path, 1, 1))).otherwise(path)
+    beside = F.transform("v", lambda v: F.struct((v["x"] + 900).alias("x"), v["y"].alias("y")))
+    lines = one.select("orderkey", F.array(first, beside).alias("paths"))
+    out = lines.withColumn("kept", G.simplify(F.col("paths"), 600.0))
+    size = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, p: n + F.size(p))
+    return out.select("orderkey", size("paths").alias("vertices"), size("kept").alias("kept"), "paths", F.col("kept").alias("kept_paths"))
+
+
+def two_systems(spark, d):
+    """Leaks in native feet and pipes in degrees, brought into the leading layer's system, as the job does."""
+    leaks = assign_system(W.leaks(spark, d).select("leak_oid", "x", "y"), NATIVE)
+    pipes = to_system(assign_system(_lines(spark, d), NATIVE), DEGREES)  # as another service delivers them
+    leaks, pipes = in_one_system(leaks, pipes)
+    require_same_system(leaks, pipes)
+    first = F.col("paths")[0][0]
+    ends = pipes.select("layer", F.col("pipe_oid").alias("id"), F.round(first["x"]).alias("x"), F.round(first["y"]).alias("y"))
+    return leaks.select(F.lit("leaks").alias("layer"), F.col("leak_oid").alias("id"), F.col("x"), F.col("y")).union(ends)
+
+
 def line_centroids(spark, d):
     c = G.centroid(_lines(spark, d).dropDuplicates(["pipe_oid"]), "pipe_oid")
     return c.select("pipe_oid", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
@@ -592,5 +617,7 @@ QUERIES = {
     "date_export_text": date_export_text,
     "csv_file_order": csv_file_order,
     "paged_source": paged_source,
+    "simplify_networks": simplify_networks,
+    "two_systems": two_systems,
     "clustered_view": clustered_view,
 }
