@@ -168,4 +168,30 @@ named AS (SELECT j, sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY d)) AS ce
 SELECT vec_id, CAST(j AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
   CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
 FROM a3 JOIN v USING (u) JOIN named USING (j)""",
+    "op1_ngram_join": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t-\\r]+'), []) AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS i FROM w WHERE len(words) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, min(r.b)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach r ON r.a = w.doc_id GROUP BY w.doc_id, n.n""",
+    "op9_embedding_dedup": """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS size
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE len(embedding) > 0 AND len([c for c in embedding if isfinite(c)]) = len(embedding))
+  WHERE list_dot_product(x, x) > 0),
+link AS MATERIALIZED (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  WHERE list_dot_product(p.x, q.x) / (p.size * q.size) >= 0.95),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, low.b) AS component_id, vec_id = least(vec_id, low.b) AS kept
+FROM embeddings LEFT JOIN low ON low.a = vec_id LEFT JOIN n ON n.a = vec_id""",
 }
