@@ -52,6 +52,15 @@ def mounted(folder: str) -> str:
     return path
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """From now on Arrow batches of this session hold about `most` bytes at most (a longer row stands
+    alone), as rows may be texts or bitmaps of any length; a limit that was set with a unit, or lower, is left as it is."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = spark.conf.get(name)  # a number of bytes, or one with a unit
+    if size.rstrip("b").isdigit() and int(size.rstrip("b")) > most:
+        spark.conf.set(name, str(most))
+
+
 def save_array(path: str, array: np.ndarray) -> None:
     """Written under another name first, so a reader or a second attempt never meets half a file."""
     part = f"{path}.{os.getpid()}.part"

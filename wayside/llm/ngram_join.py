@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayside.llm.common import connected_components, give_back, hash_runs, lowered, materialise, mix64, pack_sorted, split_rows, text_bytes, tidy, unpack_sorted, word_bounds, word_hashes
+from wayside.llm.common import connected_components, give_back, hash_runs, lowered, materialise, mix64, pack_sorted, small_batches, split_rows, text_bytes, tidy, unpack_sorted, word_bounds, word_hashes
 
 WORDS = 5
 FREQUENT = 64
@@ -544,6 +544,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, head_size: int = HEAD, small: int = SMALL, long: int = LONG) -> DataFrame:
     """uid, doc_id, n_shingles, component_id and stays (one row of each group: the smallest id, then the first row): one row per document."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     shards = max(12, -(-size // SHARD_BYTES))
