@@ -10,7 +10,7 @@ from wayside.operators import enrich as E
 from wayside.operators.clustered import files_in_view, lines_near_view, write_clustered
 from wayside.operators.export import choose_since, date_export
 from wayside.operators.prepare import last_row
-from wayside.sources.feature_source import FeatureSource, write_pages
+from wayside.sources.feature_source import IndexedFeatureSource, write_pages
 from wayside.sources.pages import read_supplemental
 
 
@@ -99,8 +99,8 @@ def test_only_the_pages_in_range_are_opened_each_once(spark, tmp_path):
     feature = F.struct(F.struct("OBJECTID", "day").alias("attributes"), F.when(F.col("OBJECTID") % 10 > 0, F.struct(F.lit(1.0).alias("x"))).alias("geometry"))
     write_pages(rows, "OBJECTID", {"id": "OBJECTID", "date": "day"}, feature, f"file://{tmp_path}/l", size=100)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(FeatureSource)
-    load = lambda **o: spark.read.format("features").schema("OBJECTID long, day long, geometry string, page_number int").options(path=f"file://{tmp_path}/l", dateField="day", **o).load()
+    spark.dataSource.register(IndexedFeatureSource)
+    load = lambda **o: spark.read.format("indexed_features").schema("OBJECTID long, day long, geometry string, page_number int").options(path=f"file://{tmp_path}/l", dateField="day", **o).load()
     every = load()
     assert every.count() == 4500 and 45 <= every.rdd.getNumPartitions() <= 50
     for test, wanted in (("OBJECTID between 1000 and 1250", 225), ("day > 4900000", 90), ("OBJECTID = 77", 1), ("OBJECTID in (5, 4001, null)", 2), ("OBJECTID >= 9000", 0), ("OBJECTID < 100 and day >= 50000", 45)):

@@ -18,7 +18,7 @@ from wayside.operators.clustered import lines_near_view, write_clustered
 from wayside.operators.export import choose_since, date_export
 from wayside.operators.prepare import last_row, pipe_gaps, prepared_pipes, supplemental
 from wayside.plans import workload as W
-from wayside.sources.feature_source import FeatureSource, write_pages
+from wayside.sources.feature_source import IndexedFeatureSource, write_pages
 from wayside.sources.pages import features, fetched_pages, layer_schema, page_texts, read_snapshot, read_supplemental, scratch_folder, stored, write_csv, write_snapshot
 from wayside.sources.snapshots import Layer
 from wayside.streaming.refresh_stream import refresh_stream
@@ -504,8 +504,8 @@ def paged_source(spark, d):
     feature = F.struct(F.struct("pipe_oid", "installationdate").alias("attributes"), F.when(F.col("paths").isNotNull(), F.struct(path.alias("paths"))).alias("geometry"))
     write_pages(_dated_pipes(spark, d), "installationdate", {"id": "pipe_oid", "date": "installationdate"}, feature, folder)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(FeatureSource)
-    source = spark.read.format("features").schema("pipe_oid long, installationdate long, geometry string").options(path=folder, idField="pipe_oid", dateField="installationdate").load()
+    spark.dataSource.register(IndexedFeatureSource)
+    source = spark.read.format("indexed_features").schema("pipe_oid long, installationdate long, geometry string").options(path=folder, idField="pipe_oid", dateField="installationdate").load()
     since = source.filter(F.col("installationdate") >= SINCE_MS)
     return since.select("pipe_oid", "installationdate", F.get_json_object("geometry", "$.paths[0][0][0]").cast("double").alias("x"), F.get_json_object("geometry", "$.paths[0][1][1]").cast("double").alias("y"))
 

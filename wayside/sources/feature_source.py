@@ -1,15 +1,15 @@
 """A Python data source over a paged feature service (here: a folder of page files).
 
 A layer is fetched by as many executors as it has pages, and a lost task fetches its page
-again. Pages that were written with an index (write_pages) hold ranges of ids or dates;
-filters on the id and date columns that Spark pushes down, and wanted ids, leave out the
-pages whose ranges they miss, before any page is opened. Every page is opened once at most.
+again. Pages that were written with an index (write_pages) hold ranges of ids or dates:
+wanted ids and, in the format `indexed_features`, filters on the id and date columns that
+Spark pushes down leave out the pages whose ranges they miss, before any page is opened.
+Every page is opened once at most.
 
 Options: path; idField and dateField (columns of the index's ranges); ids (optional list of
 wanted ids, comma separated; other text in it is skipped). A schema column `page_number`
 is filled with the page's number. Rows without geometry are left out; Spark applies the
-pushed filters again to every row. The folder has to be mounted on all machines. Pushing
-needs spark.sql.python.filterPushdown.enabled. The driver reads one index line a page.
+pushed filters again to every row. The folder has to be mounted on all machines. The driver reads one index line a page.
 """
 
 from __future__ import annotations
@@ -59,17 +59,6 @@ class FeatureReader(DataSourceReader):
         self.ids = {int(x) for x in wanted.split(",") if x.strip().lstrip("-").isdigit()} if wanted.strip() else None
         self.tests: list[tuple[str, object]] = []  # (name in the index, whether a range may pass)
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        for f in filters:
-            name = next((n for n, c in self.columns.items() if getattr(f, "attribute", None) == (c,)), None)
-            ways = {
-                EqualTo: lambda lo, hi, v: lo <= v <= hi, In: lambda lo, hi, v: any(lo <= x <= hi for x in v if x is not None),
-                GreaterThan: lambda lo, hi, v: hi > v, GreaterThanOrEqual: lambda lo, hi, v: hi >= v, LessThan: lambda lo, hi, v: lo < v, LessThanOrEqual: lambda lo, hi, v: lo <= v,
-            }
-            if name and type(f) in ways and f.value is not None:
-                self.tests.append((name, lambda lo, hi, way=ways[type(f)], v=f.value: way(lo, hi, v)))
-            yield f
-
     def partitions(self) -> list[Page]:
         index = sorted(glob.glob(f"{self.path}/index/*.json"))
         if not index:
@@ -78,7 +67,7 @@ class FeatureReader(DataSourceReader):
         for line in (line for file in index for line in open(file, encoding="utf-8")):
             entry = json.loads(line)
             span = lambda name: (entry.get(f"first_{name}"), entry.get(f"last_{name}"))  # noqa: B023, E731
-            passes = all(None not in span(name) and test(*span(name)) for name, test in self.tests if f"first_{name}" in entry or name == "id")
+            passes = all(test(*span(name)) for name, test in self.tests if None not in span(name))  # noqa: B023
             lo, hi = span("id")
             if passes and (self.ids is None or lo is None or any(lo <= i <= hi for i in self.ids)):
                 out += [Page(entry["page"], f) for f in glob.glob(f"{self.path}/pages/page={entry['page']}/*.txt")]
@@ -94,6 +83,21 @@ class FeatureReader(DataSourceReader):
                 yield tuple(partition.number if n == "page_number" else json.dumps(feature["geometry"]) if n == "geometry" else row.get(n) for n in self.names)
 
 
+class PushingReader(FeatureReader):
+    """A reader that leaves out pages by the filters that Spark pushes down."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            name = next((n for n, c in self.columns.items() if getattr(f, "attribute", None) == (c,)), None)
+            ways = {
+                EqualTo: lambda lo, hi, v: lo <= v <= hi, In: lambda lo, hi, v: any(lo <= x <= hi for x in v if x is not None),
+                GreaterThan: lambda lo, hi, v: hi > v, GreaterThanOrEqual: lambda lo, hi, v: hi >= v, LessThan: lambda lo, hi, v: lo < v, LessThanOrEqual: lambda lo, hi, v: lo <= v,
+            }
+            if name and type(f) in ways and f.value is not None:
+                self.tests.append((name, lambda lo, hi, way=ways[type(f)], v=f.value: way(lo, hi, v)))
+            yield f
+
+
 def fetch(path: str, delays: tuple[float, ...] = RETRY_DELAYS) -> dict:
     """One page, with pauses between attempts."""
     for delay in (*delays, None):
@@ -114,3 +118,14 @@ class FeatureSource(DataSource):
 
     def reader(self, schema) -> FeatureReader:
         return FeatureReader(schema, self.options)
+
+
+class IndexedFeatureSource(FeatureSource):
+    """The same pages with filters pushed down; needs spark.sql.python.filterPushdown.enabled."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "indexed_features"
+
+    def reader(self, schema) -> PushingReader:
+        return PushingReader(schema, self.options)
