@@ -145,7 +145,7 @@ def test_reference_systems(spark, tmp_path):
 
 
 def test_pairs_grow_with_the_rows_where_lines_are_dense(spark):
-    """Four times the lines (short ones) and points in the same place: about four times the pairs, where all within the radius would be sixteen times."""
+    """Four times the lines (short ones) and points in the same place: under six times the pairs, where all within the radius would be sixteen times."""
     def pairs(n):
         rng = random.Random(n)
         segs = [(j, "k", x, y, x + rng.uniform(-0.3, 0.3), y + rng.uniform(-0.3, 0.3)) for j in range(n) for x, y in [(rng.uniform(0, 100), rng.uniform(0, 100))]]
