@@ -1,7 +1,14 @@
 """The constrained nearest join: for every point the nearest line within a radius whose attributes agree.
 
-Attribute agreement is an equi-key. Distance becomes cell keys in a quadtree for each
-combination of keys. Its roots are as wide as the radius. Where no more than LEAF segments
+Attribute agreement is an equi-key. Points with equal keys and coordinates are searched once.
+Each combination of keys has a grid whose cells hold a few of its segments; a segment lies
+in the cell of its middle (a long one in those of its parts), so it is shuffled about once.
+A point meets the segments of nine cells; what is found within half a cell is the nearest.
+Points that find nothing so near look once more in cells four times as wide. In evenly
+dense tables these two rounds settle every point.
+
+What is left, points far from lines that crowd elsewhere, goes through a quadtree over the
+segments near it. Its roots are as wide as the radius. Where no more than LEAF segments
 are counted in any root, the roots do. A root with more is cut, and into how many levels at
 once follows from the count, so that a leaf holds about LEAF of them; cells that are still
 overfull, where lines crowd in a part of a root, are cut again in the same way. Cells are
@@ -44,6 +51,10 @@ FINEST = 0.25
 #: Bounds and boxes are widened by this share of the radius, so that rounding loses nothing.
 SLACK = 1e-9
 ENDS = ("ax", "ay", "bx", "b_y")
+#: Segments that a cell of the first round holds, about.
+FEW = 8
+#: Up to so many places are sent to the segments of the second round.
+SENT = 1 << 15
 
 
 def _span(lo: Column, hi: Column, size: Column | float) -> Column:
@@ -242,17 +253,110 @@ def around(points: DataFrame, tree: Quadtree, key: str) -> DataFrame:
     return p.join(tree.files, [*tree.keys, "cx", "cy"])
 
 
+def _by_tree(points: DataFrame, segments: DataFrame, key: str, keys: list[str], radius: float, carry: list[str], order: list[str], leaf: int, deepest: int) -> DataFrame:
+    """(key, best) of points (key, keys, px, py) by the quadtree; best: distance, order columns, carried ones, new_x, new_y."""
+    tree = Quadtree(segments, keys, radius, order, leaf, deepest)
+    both = candidates(bounded(points, tree, key), tree, key) if tree.dense else around(points, tree, key)
+    return _best(_measured(both, F.least(F.col("bound"), F.lit(radius))), [key], order, carry)
+
+
+def _measured(pairs: DataFrame, within: Column) -> DataFrame:
+    """Pairs of a point and a segment with the nearest place and its distance, up to a limit."""
+    nx, ny = nearest_on_segment(*(F.col(c) for c in ("px", "py", *ENDS)))
+    near = pairs.withColumns({"new_x": nx, "new_y": ny})
+    return near.withColumn("distance", distance(F.col("px"), F.col("py"), F.col("new_x"), F.col("new_y"))).filter(F.col("distance") <= within)
+
+
+def _best(near: DataFrame, by: list[str], order: list[str], carry: list[str]) -> DataFrame:
+    rest = [c for c in dict.fromkeys([*carry, "new_x", "new_y"]) if c not in order]
+    return near.groupBy(*by).agg(F.min(F.struct("distance", *order, *rest)).alias("best"))
+
+
+# -- rounds over a grid as wide as the lines are dense --
+
+
+def _key_table(segments: DataFrame, keys: list[str], radius: float) -> DataFrame:
+    """One row for each combination of keys: kid, and the width of cells that hold about FEW segments
+    where segments are (a segment's mean company in its root says how dense that is), but are twice as wide
+    as the mean segment is long and need be no wider than to hold the whole radius."""
+    middle = [F.floor((F.col(a) + F.col(b)) / (2 * radius)).alias(c) for a, b, c in (("ax", "bx", "cx"), ("ay", "b_y", "cy"))]
+    roots = segments.groupBy(*keys, *middle).agg(F.count("*").cast("double").alias("n"), F.sum(_extent()).alias("extent"))
+    by_count = radius * F.sqrt(FEW * F.sum("n") / F.sum(F.col("n") * F.col("n")))
+    width = F.least(F.greatest(by_count, 2 * F.sum("extent") / F.sum("n")), F.lit(_whole(radius)))
+    return stored(roots.groupBy(*keys).agg(width.alias("width")).withColumn("kid", F.monotonically_increasing_id()))
+
+
+def _extent() -> Column:
+    return F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("b_y") - F.col("ay")))
+
+
+def _whole(radius: float) -> float:
+    """The width of cells with which one round finds everything within the radius."""
+    return 2 * radius * (1 + 1e-6)
+
+
+def _filed(segments: DataFrame) -> DataFrame:
+    """Segments in the cell of their middle; longer ones than a cell is wide in the cells of the middles of equal parts."""
+    parts = F.greatest(F.ceil(_extent() / F.col("width")), F.lit(1)).cast("long")
+    s = segments.withColumn("__at", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda i: (i + 0.5) / parts)))
+    cell = lambda a, b: F.floor((F.col(a) + F.col("__at") * (F.col(b) - F.col(a))) / F.col("width")).cast("long")
+    return s.withColumns({"cx": cell("ax", "bx"), "cy": cell("ay", "b_y")}).drop("__at", "width")
+
+
+def _nine(places: DataFrame) -> DataFrame:
+    """Places with each of the nine cells around them."""
+    beside = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    for c, p in (("cx", "px"), ("cy", "py")):
+        places = places.withColumn(c, F.explode(F.transform(beside, lambda i: F.floor(F.col(p) / F.col("width")).cast("long") + i)))  # noqa: B023
+    return places
+
+
+def _settled(radius: float) -> Column:
+    """What is nearest within this distance in the nine cells is nearest of all: a segment's part is no longer than
+    a cell is wide, so its middle is at most half of that away from its nearest place."""
+    return F.least(F.col("width") / 2 * (1 - SLACK), F.lit(radius))
+
+
+def _round(places: DataFrame, segments: DataFrame, radius: float, order: list[str], carry: list[str], few: bool) -> DataFrame:
+    """(kid, px, py, best) of the places whose nearest segment the nine cells settle. Both sides have
+    their width; a few places are sent to the segments, which then stay where they are."""
+    at = _nine(places)
+    near = _measured((F.broadcast(at) if few else at).join(_filed(segments), ["kid", "cx", "cy"]), _settled(radius))
+    return _best(near, ["kid", "px", "py"], order, carry)
+
+
 def nearest_within(points: DataFrame, segments: DataFrame, key: str, keys: list[str], radius: float, carry: list[str], order: list[str], leaf: int = LEAF, deepest: int = DEEPEST) -> DataFrame:
     """One row per point that has a match: key, distance, the order columns, keys, carried
     columns and the nearest place. Ties go by the order columns. Points may occur in
-    several rows (one for each layer to be searched)."""
+    several rows (one for each layer to be searched).
+
+    Points with the same keys and coordinates are searched once. A first round over cells of
+    few segments settles nearly all of them, a second one over cells four times as wide the
+    most of the rest; what neither settles goes through the quadtree, with the segments near it."""
     named = list(dict.fromkeys([*keys, *ENDS, *order, *carry]))
-    tree = Quadtree(segments.select(*named), keys, radius, order, leaf, deepest)
-    p = points.select(key, *keys, F.col("x").alias("px"), F.col("y").alias("py")).dropna(subset=[*keys, "px", "py"])
-    both = candidates(bounded(p, tree, key), tree, key) if tree.dense else around(p, tree, key)
-    nx, ny = nearest_on_segment(*(F.col(c) for c in ("px", "py", *ENDS)))
-    near = both.select(key, *keys, *carry, *[c for c in order if c not in keys and c not in carry], nx.alias("new_x"), ny.alias("new_y"), "px", "py", "bound")
-    near = near.withColumn("distance", distance(F.col("px"), F.col("py"), F.col("new_x"), F.col("new_y"))).filter(F.col("distance") <= F.least(F.col("bound"), F.lit(radius)))
-    rest = [c for c in dict.fromkeys([*keys, *carry, "new_x", "new_y"]) if c not in order]
-    best = near.groupBy(key).agg(F.min(F.struct("distance", *order, *rest)).alias("best"))
-    return best.select(key, "best.*")
+    finite = lambda *names: " and ".join(f"abs({n}) < double('Infinity')" for n in names)
+    s = segments.select(*named).dropna(subset=[*keys, *ENDS]).filter(finite(*ENDS))
+    table = _key_table(s, keys, radius)
+    carry = [c for c in carry if c not in keys]
+    s = s.join(table, keys).select("kid", "width", *[c for c in named if c not in keys or c in order])
+    p = points.select(key, *keys, F.col("x").alias("px"), F.col("y").alias("py")).dropna(subset=[*keys, "px", "py"]).filter(finite("px", "py"))
+    p = stored(p.join(table, keys).select(key, "kid", "px", "py"))
+    places = p.select("kid", "px", "py").distinct().join(table.select("kid", "width"), "kid")
+    found = stored(_round(places, s, radius, order, carry, False))
+    place = ["kid", "px", "py"]
+    rest = stored(places.filter(_settled(radius) < radius).join(found, place, "left_anti"))
+    if not rest.isEmpty():
+        wider = F.when(F.col("width") * 4 < radius, F.col("width") * 4).otherwise(F.lit(_whole(radius)))
+        more = stored(_round(rest.withColumn("width", wider), s.withColumn("width", wider), radius, order, carry, rest.count() <= SENT))
+        found = found.unionByName(more)
+        last = rest.withColumn("width", wider).filter(_settled(radius) < radius).join(more, place, "left_anti")
+        last = stored(last.select(*place).withColumn("__place", F.monotonically_increasing_id()))
+        if not last.isEmpty():
+            whole = F.lit(_whole(radius))
+            cells = _nine(last.withColumn("width", whole)).select("kid", "cx", "cy").distinct()
+            near = _filed(s.withColumn("width", whole)).join(cells, ["kid", "cx", "cy"], "left_semi").drop("cx", "cy")
+            far = _by_tree(last, near, "__place", ["kid"], radius, carry, order, leaf, deepest)
+            found = found.unionByName(last.join(far, "__place").select(*place, "best"))
+    # the kid tells which keys were searched; the order columns decide between a point's rows
+    best = p.join(found, place).groupBy(key).agg(F.min(F.struct("best", "kid")).alias("b")).select(key, "b.best.*", "b.kid")
+    return best.join(table.select("kid", *[c for c in keys if c not in order]), "kid").drop("kid")

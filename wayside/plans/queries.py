@@ -16,7 +16,7 @@ from wayside.operators import refresh as R
 from wayside.operators import viewport as V
 from wayside.operators.clustered import lines_near_view, write_clustered
 from wayside.operators.export import choose_since, date_export
-from wayside.operators.prepare import last_row, pipe_gaps, prepared_pipes, supplemental
+from wayside.operators.prepare import last_row, leak_tasks, pipe_gaps, prepared_pipes, supplemental
 from wayside.plans import workload as W
 from wayside.sources.feature_source import IndexedFeatureSource, write_pages
 from wayside.sources.pages import features, fetched_pages, layer_schema, page_texts, read_snapshot, read_supplemental, scratch_folder, stored, write_csv, write_snapshot
@@ -30,7 +30,8 @@ RUN_UTC = "2024-01-01 00:00:00"
 
 
 def _matches(spark, d, **options) -> tuple[DataFrame, DataFrame]:
-    tasks = W.tasks(spark, d)
+    """The tasks, stored as the match and its outputs both read them, and the matches."""
+    tasks = stored(W.tasks(spark, d))
     return tasks, O.match_leaks(tasks, W.segment_table(spark, d), **options)
 
 
@@ -124,8 +125,8 @@ def relocation_audit(spark, d):
 
 
 def run_counters(spark, d):
-    _, m = _matches(spark, d)
-    return O.run_counters(W.gated(spark, d), m)
+    gated = stored(W.gated(spark, d))
+    return O.run_counters(gated, O.match_leaks(leak_tasks(gated), W.segment_table(spark, d)))
 
 
 def _audit(spark, d):
