@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayside.functions.simplify import simplified
+from wayside.functions.simplify import SHORT, bends_kept, kept, kept_of_short
 
 # The native equidistant conic projection (US survey feet on WGS84).
 SEMI_MAJOR_FT = 6378137.0 / 0.3048006096012192
@@ -133,13 +133,53 @@ def simplify(paths: Column, tolerance: float) -> Column:
 
     @F.arrow_udf(PATHS)
     def run(column: pa.Array) -> pa.Array:
-        def one(ps):
-            if ps is None:
-                return None
-            whole = [p is not None and all(v is not None and v["x"] is not None and v["y"] is not None for v in p) for p in ps]
-            found = iter(simplified([np.array([(v["x"], v["y"]) for v in p], np.float64).reshape(-1, 2) for p, w in zip(ps, whole, strict=True) if w], tolerance))
-            return [[{"x": x, "y": y} for x, y in next(found).tolist()] if w else p for p, w in zip(ps, whole, strict=True)]
-
-        return pa.array([one(ps) for ps in column.to_pylist()], column.type)
+        return simplify_batch(column, tolerance)
 
     return run(paths)
+
+
+def simplify_batch(column: pa.Array, tolerance: float) -> pa.Array:
+    """A batch of lines: vertices stay in flat arrays, and only a mask tells which go. Lines of one path
+    of three vertices are done at once, others one by one. Paths with a null in them stay as they are."""
+    # offsets into what is valid: slices and nulls with rows behind them are straightened first
+    lines = column.take(pa.array(np.arange(len(column)))) if column.offset or column.null_count else column
+    ends = lines.offsets.to_numpy()
+    parts = lines.values
+    cuts = parts.offsets.to_numpy() if len(parts) else np.zeros(1, np.int32)
+    vertices = parts.values
+    whole = np.asarray(vertices.is_valid()) if vertices.null_count else np.ones(len(vertices), bool)
+    x, y = (vertices.field(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("x", "y"))
+    for c in ("x", "y"):
+        if vertices.field(c).null_count:
+            whole &= np.asarray(vertices.field(c).is_valid())
+    xy = np.column_stack([x, y])
+    stays = np.ones(len(xy), bool)
+    broken = np.concatenate([[0], np.cumsum(~whole)])
+    sizes = np.diff(cuts)
+    single = np.flatnonzero(np.diff(ends) == 1)
+    bend = ends[:-1][single]
+    bend = bend[(sizes[bend] == 3) & (broken[cuts[bend + 1]] == broken[cuts[bend]])] if len(bend) else bend
+    b = cuts[bend]
+    if len(b):
+        stays[b + 1] = bends_kept(xy[b], xy[b + 1], xy[b + 2], tolerance)
+    done = np.zeros(len(parts), bool)
+    done[bend] = True
+    odd = np.concatenate([[0], np.cumsum(~(whole & np.isfinite(xy).all(1)))]).tolist()
+    points, at = list(zip(x.tolist(), y.tolist(), strict=True)), cuts.tolist()
+    for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        if hi == lo or hi - lo == 1 and done[lo] or at[hi] - at[lo] < 3:
+            continue
+        if at[hi] - at[lo] <= SHORT and odd[at[hi]] == odd[at[lo]]:
+            for k, keep in enumerate(kept_of_short([points[at[k] : at[k + 1]] for k in range(lo, hi)], tolerance), lo):
+                if keep is not None:
+                    stays[at[k] : at[k + 1]] = keep
+            continue
+        own = [k for k in range(lo, hi) if broken[cuts[k + 1]] == broken[cuts[k]]]
+        for k, keep in zip(own, kept([xy[cuts[k] : cuts[k + 1]] for k in own], tolerance), strict=True):
+            if keep is not None:
+                stays[cuts[k] : cuts[k + 1]] = keep
+    left = np.concatenate([[0], np.cumsum(stays)]).astype(np.int32)
+    mask = lambda a: pa.array(np.asarray(a.is_null())) if a.null_count else None
+    kind = column.type
+    new = pa.ListArray.from_arrays(pa.array(left[cuts]), vertices.filter(pa.array(stays)), type=kind.value_type, mask=mask(parts))
+    return pa.ListArray.from_arrays(pa.array(ends), new, type=kind, mask=mask(lines))
