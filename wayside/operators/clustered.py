@@ -12,7 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayside.sources.pages import stored
+
 FILE_ROWS = 1 << 18
+#: Rows that a task lays out at least, in one file after the other.
+TASK_ROWS = 1 << 16
 SIDES = ("west", "south", "east", "north")
 
 
@@ -40,14 +44,15 @@ def write_clustered(lines: DataFrame, folder: str, paths: str = "paths", file_ro
     """Store lines with their boxes along the curve, and the files' index. Lines without geometry
     (null, without paths or with coordinates that are not finite) are left out."""
     spark = lines.sparkSession
-    boxed = lines.filter(F.size(paths) > 0).withColumns(box_columns(F.col(paths))).filter(" and ".join(f"abs({s}) < double('Infinity')" for s in SIDES))
+    # stored, as it is read to count, to cut the curve and to be laid out
+    boxed = stored(lines.filter(F.size(paths) > 0).withColumns(box_columns(F.col(paths))).filter(" and ".join(f"abs({s}) < double('Infinity')" for s in SIDES)))
     whole = boxed.agg(F.count("*").alias("__n"), *[(F.min if s in ("west", "south") else F.max)(s).alias(f"__{s}") for s in SIDES])
-    files = max(1, -(-whole.first()["__n"] // file_rows))
+    tasks = max(1, -(-whole.first()["__n"] // max(file_rows, TASK_ROWS)))
     at = z_value((F.col("west") + F.col("east")) / 2, (F.col("south") + F.col("north")) / 2, *[F.col(f"__{s}") for s in SIDES])
     placed = boxed.crossJoin(F.broadcast(whole)).withColumn("__z", at).drop("__n", *[f"__{s}" for s in SIDES])
-    placed.repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z").write.parquet(f"{folder}/lines")
-    stored = spark.read.parquet(f"{folder}/lines")
-    index = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"), *[(F.min if s in ("west", "south") else F.max)(s).alias(s) for s in SIDES])
+    placed.repartitionByRange(tasks, "__z").sortWithinPartitions("__z").drop("__z").write.option("maxRecordsPerFile", file_rows).parquet(f"{folder}/lines")
+    laid = spark.read.parquet(f"{folder}/lines")
+    index = laid.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"), *[(F.min if s in ("west", "south") else F.max)(s).alias(s) for s in SIDES])
     index.coalesce(1).write.parquet(f"{folder}/index")
 
 
