@@ -523,7 +523,7 @@ def csv_file_order(spark, d):
 def clustered_view(spark, d):
     """A stored pipe layer with its display columns, laid out for views; a view of it that the cap really cuts."""
     folder = scratch_folder(spark)
-    en = W.enriched(spark, d).dropDuplicates(["pipe_oid"]).withColumn("paths", F.when(F.col("ASSETTYPE").isNotNull(), F.expr(PIPE_PATHS)))
+    en = E.enrich_pipes(W.coded_pipes(spark, d).dropDuplicates(["pipe_oid"]), W.decoder_table(spark)).withColumn("paths", F.when(F.col("ASSETTYPE").isNotNull(), F.expr(PIPE_PATHS)))
     lines = E.display_pipes(en, ("paths",)).select("pipe_oid", "PipeMaterialFamily", "PipeMaterialColor", "paths")
     write_clustered(lines, folder, file_rows=4096)
     return J.viewport_answer(lines_near_view(spark, folder, *BOX), "pipe_oid", BOX, 120.0, ["pipe_oid", "PipeMaterialFamily", "PipeMaterialColor"], cap=400)
