@@ -26,16 +26,16 @@ REPORT_ROWS = 250
 def relocation_job(tasks: DataFrame, segments: DataFrame, order: list[str], run_utc: Column, **options) -> dict[str, DataFrame]:
     """The three output tables. tasks: leak_tasks with leak_gid; segments with pipe_gid. Of
     tasks with one leak id the last by `order` counts, whether it finds a pipe or not. The
-    match is computed once and stored."""
-    tasks = one_row_per_id(tasks, "leak_oid", order)
+    match is computed once and stored, and so are the tasks."""
+    tasks = stored(one_row_per_id(tasks, "leak_oid", order))
     found = match_leaks(tasks, segments, carry=("pipe_gid",), **options)
     found = stored(found)
-    gids = found.select("leak_oid", F.col("pipe_gid").alias("MatchedPipeGID"))
-    moved = relocated_leaks(tasks, found).withColumn("geometry", point_wkt(F.col("x"), F.col("y"))).drop("x", "y")
+    gid = F.col("pipe_gid")
+    moved = relocated_leaks(tasks, found, MatchedPipeGID=gid).withColumn("geometry", point_wkt(F.col("x"), F.col("y"))).drop("x", "y")
     lines = guide_lines(tasks, found).withColumn("geometry", _path_wkt("x0", "y0", "x1", "y1")).drop("x0", "y0", "x1", "y1")
-    audit = relocation_audit(tasks, found.drop("pipe_gid")).join(tasks.select(F.col("leak_oid").alias("LeakOID"), F.col("leak_gid").alias("LeakGlobalID")), "LeakOID")
-    audit = audit.join(gids.withColumnRenamed("leak_oid", "LeakOID"), "LeakOID", "left").withColumn("RunUTC", run_utc).withColumn("geometry", point_wkt(F.col("OrigX"), F.col("OrigY")))
-    return {"relocated_leaks": moved.join(gids.withColumnRenamed("leak_oid", "OrigLeakOID"), "OrigLeakOID"), "relocated_leak_offset_lines": lines, "leak_relocation_audit": audit}
+    audit = relocation_audit(tasks, found, LeakGlobalID=F.col("leak_gid"), MatchedPipeGID=gid)
+    audit = audit.withColumn("RunUTC", run_utc).withColumn("geometry", point_wkt(F.col("OrigX"), F.col("OrigY")))
+    return {"relocated_leaks": moved, "relocated_leak_offset_lines": lines, "leak_relocation_audit": audit}
 
 
 def _path_wkt(*names: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayside.functions.material import search_ring
@@ -31,10 +31,12 @@ def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = T
     return found.drop("agree", "press", "layer_rank")
 
 
-def relocated_leaks(tasks: DataFrame, matches: DataFrame) -> DataFrame:
+def relocated_leaks(tasks: DataFrame, matches: DataFrame, **more: Column) -> DataFrame:
+    """One row for every match; `more` names further columns of the tasks and matches."""
     return matches.join(tasks.select("leak_oid", "leak_key"), "leak_oid").select(
         F.col("leak_oid").alias("OrigLeakOID"), F.col("leak_key").alias("LeakKey"), F.col("layer").alias("LinkedLayer"), F.col("pipe_oid").alias("MatchedPipeOID"), F.col("distance").alias("DistanceFt"),
         search_ring("distance").alias("SearchRadiusFt"), F.col("material").alias("MatchMaterial"), F.col("diameter").alias("MatchDiameter"), F.col("pressure").alias("MatchPressure"), F.col("new_x").alias("x"), F.col("new_y").alias("y"),
+        *[c.alias(name) for name, c in more.items()],
     )
 
 
@@ -46,8 +48,8 @@ def guide_lines(tasks: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
-def relocation_audit(tasks: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row for every leak that passed the gate, matched or not."""
+def relocation_audit(tasks: DataFrame, matches: DataFrame, **more: Column) -> DataFrame:
+    """One row for every leak that passed the gate, matched or not; `more` as above."""
     m = matches.drop("path_idx", "seg_idx")
     j = tasks.join(m, "leak_oid", "left")
     hit = F.col("pipe_oid").isNotNull()
@@ -56,6 +58,7 @@ def relocation_audit(tasks: DataFrame, matches: DataFrame) -> DataFrame:
         F.col("facility").alias("FacilityType"), F.coalesce("layer", F.array_join("allowed_layers", ",")).alias("LinkedLayer"), F.col("pipe_oid").alias("MatchedPipeOID"), F.coalesce("material", F.lit("")).alias("PipeMaterial"),
         F.col("diameter").alias("PipeDiameter"), F.coalesce("pressure", F.lit("")).alias("PipePressure"), F.when(hit, search_ring("distance")).alias("SearchRadiusFt"), F.col("distance").alias("DistanceFt"),
         F.when(hit, "Matched").otherwise("NoMatch").alias("MatchStatus"), F.when(hit, "").otherwise(NO_MATCH).alias("NoMatchReason"), F.col("x").alias("OrigX"), F.col("y").alias("OrigY"), F.col("new_x").alias("NewX"), F.col("new_y").alias("NewY"),
+        *[c.alias(name) for name, c in more.items()],
     )
 
 
