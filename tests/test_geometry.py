@@ -1,6 +1,7 @@
 import math
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from wayside.functions import geometry as G
@@ -88,3 +89,14 @@ def test_views(spark):
     page = [r.v for r in table_page(df, "", "v").collect()]
     assert page == ["91", "93", "97", "99", "t0", "t2", "t4", "t6", "t8", None]
     assert table_page(df, "T", "v", ascending=False).first().total_rows == 6  # "Infinity" holds a t too
+
+
+def test_degrees_round_as_sql_does(spark):
+    """Next to a half the product with 10^7 decides, not the shortest text of the degrees."""
+    ties = [-(73_000_000 + i) / 1e5 / 10 - 0.00000005 for i in range(0, 9_000, 7)] + [-73.57855095, -73.41853545, -73.42151295, 42.50000005, -0.00000005]
+    df = spark.createDataFrame([(x,) for x in ties], "x double")
+    rows = df.select("x", G.seven_places(F.col("x")).alias("r")).collect()
+    con = duckdb.connect()
+    con.execute("create table t (x double)")
+    con.executemany("insert into t values (?)", [(r.x,) for r in rows])
+    assert [r.r for r in rows] == [x for (x,) in con.execute("select round(x, 7) from t").fetchall()]

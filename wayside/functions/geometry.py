@@ -128,6 +128,12 @@ def to_degrees(x: Column, y: Column) -> tuple[Column, Column]:
     return CENTRAL_LON + F.degrees(F.atan2(px, py) / k["n"]), F.degrees(lat)
 
 
+def seven_places(degrees: Column) -> Column:
+    """Degrees to seven places, a half away from zero: what counts is the product with 10^7 as a double, as in
+    SQL's round. round(degrees, 7) goes by the shortest text of the degrees instead, and differs next to a half."""
+    return F.round(degrees * 1e7) / 1e7
+
+
 def simplify(paths: Column, tolerance: float) -> Column:
     """Lines simplified at a tolerance, topology kept (wayside.functions.simplify): the one recursive piece, in Arrow batches."""
 

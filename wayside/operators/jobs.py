@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayside.functions.geometry import crosses_box, line_wkt, point_wkt, simplify, to_degrees
+from wayside.functions.geometry import crosses_box, line_wkt, point_wkt, seven_places, simplify, to_degrees
 from wayside.operators.enrich import already_enriched, decode_counts, enrich_pipes
 from wayside.operators.export import date_export
 from wayside.operators.outputs import guide_lines, match_leaks, one_row_per_id, relocated_leaks, relocation_audit
@@ -94,7 +94,7 @@ def report_rows(relocated: DataFrame, x: str = "x", y: str = "y", rows: int | No
 
 def _degrees(x: Column, y: Column) -> Column:
     lon, lat = to_degrees(x, y)
-    return F.array(F.round(lon, 7), F.round(lat, 7))
+    return F.array(seven_places(lon), seven_places(lat))
 
 
 def line_feature(paths: Column, properties: Sequence[str]) -> Column:
@@ -129,7 +129,7 @@ def context_export(points: DataFrame, key: str, rows: int, seed: int = 17) -> Da
     """A seeded sample of a layer as GeoJSON, with the box of the sample in degrees."""
     drawn = sample(points, key, rows, seed)
     lon, lat = to_degrees(F.col("x"), F.col("y"))
-    box = bounds(drawn.select(lon.alias("x"), lat.alias("y"))).select(*[F.round(c, 7).alias(c) for c in ("west", "south", "east", "north")])
+    box = bounds(drawn.select(lon.alias("x"), lat.alias("y"))).select(*[seven_places(F.col(c)).alias(c) for c in ("west", "south", "east", "north")])
     return drawn.select(key, point_feature(F.col("x"), F.col("y"), [key]).alias("feature")).crossJoin(F.broadcast(box))
 
 

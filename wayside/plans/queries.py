@@ -253,7 +253,7 @@ def line_centroids(spark, d):
 
 def geojson_features(spark, d):
     p = _degrees(spark, d)
-    return V.geojson(p, "Point", F.array(F.round("lon", 7), F.round("lat", 7)), ["leak_oid"])
+    return V.geojson(p, "Point", F.array(G.seven_places(F.col("lon")), G.seven_places(F.col("lat"))), ["leak_oid"])
 
 
 def wkt_export(spark, d):
