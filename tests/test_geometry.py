@@ -5,7 +5,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from wayside.functions import geometry as G
-from wayside.operators.nearest import nearest_within
+from wayside.operators.nearest import _filed, _nine, nearest_within
 from wayside.operators.viewport import bounds, capped, sample, table_page
 
 
@@ -100,3 +100,14 @@ def test_degrees_round_as_sql_does(spark):
     con.execute("create table t (x double)")
     con.executemany("insert into t values (?)", [(r.x,) for r in rows])
     assert [r.r for r in rows] == [x for (x,) in con.execute("select round(x, 7) from t").fetchall()]
+
+
+def test_cells_are_compiled(spark):
+    """Segments are cut into parts and places meet their nine cells without functions that are interpreted for every row."""
+    s = spark.createDataFrame([(1, 0.0, 0.0, 25.0, 0.0, 10.0), (2, 3.0, 3.0, 3.0, 3.0, 10.0)], "sid int, ax double, ay double, bx double, b_y double, width double")
+    filed = _filed(s)
+    assert sorted((r.sid, r.cx, r.cy) for r in filed.collect()) == [(1, 0, 0), (1, 1, 0), (1, 2, 0), (2, 0, 0)]
+    nine = _nine(spark.createDataFrame([(-1.0, 14.0, 10.0)], "px double, py double, width double"))
+    assert sorted((r.cx, r.cy) for r in nine.collect()) == [(x, y) for x in (-2, -1, 0) for y in (0, 1, 2)]
+    for df in (filed, nine):
+        assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()

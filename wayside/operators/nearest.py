@@ -298,16 +298,16 @@ def _whole(radius: float) -> float:
 def _filed(segments: DataFrame) -> DataFrame:
     """Segments in the cell of their middle; longer ones than a cell is wide in the cells of the middles of equal parts."""
     parts = F.greatest(F.ceil(_extent() / F.col("width")), F.lit(1)).cast("long")
-    s = segments.withColumn("__at", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda i: (i + 0.5) / parts)))
+    s = segments.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).withColumn("__at", (F.col("__part") + 0.5) / parts)
     cell = lambda a, b: F.floor((F.col(a) + F.col("__at") * (F.col(b) - F.col(a))) / F.col("width")).cast("long")
-    return s.withColumns({"cx": cell("ax", "bx"), "cy": cell("ay", "b_y")}).drop("__at", "width")
+    return s.withColumns({"cx": cell("ax", "bx"), "cy": cell("ay", "b_y")}).drop("__part", "__at", "width")
 
 
 def _nine(places: DataFrame) -> DataFrame:
     """Places with each of the nine cells around them."""
     beside = F.array(F.lit(-1), F.lit(0), F.lit(1))
     for c, p in (("cx", "px"), ("cy", "py")):
-        places = places.withColumn(c, F.explode(F.transform(beside, lambda i: F.floor(F.col(p) / F.col("width")).cast("long") + i)))  # noqa: B023
+        places = places.withColumn("__by", F.explode(beside)).withColumn(c, F.floor(F.col(p) / F.col("width")).cast("long") + F.col("__by")).drop("__by")
     return places
 
 
