@@ -10,7 +10,7 @@ from wayside.operators import enrich as E
 from wayside.operators.clustered import files_in_view, lines_near_view, write_clustered
 from wayside.operators.export import choose_since, date_export
 from wayside.operators.prepare import last_row
-from wayside.sources.feature_source import IndexedFeatureSource, write_pages
+from wayside.sources.feature_source import IndexedFeatureSource, shared_out, write_pages
 from wayside.sources.pages import read_supplemental
 
 
@@ -109,3 +109,18 @@ def test_only_the_pages_in_range_are_opened_each_once(spark, tmp_path):
         assert some.rdd.getNumPartitions() <= 6, test  # a task is a page
     some = load(ids="1,11,x,4999,20")
     assert sorted(r.OBJECTID for r in some.collect()) == [1, 11, 4999] and some.rdd.getNumPartitions() <= 3
+
+
+def test_a_value_of_many_rows_fills_several_pages(spark, tmp_path):
+    rows = spark.range(3000).select(F.col("id").alias("OBJECTID"), F.when(F.col("id") < 2000, 7).when(F.col("id") < 2900, F.col("id")).cast("long").alias("day"))
+    feature = F.struct(F.struct("OBJECTID", "day").alias("attributes"), F.struct(F.lit(1.0).alias("x")).alias("geometry"))
+    write_pages(rows, "day", {"id": "OBJECTID", "date": "day"}, feature, f"file://{tmp_path}/l", size=100)
+    index = sorted(spark.read.json(f"file://{tmp_path}/l/index").collect(), key=lambda r: r.page)
+    assert [r.page for r in index] == list(range(30)) and sum(r.n for r in index) == 3000 and max(r.n for r in index) < 200
+    assert [r.n for r in index if (r.first_date or 0) > 7] == [100] * 9  # pages of rare values are as long as wanted
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(IndexedFeatureSource)
+    read = spark.read.format("indexed_features").schema("OBJECTID long, day long, page_number int").options(path=f"file://{tmp_path}/l", dateField="day").load()
+    assert sorted(r.OBJECTID for r in read.collect()) == list(range(3000))
+    assert read.filter("day = 7").count() == 2000 and read.filter("day = 7").rdd.getNumPartitions() <= 22
+    assert [len(p.pages) for p in shared_out([(i, "") for i in range(5000)])] == [3] * 1666 + [2] and shared_out([]) == []
