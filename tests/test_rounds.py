@@ -62,3 +62,26 @@ def test_nothing_on_either_side(spark):
     s, p = tables(spark, [(1, "k", 0.0, 0.0, 1.0, 1.0)], [(1, "k", 0.0, 0.5)])
     for a, b in ((p.limit(0), s), (p, s.limit(0)), (p.limit(0), s.limit(0))):
         assert N.nearest_within(a, b, "pid", ["kind"], 5.0, [], ["sid"]).collect() == []
+
+
+def test_segments_meet_places_without_what_their_keys_tell(spark, monkeypatch):
+    """An order column that is a key decides between a point's rows, but is not shuffled with every segment; nor are a cell's two numbers."""
+    segs = [(1, "a", 1, 0.0, 1.0, 9.0, 1.0), (2, "b", 0, 0.0, -1.0, 9.0, -1.0), (3, "a", 1, -9.0, -9.0, -8.0, -9.0), (4, "b", 0, -9.0, -11.0, -8.0, -11.0)]
+    s = spark.createDataFrame(segs, "sid int, kind string, rank int, ax double, ay double, bx double, b_y double")
+    points = [(i, k, r, x, y) for i, x, y in ((1, 4.0, 0.0), (2, 4.0, 0.5), (3, -8.5, -10.0)) for k, r in (("a", 1), ("b", 0))]
+    p = spark.createDataFrame(points, "pid int, kind string, rank int, x double, y double")
+    met, measured = [], N._measured
+    monkeypatch.setattr(N, "_measured", lambda pairs, within: met.append(set(pairs.columns)) or measured(pairs, within))
+    out = N.nearest_within(p, s, "pid", ["kind", "rank"], 5.0, ["kind"], ["rank", "sid"])
+    assert {r.pid: (r.sid, r["rank"], r.kind, r.distance) for r in out.collect()} == {1: (2, 0, "b", 1.0), 2: (1, 1, "a", 0.5), 3: (4, 0, "b", 1.0)}
+    assert not met[0] & {"rank", "kind", "cx", "cy"}
+
+
+def test_far_cells_of_one_number_add_nothing_wrong(spark):
+    """Cells 2^32 apart share their number; a segment there is a candidate whose distance rules it out."""
+    c = spark.createDataFrame([(0, -1), (1 << 32, -1), (0, (1 << 32) - 1), (-1, 0), (-1, -1)], "cx long, cy long")
+    a, b, c_, d, e = (r.cell for r in N._celled(c).collect())
+    assert a == b == c_ and len({a, d, e}) == 3
+    side = float(1 << 32) * 4
+    s, p = tables(spark, [(1, "k", 3.0, 1.0, 3.5, 1.0), (2, "k", side, 0.0, side + 1, 0.0)], [(1, "k", 1.0, 1.0), (2, "k", side, 1.0), (3, "k", -side, 1.0)])
+    assert {r.pid: r.sid for r in N.nearest_within(p, s, "pid", ["kind"], 5.0, [], ["sid"]).collect()} == {1: 1, 2: 2}

@@ -138,11 +138,11 @@ def search_ring(distance: Column | str, first: int = 100, step: int = 100) -> Co
     return F.when(d <= first, F.lit(first).cast("long")).otherwise(first + step * F.ceil((d - first) / step))
 
 
-def with_rules(df: DataFrame, column: str, rules: dict, few: int = FEW_TEXTS) -> DataFrame:
+def with_rules(df: DataFrame, column: str, rules: dict, few: int = FEW_TEXTS, of: DataFrame | None = None) -> DataFrame:
     """df with a column for each rule of one text column. A table has few distinct materials:
     up to `few` the rules are applied to these and broadcast back (their number is checked),
-    beyond it to every row."""
-    texts = df.select(F.col(column).cast("string").alias("__text")).distinct().limit(few + 1).collect()
+    beyond it to every row. `of` is a table with all of df's texts that is read for them instead."""
+    texts = (df if of is None else of).select(F.col(column).cast("string").alias("__text")).distinct().limit(few + 1).collect()
     if len(texts) > few:
         return df.withColumns({out: rule(column) for out, rule in rules.items()})
     table = df.sparkSession.createDataFrame(texts, "__text string").select("__text", *[rule("__text").alias(out) for out, rule in rules.items()])

@@ -311,6 +311,12 @@ def _nine(places: DataFrame) -> DataFrame:
     return places
 
 
+def _celled(rows: DataFrame) -> DataFrame:
+    """The cell's two numbers in one, as the shuffle writes it for every row. Far apart cells may share one: that
+    adds candidates of the same keys, whose distance is measured like any other's."""
+    return rows.withColumn("cell", F.shiftleft("cx", 32).bitwiseXOR(F.col("cy").bitwiseAND(F.lit(0xFFFFFFFF)))).drop("cx", "cy")
+
+
 def _settled(radius: float) -> Column:
     """What is nearest within this distance in the nine cells is nearest of all: a segment's part is no longer than
     a cell is wide, so its middle is at most half of that away from its nearest place."""
@@ -320,8 +326,8 @@ def _settled(radius: float) -> Column:
 def _round(places: DataFrame, segments: DataFrame, radius: float, order: list[str], carry: list[str], few: bool) -> DataFrame:
     """(kid, px, py, best) of the places whose nearest segment the nine cells settle. Both sides have
     their width; a few places are sent to the segments, which then stay where they are."""
-    at = _nine(places)
-    near = _measured((F.broadcast(at) if few else at).join(_filed(segments), ["kid", "cx", "cy"]), _settled(radius))
+    at = _celled(_nine(places))
+    near = _measured((F.broadcast(at) if few else at).join(_celled(_filed(segments)), ["kid", "cell"]), _settled(radius))
     return _best(near, ["kid", "px", "py"], order, carry)
 
 
@@ -337,11 +343,13 @@ def nearest_within(points: DataFrame, segments: DataFrame, key: str, keys: list[
     finite = lambda *names: " and ".join(f"abs({n}) < double('Infinity')" for n in names)
     s = segments.select(*named).dropna(subset=[*keys, *ENDS]).filter(finite(*ENDS))
     table = _key_table(s, keys, radius)
-    carry = [c for c in carry if c not in keys]
-    s = s.join(table, keys).select("kid", "width", *[c for c in named if c not in keys or c in order])
+    # what the keys tell is not shuffled with every segment but comes from their table
+    ranks = [c for c in order if c in keys] if set(order) - set(keys) else []
+    ranked, order, carry = order, [c for c in order if c not in ranks], [c for c in carry if c not in keys]
+    s = s.join(table, keys).select("kid", "width", *dict.fromkeys([*ENDS, *order, *carry]))
     p = points.select(key, *keys, F.col("x").alias("px"), F.col("y").alias("py")).dropna(subset=[*keys, "px", "py"]).filter(finite("px", "py"))
     p = stored(p.join(table, keys).select(key, "kid", "px", "py"))
-    places = p.select("kid", "px", "py").distinct().join(table.select("kid", "width"), "kid")
+    places = stored(p.select("kid", "px", "py").distinct()).join(table.select("kid", "width"), "kid")
     found = stored(_round(places, s, radius, order, carry, False))
     place = ["kid", "px", "py"]
     rest = stored(places.filter(_settled(radius) < radius).join(found, place, "left_anti"))
@@ -358,5 +366,10 @@ def nearest_within(points: DataFrame, segments: DataFrame, key: str, keys: list[
             far = _by_tree(last, near, "__place", ["kid"], radius, carry, order, leaf, deepest)
             found = found.unionByName(last.join(far, "__place").select(*place, "best"))
     # the kid tells which keys were searched; the order columns decide between a point's rows
-    best = p.join(found, place).groupBy(key).agg(F.min(F.struct("best", "kid")).alias("b")).select(key, "b.best.*", "b.kid")
-    return best.join(table.select("kid", *[c for c in keys if c not in order]), "kid").drop("kid")
+    met = p.join(found, place)
+    if ranks:
+        rest = [c for c in dict.fromkeys([*carry, "new_x", "new_y"]) if c not in order]
+        best = F.struct("best.distance", *[F.col(c if c in ranks else f"best.{c}") for c in ranked], *[f"best.{c}" for c in rest])
+        met = met.join(table.select("kid", *ranks), "kid").withColumn("best", best)
+    best = met.groupBy(key).agg(F.min(F.struct("best", "kid")).alias("b")).select(key, "b.best.*", "b.kid")
+    return best.join(table.select("kid", *[c for c in keys if c not in ranked]), "kid").drop("kid")

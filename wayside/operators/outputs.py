@@ -19,10 +19,11 @@ def match_leaks(tasks: DataFrame, segments: DataFrame, family_fallback: bool = T
     prepared pipe columns; `carry` names more of them that the match brings along. Blank materials and null diameters never agree. Both sides
     bring their label and family; equal labels have equal families."""
     agree = "family" if family_fallback else "label"
-    keys = ["layer", "diameter", "agree", *(["press"] if require_pressure else [])]
+    rank = F.when(F.col("layer") == "distribution", 0).otherwise(1)
+    keys = ["layer", "layer_rank", "diameter", "agree", *(["press"] if require_pressure else [])]
     leaks = tasks.select("leak_oid", "x", "y", F.explode("allowed_layers").alias("layer"), F.col("leak_diameter").alias("diameter"), F.col(agree).alias("agree"), upper("leak_pressure").alias("press"))
     lines = segments.filter("material <> '' and diameter is not null").withColumn("agree", F.col(agree)).withColumn("press", upper("pressure"))
-    lines = lines.withColumn("layer_rank", F.when(F.col("layer") == "distribution", 0).otherwise(1))
+    leaks, lines = leaks.withColumn("layer_rank", rank), lines.withColumn("layer_rank", rank)
     if require_pressure:
         leaks, lines = leaks.filter("press <> ''"), lines.filter("press <> ''")
     else:

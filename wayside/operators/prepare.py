@@ -22,18 +22,19 @@ def first_row(df: DataFrame, key: str, order: list) -> DataFrame:
 
 def supplemental(raw: DataFrame) -> DataFrame:
     """leak_key, diameter, material, pressure, facility; of rows with one key the last counts."""
-    rows = with_rules(raw, "LeakMaterialType", MATERIAL_RULES).select(
-        normalize_key("LeakNumber").alias("leak_key"),
+    texts = ["Diameter", "LeakMaterialType", "FacilityType", "Pressure"]
+    # only the texts are shuffled; the key, told by a generator, is made once a row and not again in the filter
+    keyed = raw.select(F.explode(F.array(normalize_key("LeakNumber"))).alias("leak_key"), "ordinal", F.struct(*texts).alias("__texts"))
+    last = last_row(keyed.filter("leak_key <> ''"), "leak_key", ["ordinal", "__texts"]).select("leak_key", "__texts.*")
+    return with_rules(last, "LeakMaterialType", MATERIAL_RULES, of=raw).select(
+        "leak_key",
         parse_number("Diameter").alias("leak_diameter"),
         F.col("material").alias("leak_material"),
         "label",
         "family",
         clean("Pressure").alias("leak_pressure"),
         clean("FacilityType").alias("facility"),
-        "ordinal",
-        F.struct("Diameter", "LeakMaterialType", "FacilityType", "Pressure").alias("__tie"),
-    ).filter("leak_key <> ''")
-    return last_row(rows, "leak_key", ["ordinal", "__tie"]).drop("ordinal", "__tie")
+    )
 
 
 def gated_leaks(leaks: DataFrame, supp: DataFrame) -> DataFrame:
