@@ -183,3 +183,11 @@ def test_refresh_job_keeps_changes_or_reloads(spark, tmp_path):
     assert (step, values(out)) == ("upsert", [(1, "a"), (2, "c"), (3, "d")])
     step, out = run(rows((3, 9000, "d")), fresh_seconds=-1)  # deletions show as counts
     assert (step, values(out)) == ("reload", [(3, "d")])
+
+
+def test_pipes_are_decoded_where_they_are(spark):
+    """Pipes are not shuffled by their few codes to be decoded."""
+    dec = spark.createDataFrame([("1", "2", "Main", "Cast Iron", "Material", "IRON")], "group_code string, type_code string, ASSETGROUP_DECODED string, ASSETTYPE_DECODED string, ASSETTYPE_DOMAIN string, PipeMaterialFamily string")
+    out = E.enrich_pipes(spark.range(3).selectExpr("id as pipe_oid", "1.0 as ASSETGROUP", "id as ASSETTYPE"), dec)
+    assert {r.pipe_oid: r.material for r in out.collect()} == {0: None, 1: None, 2: "Cast Iron"}
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()

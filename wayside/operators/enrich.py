@@ -32,11 +32,12 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def enrich_pipes(pipes: DataFrame, decoder_rows: DataFrame) -> DataFrame:
     """Pipes with decoded columns, always derived anew from the codes: the raw code,
-    the decoded material, and the former material kept once as the grade."""
+    the decoded material, and the former material kept once as the grade. The decoder, a row for
+    each coded value of the metadata, is sent to the pipes: by their few codes they would gather in few tasks."""
     grade = F.col("GradeMaterial") if "GradeMaterial" in pipes.columns else F.col("material") if "material" in pipes.columns else F.lit(None).cast("string")
     rest = pipes.withColumn("__grade", grade.cast("string")).drop(*DECODED, "PipeMaterialRaw", "GradeMaterial", "material")
     keyed = rest.withColumn("group_code", norm_code("ASSETGROUP")).withColumn("type_code", norm_code("ASSETTYPE"))
-    out = keyed.join(decoder_rows, ["group_code", "type_code"], "left").drop("group_code", "type_code")
+    out = keyed.join(F.broadcast(decoder_rows), ["group_code", "type_code"], "left").drop("group_code", "type_code")
     return out.withColumnRenamed("__grade", "GradeMaterial").withColumn("PipeMaterialRaw", F.col("ASSETTYPE")).withColumn("material", F.col("ASSETTYPE_DECODED"))
 
 
